@@ -19,6 +19,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.session import checkpoint_dir
+
 _SLICE, _LOCAL, _SIZE, _OFFSET = "_tm_slice", "_tm_local_rn", "_tm_slice_rows", "_tm_offset"
 
 
@@ -39,7 +41,15 @@ def split_row_number(df: DataFrame, group_cols: list[str], order_cols: list,
     n = slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = _cols(order_cols)
     keys = [F.col(c) for c in group_cols]
-    sliced = df.repartitionByRange(n, *keys, *order).withColumn(_SLICE, F.spark_partition_id())
+    # The slice a row lands in depends on the sampled range bounds, and the
+    # sample depends on row order after upstream shuffles.  The sliced frame
+    # is used twice below, so it is checkpointed (to the shared checkpoint
+    # folder): both uses then see one slice assignment, and a lost executor
+    # re-reads the checkpoint instead of re-sampling.
+    checkpoint_dir(spark)
+    sliced = (df.repartitionByRange(n, *keys, *order)
+              .withColumn(_SLICE, F.spark_partition_id())
+              .checkpoint(eager=True))
 
     local_w = Window.partitionBy(*keys, F.col(_SLICE)).orderBy(*order)
     local = sliced.withColumn(_LOCAL, F.row_number().over(local_w))

@@ -62,6 +62,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     only when it is unset -- local runs and tests -- a private folder is made.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
+    if path and spark.sparkContext.getCheckpointDir():
+        return path
     if not path:
         path = tempfile.mkdtemp(prefix="tidemark-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
