@@ -1,17 +1,19 @@
-"""Row numbering that does not put a whole group into one task.
+"""Row numbers and running sums that do not put a whole group into one task.
 
 ``Window.partitionBy(k).orderBy(...)`` ships every row of a key to a single
 task.  When one key holds a third of the table that task holds a third of the
-table.  ``split_row_number`` gets the same numbers in three distributed steps:
+table.  ``split_running_sum`` gets the same running sums in three
+distributed steps:
 
 1. range-partition on (group keys, order keys); the partitioner samples the
    full sort key, so a hot group is cut into many contiguous slices;
-2. number rows inside each (group, slice) -- bounded by the slice size;
-3. add, per (group, slice), the row count of the group's earlier slices
+2. running sums inside each (group, slice) -- bounded by the slice size;
+3. add, per (group, slice), the totals of the group's earlier slices
    (a small frame: one row per group and slice).
 
-Top-k per group (``rn <= k``) does not need this: Catalyst already applies a
-partial ``WindowGroupLimit`` before the shuffle, so use ``top_per_group``.
+A row number is the running sum of 1.  Top-k per group (``rn <= k``) does not
+need any of this: Catalyst applies a partial ``WindowGroupLimit`` before the
+shuffle, so use ``top_per_group``.
 """
 
 from __future__ import annotations
@@ -21,52 +23,69 @@ from pyspark.sql import functions as F
 
 from tidemark.session import checkpoint_dir
 
-_SLICE, _LOCAL, _SIZE, _OFFSET = "_tm_slice", "_tm_local_rn", "_tm_slice_rows", "_tm_offset"
+_SLICE = "_tm_slice"
 
 
 def _cols(cols) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in cols]
 
 
-def split_row_number(df: DataFrame, group_cols: list[str], order_cols: list,
-                     out: str = "rn", slices: int | None = None) -> DataFrame:
-    """``row_number() OVER (PARTITION BY group_cols ORDER BY order_cols)``.
+def split_running_sum(df: DataFrame, group_cols: list[str], order_cols: list,
+                      sums: dict[str, Column], slices: int | None = None) -> DataFrame:
+    """Add ``SUM(expr) OVER (PARTITION BY group ORDER BY order ROWS UNBOUNDED
+    PRECEDING)`` for each ``name -> expr`` of ``sums`` (inclusive of the row).
 
-    ``order_cols`` must make the order total within a group (add the key),
-    otherwise ties are numbered arbitrarily -- as with the plain window.
-    With ``group_cols == []`` this is a global, gap-free numbering (used for
-    surrogate ids).
+    ``order_cols`` must be a total order within a group (include the key).
     """
     spark = df.sparkSession
     n = slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = _cols(order_cols)
     keys = [F.col(c) for c in group_cols]
+    names = list(sums)
+    vals = {name: f"_tm_v_{i}" for i, name in enumerate(names)}
     # The slice a row lands in depends on the sampled range bounds, and the
     # sample depends on row order after upstream shuffles.  The sliced frame
     # is used twice below, so it is checkpointed (to the shared checkpoint
     # folder): both uses then see one slice assignment, and a lost executor
     # re-reads the checkpoint instead of re-sampling.
     checkpoint_dir(spark)
-    sliced = (df.repartitionByRange(n, *keys, *order)
+    sliced = (df.select("*", *[sums[nm].alias(vals[nm]) for nm in names])
+              .repartitionByRange(n, *keys, *order)
               .withColumn(_SLICE, F.spark_partition_id())
               .checkpoint(eager=True))
 
-    local_w = Window.partitionBy(*keys, F.col(_SLICE)).orderBy(*order)
-    local = sliced.withColumn(_LOCAL, F.row_number().over(local_w))
+    local_w = (Window.partitionBy(*keys, F.col(_SLICE)).orderBy(*order)
+               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    local = sliced.select("*", *[F.sum(vals[nm]).over(local_w).alias(f"_tm_l_{vals[nm]}") for nm in names])
 
-    sizes = sliced.groupBy(*group_cols, _SLICE).agg(F.count(F.lit(1)).alias(_SIZE))
-    before = Window.partitionBy(*keys).orderBy(_SLICE).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(*group_cols, _SLICE,
-                           F.coalesce(F.sum(_SIZE).over(before), F.lit(0)).alias(_OFFSET))
+    keyed = {c: f"_tm_k{i}" for i, c in enumerate(group_cols)}
+    totals = sliced.groupBy(*[F.col(c).alias(a) for c, a in keyed.items()], F.col(_SLICE).alias("_tm_s")).agg(
+        *[F.sum(vals[nm]).alias(f"_tm_t_{vals[nm]}") for nm in names])
+    before = (Window.partitionBy(*[F.col(a) for a in keyed.values()]).orderBy("_tm_s")
+              .rowsBetween(Window.unboundedPreceding, -1))
+    offsets = totals.select(
+        *keyed.values(), "_tm_s",
+        *[F.coalesce(F.sum(f"_tm_t_{vals[nm]}").over(before), F.lit(0)).alias(f"_tm_o_{vals[nm]}") for nm in names])
 
-    cond = [local[c].eqNullSafe(offsets[c]) for c in group_cols] + [local[_SLICE] == offsets[_SLICE]]
+    cond = [F.col(c).eqNullSafe(F.col(a)) for c, a in keyed.items()] + [F.col(_SLICE) == F.col("_tm_s")]
     joined = local.join(offsets, cond, "inner")
     return joined.select(
-        *[local[c] for c in df.columns],
-        (offsets[_OFFSET] + local[_LOCAL]).cast("long").alias(out),
+        *df.columns,
+        *[(F.col(f"_tm_o_{vals[nm]}") + F.col(f"_tm_l_{vals[nm]}")).alias(nm) for nm in names],
     )
 
 
+def split_row_number(df: DataFrame, group_cols: list[str], order_cols: list,
+                     out: str = "rn", slices: int | None = None) -> DataFrame:
+    """``row_number() OVER (PARTITION BY group_cols ORDER BY order_cols)`` as BIGINT.
+
+    With ``group_cols == []`` this is a global, gap-free numbering (used for
+    surrogate ids).
+    """
+    res = split_running_sum(df, group_cols, order_cols, {out: F.lit(1).cast("long")}, slices)
+    return res.withColumn(out, F.col(out).cast("long"))
+
+
 def top_per_group(df: DataFrame, group_cols: list[str], order_cols: list, k: int = 1,
                   out: str | None = "rn") -> DataFrame:
     """Rows with ``row_number() <= k`` per group (partial limit before shuffle)."""
