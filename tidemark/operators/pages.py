@@ -54,6 +54,14 @@ def cutoffs_from_watermark(watermark: DataFrame) -> DataFrame:
     return watermark.select("app_id", ts_to_epoch("latest_ts").alias("cutoff_epoch"))
 
 
+def after_cutoff(items: DataFrame, cutoffs: DataFrame, date_col: str = "date") -> DataFrame:
+    """F2 on integer epoch dates: keep items newer than their app's cutoff
+    (apps without a watermark keep everything)."""
+    j = items.join(cutoffs, "app_id", "left")
+    keep = F.col("cutoff_epoch").isNull() | (F.col(date_col) > F.col("cutoff_epoch"))
+    return j.filter(keep).drop("cutoff_epoch")
+
+
 # ------------------------------------------------------------------- I3 + F2
 def walk_pages(pages: DataFrame, cutoffs: DataFrame | None = None,
                params: WalkParams = WalkParams()) -> tuple[DataFrame, DataFrame]:

@@ -161,3 +161,7 @@ def q_run_monitor(spark, sf_dir):
     FROM q_v3 GROUP BY etl_run_id, etl_started_at"""), "D7")
 def q_run_explorer(spark, sf_dir):
     return reports.run_explorer(_wh(spark, sf_dir))
+
+
+# the ingest-side queries register themselves on import
+from tidemark.plans import catalog_etl  # noqa: E402,F401

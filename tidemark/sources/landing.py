@@ -121,6 +121,12 @@ def news_pages_from_driver(spark: SparkSession, sf_dir: str, page_size: int = 10
         F.struct(F.col("count"), F.transform("rows", lambda r: r["item"]).alias("newsitems")).alias("appnews"))
 
 
+def as_landed(pages: DataFrame) -> DataFrame:
+    """Give derived pages the landed shape (``NEWS_PAGE``, ``date`` as VARIANT)
+    without a round trip through files."""
+    return pages.select(F.from_json(F.to_json(F.struct("*")), schemas.NEWS_PAGE).alias("p")).select("p.*")
+
+
 def write_jsonl(df: DataFrame, path: str) -> str:
     df.write.mode("overwrite").json(path)
     return path

@@ -13,8 +13,8 @@ Layout under ``root``::
 
 Commit protocol: a run writes its partitions and a new dimension version,
 then appends its final run record carrying that version.  Readers take the
-dimension version of the newest finalized run and only the partitions of
-finalized runs, so a job that dies half-way leaves the readable state as it
+dimension version of the newest successful run and only the partitions of
+successful runs, so a job that dies half-way leaves the readable state as it
 was -- and a re-run writes its partitions again (dynamic overwrite).
 Parquet has no in-place update and a path cannot be overwritten while it is
 being read, hence versions instead of overwrites.
@@ -70,8 +70,11 @@ class Store:
         return latest.select(*[f.name for f in schemas.DIM_ETL_RUN.fields])
 
     def _finalized(self) -> DataFrame:
+        """Runs whose data is visible: finished with ``success``.  A failed run
+        keeps its run record, but what it wrote before failing stays hidden,
+        so the readable state never mixes half a run in."""
         log = self.run_log()
-        return log.filter(F.col("status").isin(*FINAL_STATES))
+        return log.filter(F.col("status") == "success")
 
     def next_run_id(self) -> int:
         """Next run id (max + 1); one-row aggregate read on the driver."""
