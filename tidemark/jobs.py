@@ -79,7 +79,9 @@ def run_load(spark: SparkSession, store_root: str, snapshot_path: str, pages_pat
         # ---------------------------------------------------- snapshot phase
         if params.snapshot_limit > 0 and not incremental:
             raw = raw.orderBy("pos").limit(params.snapshot_limit)
-        parsed = facts.parse_snapshot(raw)
+        # parsed / prepared batches feed several sinks: compute them once
+        parsed = facts.parse_snapshot(raw).persist()
+        cached = [parsed]
         valid, rejected = facts.split_valid(parsed)
         snap_ts = spark.range(1).select(now.alias("ts"))
         ts_rows = dims.new_timestamps(snap_ts, wh.dim_timestamp)
@@ -88,7 +90,7 @@ def run_load(spark: SparkSession, store_root: str, snapshot_path: str, pages_pat
         stats = facts.snapshot_facts(valid, wh.fact_steamspy_stats, ts_id(now), F.lit(run_id), now)
         new_typ = wh.dim_update_typ
         report = None
-        news_rows = content_rows = None
+        news_rows = content_rows = prepared = meta = None
 
         # -------------------------------------------------------- news phase
         if news_src is not None and not (params.skip_news and not incremental):
@@ -99,7 +101,9 @@ def run_load(spark: SparkSession, store_root: str, snapshot_path: str, pages_pat
             cutoffs = (pages.cutoffs_from_watermark(pages.latest_news_ts(wh.fact_news, wh.dim_timestamp))
                        if incremental else None)
             kept, meta = pages.walk_pages(landed, cutoffs, pages.WalkParams(params.page_size, params.max_pages or None))
-            prepared = pages.prepare_items(kept)
+            prepared = pages.prepare_items(kept).persist()
+            meta = meta.persist()
+            cached += [prepared, meta]
             ok = prepared.filter(F.col("outcome") == "ok")
             ts_rows = ts_rows.unionByName(dims.new_timestamps(ok.select("ts"), wh.dim_timestamp)).distinct()
             new_typ = dims.assign_type_ids(ok.select("type_name"), wh.dim_update_typ, now)
@@ -111,11 +115,6 @@ def run_load(spark: SparkSession, store_root: str, snapshot_path: str, pages_pat
                 "app_id", "update_id", ts_id("ts").alias("timestamp_id"), F.lit(run_id).cast("long").alias("etl_run_id"),
                 "update_type_id", "title", "url", now.cast("timestamp_ntz").alias("created_at"))
             news_rows, _ = facts.insert_only(fact_batch, wh.fact_news, ["app_id", "update_id"])
-            counters = pages.item_counters(prepared, content_rows, news_rows)
-            zero = ["attempted", "inserted_fact_news", "inserted_dim_update_content", "conflict_fact_news",
-                    "conflict_dim_update_content", "skipped_missing_fields", "failed"]
-            report = (meta.join(counters, "app_id", "left").fillna(0, zero)
-                      .withColumn("etl_run_id", F.lit(run_id).cast("long")))
 
         # ------------------------------------------------------------ commit
         store.write_append("fact_steamspy_stats", stats, run_id)
@@ -126,10 +125,19 @@ def run_load(spark: SparkSession, store_root: str, snapshot_path: str, pages_pat
         version = run_id
         store.write_dims(version, {"dim_app": new_apps, "dim_update_typ": new_typ})
         store.write_side("quarantine", rejected, run_id)
-        if report is not None:
+        if news_rows is not None:
+            # count what was inserted from the partitions just written
+            counters = pages.item_counters(prepared, store.partition("dim_update_content", run_id),
+                                           store.partition("fact_news", run_id))
+            zero = ["attempted", "inserted_fact_news", "inserted_dim_update_content", "conflict_fact_news",
+                    "conflict_dim_update_content", "skipped_missing_fields", "failed"]
+            report = (meta.join(counters, "app_id", "left").fillna(0, zero)
+                      .withColumn("etl_run_id", F.lit(run_id).cast("long")))
             store.write_side("report", report, run_id)
         status = "success"
     finally:
+        for df in locals().get("cached", []):
+            df.unpersist()
         # the final state is written on its own, also after a failure (Q17)
         store.append_run_state(run_id, run_type, status, started, _utcnow(), _utcnow(),
                                version if status == "success" else store.current_dims_version())

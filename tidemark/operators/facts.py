@@ -34,28 +34,45 @@ def parse_snapshot(raw: DataFrame) -> DataFrame:
     ``appid``, ``owners_range``, ``owners_check``, ``int:<col>``,
     ``nan:<col>`` or ``range:<col>``.
     """
+    # Two projections: values and per-rule flags first, the reason from the
+    # flag columns second -- one projection that re-derives every value inside
+    # the reason outgrows the 64 KB method limit of generated code.
     app_id, app_ok = parse_int_strict("appid")
     o_min, o_max = owners_range("owners")
-    cols: dict[str, Column] = {"app_id": app_id}
-    checks: list[tuple[Column, str]] = [(F.col("appid").isNull() | ~app_ok, "appid")]
-    checks.append((~(fits_int(o_min) & fits_int(o_max)), "owners_range"))
-    checks.append((o_min.isNotNull() & o_max.isNotNull() & (o_min > o_max), "owners_check"))
-    cols["owners_min"] = F.when(fits_int(o_min), o_min.cast("int"))
-    cols["owners_max"] = F.when(fits_int(o_max), o_max.cast("int"))
+    cols: dict[str, Column] = {"app_id": app_id, "_o_min": o_min, "_o_max": o_max}
+    flags: list[tuple[str, Column]] = [("appid", F.col("appid").isNull() | ~app_ok)]
     for c in INT_METRICS:
         val, ok = parse_int_strict(c)
         cols[c] = val
-        checks.append((~ok, f"int:{c}"))
+        flags.append((f"int:{c}", ~ok))
     for c, scale, precision in MONEY:
-        wide = parse_money(c, scale=scale, precision=precision)
-        cols[c] = F.when(fits_decimal(wide, precision), wide).cast(f"decimal({precision},2)")
-        checks.append((is_decimal_nan(c), f"nan:{c}"))
-        checks.append((~fits_decimal(wide, precision), f"range:{c}"))
+        cols[f"_w_{c}"] = parse_money(c, scale=scale, precision=precision)
+        flags.append((f"nan:{c}", is_decimal_nan(c)))
+    step1 = raw.select("pos", F.col("name").alias("app_name"), "developer", "publisher",
+                       *[v.alias(k) for k, v in cols.items()],
+                       *[v.alias(f"_f{i}") for i, (_, v) in enumerate(flags)])
+    lo, hi = F.col("_o_min"), F.col("_o_max")
+    checks: list[tuple[Column, str]] = [(F.col("_f0"), "appid"),
+                                        (~(fits_int(lo) & fits_int(hi)), "owners_range"),
+                                        (lo.isNotNull() & hi.isNotNull() & (lo > hi), "owners_check")]
+    checks += [(F.col(f"_f{i}"), tag) for i, (tag, _) in enumerate(flags) if tag.startswith("int:")]
+    for c, _scale, precision in MONEY:
+        i = [t for t, _ in flags].index(f"nan:{c}")
+        checks.append((F.col(f"_f{i}"), f"nan:{c}"))
+        checks.append((~fits_decimal(F.col(f"_w_{c}"), precision), f"range:{c}"))
     reason = F.coalesce(*[F.when(cond, F.lit(tag)) for cond, tag in checks])
-    return raw.select(
+    typed = {
+        "app_id": F.col("app_id"),
+        "owners_min": F.when(fits_int(lo), lo.cast("int")),
+        "owners_max": F.when(fits_int(hi), hi.cast("int")),
+        **{c: F.col(c) for c in INT_METRICS},
+        **{c: F.when(fits_decimal(F.col(f"_w_{c}"), p), F.col(f"_w_{c}")).cast(f"decimal({p},2)")
+           for c, _s, p in MONEY},
+    }
+    return step1.select(
         "pos",
-        *[cols[c].alias(c) for c in ["app_id"] + METRIC_INT_COLUMNS + [m[0] for m in MONEY]],
-        F.col("name").alias("app_name"), "developer", "publisher",
+        *[typed[c].alias(c) for c in ["app_id"] + METRIC_INT_COLUMNS + [m[0] for m in MONEY]],
+        "app_name", "developer", "publisher",
         reason.alias("reject_reason"),
     )
 

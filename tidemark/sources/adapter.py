@@ -26,7 +26,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.parse import date_parts, ts_id
-from tidemark.operators.dims import assign_type_ids
 from tidemark.warehouse import Warehouse
 
 ORIGIN = datetime(2024, 1, 1)
@@ -119,8 +118,9 @@ def stats_from_events(ev: DataFrame) -> DataFrame:
 
 
 def news_source(ev: DataFrame) -> DataFrame:
-    return ev.filter(F.col("event_type").isin(NEWS_TYPES)).withColumn(
-        "tag", F.concat(F.lit("k"), F.get_json_object("props", "$.k")))
+    k = F.get_json_object("props", "$.k")
+    return (ev.filter(F.col("event_type").isin(NEWS_TYPES))
+            .withColumn("tag", F.concat(F.lit("k"), k)).withColumn("k", k.try_cast("int")))
 
 
 def content_from_news(src: DataFrame) -> DataFrame:
@@ -152,11 +152,18 @@ def facts_from_news(src: DataFrame, typ: DataFrame) -> DataFrame:
     )
 
 
+def types_from_news(src: DataFrame) -> DataFrame:
+    """Tag dimension: one row per tag ``k<n>`` with id n + 1 (fixed by the tag,
+    so building the adapter needs no numbering job)."""
+    return (src.select("tag", "k").filter(F.col("tag").isNotNull()).distinct()
+            .select((F.col("k") + 1).cast("int").alias("update_type_id"), F.col("tag").alias("type_name"),
+                    F.lit(ORIGIN).cast("timestamp_ntz").alias("updated_at")))
+
+
 def warehouse_from_driver(spark: SparkSession, sf_dir: str) -> Warehouse:
     ev = _events(spark, sf_dir)
     src = news_source(ev)
-    typ = assign_type_ids(src.select(F.col("tag").alias("type_name")).filter("type_name IS NOT NULL"),
-                          existing=None, now=F.lit(ORIGIN).cast("timestamp_ntz"))
+    typ = types_from_news(src)
     return Warehouse(
         dim_timestamp=timestamps_from_events(ev),
         dim_etl_run=runs_from_events(ev),
@@ -215,13 +222,13 @@ w_fact_steamspy_stats AS (
     FROM w_events WHERE event_type IN ('view', 'click', 'error')
 ),
 w_news_src AS (
-    SELECT *, 'k' || json_extract_string(props, '$.k') AS tag
+    SELECT *, 'k' || json_extract_string(props, '$.k') AS tag,
+           TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) AS k
     FROM w_events WHERE event_type IN ('purchase', 'signup')
 ),
 w_dim_update_typ AS (
-    SELECT (row_number() OVER (ORDER BY tag))::INTEGER AS update_type_id, tag AS type_name,
-           {ORIGIN_SQL} AS updated_at
-    FROM (SELECT DISTINCT tag FROM w_news_src WHERE tag IS NOT NULL)
+    SELECT (k + 1)::INTEGER AS update_type_id, tag AS type_name, {ORIGIN_SQL} AS updated_at
+    FROM (SELECT DISTINCT tag, k FROM w_news_src WHERE tag IS NOT NULL)
 ),
 w_dim_update_content AS (
     SELECT user_id::INTEGER AS app_id, event_id::VARCHAR AS update_id, props AS content_raw,

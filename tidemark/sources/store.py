@@ -126,6 +126,14 @@ class Store:
         (out.select(*cols).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("etl_run_id").parquet(self._p("append", name)))
 
+    def partition(self, name: str, run_id: int) -> DataFrame:
+        """Rows a run wrote to an insert-only table (its partition)."""
+        schema = T.StructType([f for f in schemas.TABLES[name].fields if f.name != "etl_run_id"])
+        path = self._p("append", name, f"etl_run_id={run_id}")
+        if not self._exists(path):  # a run that added no rows writes no partition
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(path)
+
     def write_dims(self, version: int, frames: dict[str, DataFrame]) -> None:
         for name in VERSIONED_TABLES:
             cols = [f.name for f in schemas.TABLES[name].fields]
