@@ -59,14 +59,21 @@ def _utcnow() -> datetime:
 def run_load(spark: SparkSession, store_root: str, snapshot_path: str, pages_path: str | None,
              run_type: str = "initial", params: LoadParams = LoadParams(),
              run_ts: datetime | None = None, snapshot_format: str = "jsonl") -> RunResult:
-    if run_type not in ("initial", "incremental"):
-        raise ValueError(run_type)
-    incremental = run_type == "incremental"
     # read the sources before the run exists: a missing landing leaves no run row (Q18)
     raw = (landing.read_snapshot(spark, snapshot_path) if snapshot_format == "jsonl"
            else landing.read_snapshot_object(spark, snapshot_path))
     news_src = landing.read_news_pages(spark, pages_path) if pages_path else None
+    return load_frames(spark, store_root, raw, news_src, run_type, params, run_ts)
+
 
+def load_frames(spark: SparkSession, store_root: str, raw: DataFrame, news_src: DataFrame | None,
+                run_type: str = "incremental", params: LoadParams = LoadParams(),
+                run_ts: datetime | None = None) -> RunResult:
+    """One load run from already-read landing frames (snapshot rows with
+    ``pos``; landed news pages or ``None``)."""
+    if run_type not in ("initial", "incremental"):
+        raise ValueError(run_type)
+    incremental = run_type == "incremental"
     store = Store(spark, store_root)
     wh = store.load()
     run_id = store.next_run_id()
