@@ -105,7 +105,7 @@ def load_frames(spark: SparkSession, store_root: str, raw: DataFrame, news_src:
             if params.apps_limit > 0 and not incremental:
                 apps = apps.orderBy("app_id").limit(params.apps_limit)
             landed = news_src.join(apps, "app_id", "left_semi")
-            cutoffs = (pages.cutoffs_from_watermark(pages.latest_news_ts(wh.fact_news, wh.dim_timestamp))
+            cutoffs = (pages.cutoffs_from_watermark(pages.latest_news_ts(wh.fact_news, wh.dim_timestamp, wh.micros_ids))
                        if incremental else None)
             kept, meta = pages.walk_pages(landed, cutoffs, pages.WalkParams(params.page_size, params.max_pages or None))
             prepared = pages.prepare_items(kept).persist()

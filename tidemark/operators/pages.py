@@ -42,10 +42,16 @@ def explode_items(pages: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------------------------- A3
-def latest_news_ts(fact_news: DataFrame, dim_timestamp: DataFrame) -> DataFrame:
-    """High watermark per app: newest news timestamp (app_id, latest_ts)."""
-    return (fact_news.select("app_id", "timestamp_id")
-            .join(dim_timestamp.select("timestamp_id", "ts"), "timestamp_id")
+def latest_news_ts(fact_news: DataFrame, dim_timestamp: DataFrame, micros_ids: bool = False) -> DataFrame:
+    """High watermark per app: newest news timestamp (app_id, latest_ts).
+
+    With epoch-microsecond ids the maximum is taken on the id itself (a
+    partial aggregate per app, no join)."""
+    news = fact_news.select("app_id", "timestamp_id")
+    if micros_ids:
+        return (news.groupBy("app_id").agg(F.max("timestamp_id").alias("_m"))
+                .select("app_id", F.timestamp_micros("_m").cast("timestamp_ntz").alias("latest_ts")))
+    return (news.join(dim_timestamp.select("timestamp_id", "ts"), "timestamp_id")
             .groupBy("app_id").agg(F.max("ts").alias("latest_ts")))
 
 

@@ -294,7 +294,7 @@ def q_ingest_counters(spark, sf_dir):
     GROUP BY n.app_id"""), "A3 P5 J11")
 def q_high_watermark(spark, sf_dir):
     wh = warehouse_from_driver(spark, sf_dir)
-    wm = pages.latest_news_ts(wh.fact_news, wh.dim_timestamp)
+    wm = pages.latest_news_ts(wh.fact_news, wh.dim_timestamp, wh.micros_ids)
     return wm.join(pages.cutoffs_from_watermark(wm), "app_id")
 
 

@@ -35,6 +35,20 @@ def _ts(wh: Warehouse) -> DataFrame:
     return wh.dim_timestamp.select("timestamp_id", "ts")
 
 
+def with_ts(df: DataFrame, wh: Warehouse) -> DataFrame:
+    """Attach ``ts`` to fact rows (inner: rows without a timestamp drop out).
+
+    With epoch-microsecond ids the timestamp is computed from the id -- no
+    join against the timestamp dimension, which is as large as the number of
+    distinct event times and would otherwise be a shuffle join on a key that
+    all snapshot rows of a run share.
+    """
+    if wh.micros_ids:
+        ts = F.timestamp_micros(F.col("timestamp_id")).cast("timestamp_ntz")
+        return df.filter(F.col("timestamp_id").isNotNull()).withColumn("ts", ts)
+    return df.join(_ts(wh), "timestamp_id")
+
+
 def successful_runs(wh: Warehouse, limit: int) -> DataFrame:
     """Latest ``limit`` successful runs (started_at DESC, id DESC) -> (etl_run_id, anchor_ts)."""
     return (wh.dim_etl_run.filter(F.col("status") == "success")
@@ -47,7 +61,7 @@ def successful_runs(wh: Warehouse, limit: int) -> DataFrame:
 def metrics_by_run(wh: Warehouse) -> DataFrame:
     """Latest snapshot row per (run, app); ties on ts broken by the newest stats id."""
     stats = wh.fact_steamspy_stats.select("stats_id", "timestamp_id", "etl_run_id", "app_id", *METRICS)
-    joined = stats.join(_ts(wh), "timestamp_id")
+    joined = with_ts(stats, wh)
     latest = top_per_group(joined, ["etl_run_id", "app_id"],
                            [F.col("ts").desc(), F.col("stats_id").desc()], k=1, out=None)
     return latest.select("etl_run_id", "app_id", *METRICS, F.to_date("ts").alias("snapshot_date"))
@@ -65,7 +79,7 @@ def news_rolling_asof(wh: Warehouse, max_runs: int = MAX_RUNS) -> DataFrame:
     in every task instead of landing in one.
     """
     anchors = F.broadcast(successful_runs(wh, max_runs))
-    news = wh.fact_news.select("app_id", "timestamp_id").join(_ts(wh), "timestamp_id")
+    news = with_ts(wh.fact_news.select("app_id", "timestamp_id"), wh)
     a = F.col("anchor_ts")
     in_7 = (F.col("ts") <= a) & (F.col("ts") >= a - F.expr("INTERVAL 6 DAYS"))
     in_30 = (F.col("ts") <= a) & (F.col("ts") >= a - F.expr("INTERVAL 29 DAYS"))
@@ -107,8 +121,7 @@ def news_latest(wh: Warehouse) -> DataFrame:
     of all news is numbered by many tasks.
     """
     news = wh.fact_news.select("app_id", "update_id", "timestamp_id", "title", "url")
-    base = (news.join(_ts(wh), "timestamp_id")
-            .join(wh.dim_app.select("app_id", "app_name"), "app_id"))
+    base = with_ts(news, wh).join(wh.dim_app.select("app_id", "app_name"), "app_id")
     ranked = split_row_number(base, ["app_id"], [F.col("ts").desc(), F.col("update_id").desc()])
     content = wh.dim_update_content.select(
         "app_id", "update_id", "author", "feedlabel", "feedname", "feedtype",
@@ -123,8 +136,7 @@ def news_latest(wh: Warehouse) -> DataFrame:
 def news_top_n(wh: Warehouse, n: int = 5) -> DataFrame:
     """Latest ``n`` news per app (T6) -- top-k with a partial limit before the shuffle."""
     news = wh.fact_news.select("app_id", "update_id", "timestamp_id", "title", "url")
-    base = (news.join(_ts(wh), "timestamp_id")
-            .join(wh.dim_app.select("app_id", "app_name"), "app_id"))
+    base = with_ts(news, wh).join(wh.dim_app.select("app_id", "app_name"), "app_id")
     top = top_per_group(base, ["app_id"], [F.col("ts").desc(), F.col("update_id").desc()], k=n)
     return top.select("app_id", "app_name", "update_id", "title", "url",
                       F.col("ts").alias("news_ts"), "rn")
@@ -132,9 +144,12 @@ def news_top_n(wh: Warehouse, n: int = 5) -> DataFrame:
 
 # ------------------------------------------------------------------------ V6
 def news_daily(wh: Warehouse) -> DataFrame:
-    ts = wh.dim_timestamp.select("timestamp_id", F.col("date").alias("news_date"))
-    per_app_day = (wh.fact_news.select("app_id", "timestamp_id").join(ts, "timestamp_id")
-                   .groupBy("app_id", "news_date").agg(F.count(F.lit(1)).alias("news_count")))
+    news = wh.fact_news.select("app_id", "timestamp_id")
+    if wh.micros_ids:
+        dated = with_ts(news, wh).withColumn("news_date", F.to_date("ts"))
+    else:
+        dated = news.join(wh.dim_timestamp.select("timestamp_id", F.col("date").alias("news_date")), "timestamp_id")
+    per_app_day = dated.groupBy("app_id", "news_date").agg(F.count(F.lit(1)).alias("news_count"))
     # app_name is functionally dependent on app_id: join after the aggregate
     return (per_app_day.join(wh.dim_app.select("app_id", "app_name"), "app_id")
             .select("app_id", "app_name", "news_date", "news_count"))

@@ -138,14 +138,14 @@ def content_from_news(src: DataFrame) -> DataFrame:
     )
 
 
-def facts_from_news(src: DataFrame, typ: DataFrame) -> DataFrame:
-    ids = typ.select(F.col("type_name").alias("tag"), "update_type_id")
-    return src.join(ids, "tag", "left").select(
+def facts_from_news(src: DataFrame) -> DataFrame:
+    # the tag id is a function of the tag (see types_from_news): no lookup join
+    return src.select(
         F.col("user_id").cast("int").alias("app_id"),
         F.col("event_id").cast("string").alias("update_id"),
         ts_id("ts").alias("timestamp_id"),
         F.col("run_id").alias("etl_run_id"),
-        "update_type_id",
+        F.when(F.col("tag").isNotNull(), F.col("k") + 1).cast("int").alias("update_type_id"),
         F.concat(F.lit("title "), F.col("event_id").cast("string")).alias("title"),
         F.concat(F.lit("https://example.com/news/"), F.col("event_id").cast("string")).alias("url"),
         F.col("ts").alias("created_at"),
@@ -170,8 +170,9 @@ def warehouse_from_driver(spark: SparkSession, sf_dir: str) -> Warehouse:
         dim_app=apps_from_customer(read_table(spark, sf_dir, "customer")),
         dim_update_typ=typ,
         dim_update_content=content_from_news(src),
-        fact_news=facts_from_news(src, typ),
+        fact_news=facts_from_news(src),
         fact_steamspy_stats=stats_from_events(ev),
+        micros_ids=True,
     )
 
 

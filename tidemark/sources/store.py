@@ -114,7 +114,7 @@ class Store:
                 frames[name] = getattr(empty, name)
             else:
                 frames[name] = self.spark.read.schema(schemas.TABLES[name]).parquet(self._p("dims", f"v={version}", name))
-        return Warehouse(**frames)
+        return Warehouse(**frames, micros_ids=True)
 
     # --------------------------------------------------------------- writes
     def write_append(self, name: str, df: DataFrame, run_id: int) -> None:

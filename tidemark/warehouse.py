@@ -23,9 +23,15 @@ class Warehouse:
     dim_update_content: DataFrame
     fact_news: DataFrame
     fact_steamspy_stats: DataFrame
+    # True when every timestamp id is the epoch microsecond of its timestamp and
+    # each load writes the timestamp rows with its facts (stores built by the
+    # jobs, the driver adapter).  Marts then read ``ts`` off the id instead of
+    # joining the (large) timestamp dimension; the orphan check (K3) verifies
+    # the invariant.
+    micros_ids: bool = False
 
     def tables(self) -> dict[str, DataFrame]:
-        return {f.name: getattr(self, f.name) for f in fields(self)}
+        return {f.name: getattr(self, f.name) for f in fields(self) if f.name in schemas.TABLES}
 
     def with_tables(self, **frames: DataFrame) -> "Warehouse":
         return replace(self, **frames)
