@@ -43,38 +43,57 @@ def split_running_sum(df: DataFrame, group_cols: list[str], order_cols: list,
     keys = [F.col(c) for c in group_cols]
     names = list(sums)
     vals = {name: f"_tm_v_{i}" for i, name in enumerate(names)}
+    # NULL-safe group key as plain columns: value-or-sentinel plus an is-NULL
+    # flag.  The local window and the offset join then use the same columns,
+    # so the join reuses the window's partitioning instead of re-shuffling.
+    types = dict((f.name, f.dataType) for f in df.schema.fields)
+    gk: list[str] = []
+    gexprs = []
+    for i, c in enumerate(group_cols):
+        gexprs += [F.coalesce(F.col(c), _sentinel(types[c])).alias(f"_tm_g{i}"),
+                   F.col(c).isNull().alias(f"_tm_z{i}")]
+        gk += [f"_tm_g{i}", f"_tm_z{i}"]
     # The slice a row lands in depends on the sampled range bounds, and the
     # sample depends on row order after upstream shuffles.  The sliced frame
     # is used twice below, so it is checkpointed (to the shared checkpoint
     # folder): both uses then see one slice assignment, and a lost executor
     # re-reads the checkpoint instead of re-sampling.
     checkpoint_dir(spark)
-    sliced = (df.select("*", *[sums[nm].alias(vals[nm]) for nm in names])
+    sliced = (df.select("*", *gexprs, *[sums[nm].alias(vals[nm]) for nm in names])
               .repartitionByRange(n, *keys, *order)
               .withColumn(_SLICE, F.spark_partition_id())
               .checkpoint(eager=True))
 
-    local_w = (Window.partitionBy(*keys, F.col(_SLICE)).orderBy(*order)
+    local_w = (Window.partitionBy(*gk, _SLICE).orderBy(*order)
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    local = sliced.select("*", *[F.sum(vals[nm]).over(local_w).alias(f"_tm_l_{vals[nm]}") for nm in names])
+    local = sliced.select(*df.columns, *gk, _SLICE,
+                          *[F.sum(vals[nm]).over(local_w).alias(f"_tm_l_{vals[nm]}") for nm in names])
 
-    keyed = {c: f"_tm_k{i}" for i, c in enumerate(group_cols)}
-    totals = sliced.groupBy(*[F.col(c).alias(a) for c, a in keyed.items()], F.col(_SLICE).alias("_tm_s")).agg(
-        *[F.sum(vals[nm]).alias(f"_tm_t_{vals[nm]}") for nm in names])
-    before = (Window.partitionBy(*[F.col(a) for a in keyed.values()]).orderBy("_tm_s")
-              .rowsBetween(Window.unboundedPreceding, -1))
+    totals = sliced.groupBy(*gk, _SLICE).agg(*[F.sum(vals[nm]).alias(f"_tm_t_{vals[nm]}") for nm in names])
+    before = Window.partitionBy(*gk).orderBy(_SLICE).rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
-        *keyed.values(), "_tm_s",
+        *gk, _SLICE,
         *[F.coalesce(F.sum(f"_tm_t_{vals[nm]}").over(before), F.lit(0)).alias(f"_tm_o_{vals[nm]}") for nm in names])
 
-    cond = [F.col(c).eqNullSafe(F.col(a)) for c, a in keyed.items()] + [F.col(_SLICE) == F.col("_tm_s")]
-    joined = local.join(offsets, cond, "inner")
+    joined = local.join(offsets, [*gk, _SLICE], "inner")
     return joined.select(
         *df.columns,
         *[(F.col(f"_tm_o_{vals[nm]}") + F.col(f"_tm_l_{vals[nm]}")).alias(nm) for nm in names],
     )
 
 
+def _sentinel(dtype) -> Column:
+    """A non-NULL stand-in of the column's type (paired with an is-NULL flag)."""
+    from pyspark.sql import types as T
+    if isinstance(dtype, T.StringType):
+        return F.lit("")
+    if isinstance(dtype, T.BooleanType):
+        return F.lit(False)
+    if isinstance(dtype, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        return F.lit(0).cast("timestamp").cast(dtype)
+    return F.lit(0).cast(dtype)
+
+
 def split_row_number(df: DataFrame, group_cols: list[str], order_cols: list,
                      out: str = "rn", slices: int | None = None) -> DataFrame:
     """``row_number() OVER (PARTITION BY group_cols ORDER BY order_cols)`` as BIGINT.
