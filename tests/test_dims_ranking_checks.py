@@ -5,6 +5,7 @@ from datetime import datetime
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from tidemark.functions.parse import ntz_lit
 from tidemark.operators import checks, dims, facts
 from tidemark.operators.ranking import split_row_number, split_running_sum
 
@@ -17,7 +18,7 @@ def test_upsert_apps_null_preserving(spark, fixture_wh):
         (100, 1, "Game A2", None, None),  # later non-NULL wins per column
         (400, 2, "Game D", "Dev D", None),
     ], "app_id int, pos long, app_name string, developer string, publisher string")
-    out = {r.app_id: r for r in dims.upsert_apps(fixture_wh.dim_app, batch, F.lit(NOW)).collect()}
+    out = {r.app_id: r for r in dims.upsert_apps(fixture_wh.dim_app, batch, ntz_lit(NOW)).collect()}
     assert (out[100].app_name, out[100].developer, out[100].publisher) == ("Game A2", "", "P1")
     assert out[100].updated_at == NOW
     assert (out[400].app_name, out[400].developer, out[400].publisher) == ("Game D", "Dev D", None)
@@ -27,7 +28,7 @@ def test_upsert_apps_null_preserving(spark, fixture_wh):
 
 def test_assign_type_ids(spark, fixture_wh):
     names = spark.createDataFrame([("patch",), ("event",), ("sale",), ("event",)], "type_name string")
-    out = {r.type_name: r for r in dims.assign_type_ids(names, fixture_wh.dim_update_typ, F.lit(NOW)).collect()}
+    out = {r.type_name: r for r in dims.assign_type_ids(names, fixture_wh.dim_update_typ, ntz_lit(NOW)).collect()}
     assert out["patch"].update_type_id == 1 and out["patch"].updated_at == NOW
     assert (out["event"].update_type_id, out["sale"].update_type_id) == (2, 3)
 

@@ -6,6 +6,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark.functions.parse import ntz_lit
 from tidemark.jobs import LoadParams, run_load, run_summary
 from tidemark.plans import marts
 from tidemark.sources import landing
@@ -36,7 +37,7 @@ def test_initial_then_incremental(spark, zone):
     wh = st.load()
     apps = {r.app_id for r in wh.dim_app.collect()}
     ev = read_table(spark, SF, "events").filter(F.col("event_type").isin(NEWS_TYPES))
-    expected_old = ev.filter((F.col("ts") < F.lit(SPLIT)) & F.col("user_id").isin(list(apps))).count()
+    expected_old = ev.filter((F.col("ts") < ntz_lit(SPLIT)) & F.col("user_id").isin(list(apps))).count()
     assert wh.fact_news.count() == expected_old
     assert wh.dim_update_content.count() == expected_old
     # rejected rows: reversed owners ranges (CHECK owners_min <= owners_max)

@@ -94,6 +94,16 @@ def fits_int(c: Column) -> Column:
 
 
 # ---------------------------------------------------------------------- time
+def ntz_lit(value) -> Column:
+    """A TIMESTAMP_NTZ literal from a naive ``datetime`` (or ISO text).
+
+    ``F.lit(datetime)`` goes through the Python process's local zone; the
+    text form does not, so the value is the same wall clock everywhere.
+    """
+    text = value.isoformat(sep=" ") if hasattr(value, "isoformat") else str(value)
+    return F.lit(text).cast("timestamp_ntz")
+
+
 def epoch_to_ts(c) -> Column:
     """Epoch seconds (integral or fractional) -> UTC TIMESTAMP_NTZ."""
     micros = (_text(c).cast("decimal(38,6)") * F.lit(1000000)).cast("bigint")

@@ -17,7 +17,7 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.parse import ts_id
+from tidemark.functions.parse import ntz_lit, ts_id
 from tidemark.operators import dims, facts, pages
 from tidemark.sources import landing
 from tidemark.sources.store import Store
@@ -82,7 +82,7 @@ def load_frames(spark: SparkSession, store_root: str, raw: DataFrame, news_src:
     status = "failed"
     version = None
     try:
-        now = F.lit(started).cast("timestamp_ntz")
+        now = ntz_lit(started)
         # ---------------------------------------------------- snapshot phase
         if params.snapshot_limit > 0 and not incremental:
             raw = raw.orderBy("pos").limit(params.snapshot_limit)

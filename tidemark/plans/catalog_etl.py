@@ -8,7 +8,9 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
-from tidemark.functions.parse import owners_range, parse_money, tags_json, first_tag, truthy, gid_text
+from tidemark.functions.parse import (
+    first_tag, gid_text, ntz_lit, owners_range, parse_money, tags_json, truthy,
+)
 from tidemark.operators import checks, dims, facts, pages
 from tidemark.plans.catalog import register
 from tidemark.sources.adapter import (
@@ -22,7 +24,7 @@ SPLIT_SQL = "TIMESTAMP '2024-01-20 00:00:00'"
 
 
 def _now():
-    return F.lit(NOW).cast("timestamp_ntz")
+    return ntz_lit(NOW)
 
 
 # ------------------------------------------------------------- M1, P6, P7
@@ -34,7 +36,7 @@ def _now():
     WHERE ts NOT IN (SELECT ts FROM events WHERE ts < TIMESTAMP '2024-01-15 00:00:00')""", "M1 P6 P7 J10")
 def q_dim_timestamp(spark, sf_dir):
     ev = read_table(spark, sf_dir, "events")
-    existing = dims.new_timestamps(ev.filter(F.col("ts") < F.lit(datetime(2024, 1, 15))), None)
+    existing = dims.new_timestamps(ev.filter(F.col("ts") < ntz_lit(datetime(2024, 1, 15))), None)
     return dims.new_timestamps(ev, existing)
 
 
@@ -212,7 +214,7 @@ def _tags_of(ev, kind):
     UNION ALL SELECT * FROM fresh""", "M3 M8")
 def q_tag_upsert(spark, sf_dir):
     ev = read_table(spark, sf_dir, "events")
-    old = dims.assign_type_ids(_tags_of(ev, "view"), None, F.lit(ORIGIN).cast("timestamp_ntz"))
+    old = dims.assign_type_ids(_tags_of(ev, "view"), None, ntz_lit(ORIGIN))
     return dims.assign_type_ids(_tags_of(ev, "purchase"), old, _now())
 
 
@@ -279,7 +281,7 @@ def _items_from_events(spark, sf_dir):
 def q_ingest_counters(spark, sf_dir):
     items = _items_from_events(spark, sf_dir)
     prepared = pages.prepare_items(items.drop("_date_text", "_ts"))
-    existing = items.filter(F.col("_ts") < F.lit(SPLIT)).select(
+    existing = items.filter(F.col("_ts") < ntz_lit(SPLIT)).select(
         "app_id", F.col("gid").alias("update_id"))
     ok = prepared.filter(F.col("outcome") == "ok").select("app_id", "update_id")
     content_new, _ = facts.insert_only(ok, existing, ["app_id", "update_id"])
@@ -308,7 +310,7 @@ def q_high_watermark(spark, sf_dir):
     WHERE c.cutoff_epoch IS NULL OR i.date > c.cutoff_epoch""", "F2 A3 Q8")
 def q_incremental_delta(spark, sf_dir):
     ev = read_table(spark, sf_dir, "events").filter(F.col("event_type").isin(NEWS_TYPES))
-    old = ev.filter(F.col("ts") < F.lit(SPLIT)).select(F.col("user_id").cast("int").alias("app_id"), F.col("ts"))
+    old = ev.filter(F.col("ts") < ntz_lit(SPLIT)).select(F.col("user_id").cast("int").alias("app_id"), F.col("ts"))
     wm = old.groupBy("app_id").agg(F.max("ts").alias("latest_ts"))
     items = ev.select(F.col("user_id").cast("int").alias("app_id"), F.col("event_id").cast("string").alias("update_id"),
                       F.unix_seconds(F.col("ts").cast("timestamp")).alias("date"))
@@ -349,7 +351,7 @@ def q_page_walk(spark, sf_dir):
     from tidemark.sources.landing import as_landed, news_pages_from_driver
     landed = as_landed(news_pages_from_driver(spark, sf_dir, page_size=WALK_PAGE))
     ev = read_table(spark, sf_dir, "events").filter(F.col("event_type").isin(NEWS_TYPES))
-    wm = (ev.filter(F.col("ts") < F.lit(SPLIT)).groupBy(F.col("user_id").cast("int").alias("app_id"))
+    wm = (ev.filter(F.col("ts") < ntz_lit(SPLIT)).groupBy(F.col("user_id").cast("int").alias("app_id"))
           .agg(F.max("ts").alias("latest_ts")))
     _kept, meta = pages.walk_pages(landed, pages.cutoffs_from_watermark(wm), pages.WalkParams(WALK_PAGE, None))
     return meta

@@ -25,7 +25,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.parse import date_parts, ts_id
+from tidemark.functions.parse import date_parts, ntz_lit, ts_id
 from tidemark.warehouse import Warehouse
 
 ORIGIN = datetime(2024, 1, 1)
@@ -51,7 +51,7 @@ def run_id_of(ts) -> F.Column:
 
 
 def slot_start(run_id) -> F.Column:
-    return F.lit(ORIGIN).cast("timestamp_ntz") + F.make_dt_interval(
+    return ntz_lit(ORIGIN) + F.make_dt_interval(
         hours=((run_id - 1) * SLOT_HOURS).cast("int"))
 
 
@@ -88,7 +88,7 @@ def apps_from_customer(customer: DataFrame) -> DataFrame:
         F.col("c_name").alias("app_name"),
         F.col("c_mktsegment").alias("developer"),
         F.concat(F.lit("nation-"), F.col("c_nationkey").cast("string")).alias("publisher"),
-        F.lit(ORIGIN).cast("timestamp_ntz").alias("updated_at"),
+        ntz_lit(ORIGIN).alias("updated_at"),
     )
 
 
@@ -157,7 +157,7 @@ def types_from_news(src: DataFrame) -> DataFrame:
     so building the adapter needs no numbering job)."""
     return (src.select("tag", "k").filter(F.col("tag").isNotNull()).distinct()
             .select((F.col("k") + 1).cast("int").alias("update_type_id"), F.col("tag").alias("type_name"),
-                    F.lit(ORIGIN).cast("timestamp_ntz").alias("updated_at")))
+                    ntz_lit(ORIGIN).alias("updated_at")))
 
 
 def warehouse_from_driver(spark: SparkSession, sf_dir: str) -> Warehouse:

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark import schemas
+from tidemark.functions.parse import ntz_lit
 from tidemark.operators.ranking import split_row_number
 from tidemark.sources.adapter import NEWS_TYPES, read_table, run_id_of
 
@@ -91,7 +92,7 @@ def news_pages_from_driver(spark: SparkSession, sf_dir: str, page_size: int = 10
     (to land an older state for an incremental test)."""
     ev = read_table(spark, sf_dir, "events").filter(F.col("event_type").isin(NEWS_TYPES))
     if until is not None:
-        ev = ev.filter(F.col("ts") < F.lit(until))
+        ev = ev.filter(F.col("ts") < ntz_lit(until))
     items = ev.select(
         F.col("user_id").cast("int").alias("app_id"), "ts", "event_id",
         F.struct(
