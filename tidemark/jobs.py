@@ -94,7 +94,7 @@ def load_frames(spark: SparkSession, store_root: str, raw: DataFrame, news_src:
         ts_rows = dims.new_timestamps(snap_ts, wh.dim_timestamp)
         new_apps = dims.upsert_apps(
             wh.dim_app, valid.select("app_id", "app_name", "developer", "publisher", "pos"), now)
-        stats = facts.snapshot_facts(valid, wh.fact_steamspy_stats, ts_id(now), F.lit(run_id), now)
+        stats = facts.snapshot_facts(valid, ts_id(now), F.lit(run_id), now)
         new_typ = wh.dim_update_typ
         report = None
         news_rows = content_rows = prepared = meta = None

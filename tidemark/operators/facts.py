@@ -19,7 +19,6 @@ from tidemark.functions.parse import (
     parse_int_strict,
     parse_money,
 )
-from tidemark.operators.dims import next_ids
 from tidemark.schemas import METRIC_INT_COLUMNS
 
 INT_METRICS = [c for c in METRIC_INT_COLUMNS if c not in ("owners_min", "owners_max")]
@@ -84,15 +83,19 @@ def split_valid(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 # ------------------------------------------------------------------------- M6
-def snapshot_facts(valid: DataFrame, existing_stats: DataFrame | None, timestamp_id: Column,
-                   etl_run_id: Column, now: Column) -> DataFrame:
-    """Snapshot fact rows of one run (append-only, ids after the current max in payload order)."""
-    with_ids = next_ids(valid, existing_stats.select("stats_id") if existing_stats is not None else None,
-                        "stats_id", ["pos"])
-    return with_ids.select(
-        "stats_id",
+def snapshot_facts(valid: DataFrame, timestamp_id: Column, etl_run_id: Column, now: Column) -> DataFrame:
+    """Snapshot fact rows of one run (append-only).
+
+    ``stats_id = run * 2^32 + payload position``: unique, increasing with
+    the run and, within a run, with the payload order (so "newest stats id"
+    breaks ties the way the serial id did), and computed per row without a
+    numbering job.  Ids are opaque and may have gaps.
+    """
+    run = etl_run_id.cast("long")
+    return valid.select(
+        (run * F.lit(1 << 32) + F.col("pos")).cast("long").alias("stats_id"),
         timestamp_id.cast("long").alias("timestamp_id"),
-        etl_run_id.cast("long").alias("etl_run_id"),
+        run.alias("etl_run_id"),
         "app_id", *METRIC_INT_COLUMNS, "price", "initialprice", "discount",
         now.cast("timestamp_ntz").alias("created_at"),
     )

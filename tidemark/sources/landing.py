@@ -9,7 +9,7 @@ per line with the fetch envelope (app_id, page, enddate, http_status).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import schemas
@@ -115,10 +115,10 @@ def news_pages_from_driver(spark: SparkSession, sf_dir: str, page_size: int = 10
     pages = ranked.groupBy("app_id", "page").agg(
         F.sort_array(F.collect_list(F.struct("seq", "item"))).alias("rows"),
         F.min(F.col("item.date")).alias("oldest"))
-    # request enddate of page p = oldest item date of page p-1, minus one
-    w_prev = F.lag("oldest").over(Window.partitionBy("app_id").orderBy("page"))
-    return pages.join(totals, "app_id").select(
-        "app_id", "page", (w_prev - 1).alias("enddate"), F.lit(200).alias("http_status"),
+    # request enddate of page p = oldest item date of page p-1, minus one (equi-join, no window)
+    prev = pages.select("app_id", (F.col("page") + 1).alias("page"), (F.col("oldest") - 1).alias("enddate"))
+    return pages.join(totals, "app_id").join(prev, ["app_id", "page"], "left").select(
+        "app_id", "page", "enddate", F.lit(200).alias("http_status"),
         F.struct(F.col("count"), F.transform("rows", lambda r: r["item"]).alias("newsitems")).alias("appnews"))
 
 
