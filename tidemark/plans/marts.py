@@ -12,10 +12,12 @@ run-anchor frame, whose size is bounded by ``max_runs``.
 
 from __future__ import annotations
 
+from datetime import datetime, timedelta
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.parse import safe_ratio
+from tidemark.functions.parse import ntz_lit, safe_ratio
 from tidemark.operators.ranking import split_row_number, top_per_group
 from tidemark.warehouse import Warehouse
 
@@ -73,19 +75,45 @@ def news_rolling_asof(wh: Warehouse, max_runs: int = MAX_RUNS) -> DataFrame:
 
     Anchors are the started_at of the latest ``max_runs`` successful runs.
     Every app with any news gets a row for every anchor (count 0 included).
-    Plan: broadcast the <= max_runs anchors, pair them with each news row
-    inside the scan task and count with a partial aggregate, so only
-    (run, app) partial counts cross the shuffle -- a hot app is pre-reduced
-    in every task instead of landing in one.
+
+    Plan: the <= max_runs anchors are broadcast (a bound fixed by the query).
+    Only news inside [oldest anchor - 29 d, newest anchor] can count; those two
+    bounds are read once (a one-row aggregate of the anchors) and applied as
+    literals, so with epoch-microsecond ids the filter reaches the parquet scan
+    (row-group statistics) instead of reading all history.  Windowed news is
+    paired with the anchors inside the scan tasks and counted with a partial
+    aggregate -- only (run, app) partial counts cross the shuffle, so a hot app
+    is pre-reduced in every task.  The zero rows come from the distinct apps
+    (an app-id-only scan, also pre-aggregated) crossed with the anchors.
     """
     anchors = F.broadcast(successful_runs(wh, max_runs))
-    news = with_ts(wh.fact_news.select("app_id", "timestamp_id"), wh)
+    bounds = anchors.agg(F.min("anchor_ts").alias("lo"), F.max("anchor_ts").alias("hi")).first()
+    news = wh.fact_news.select("app_id", "timestamp_id")
+    if bounds is None or bounds["lo"] is None:
+        return news.sparkSession.createDataFrame(
+            [], "etl_run_id long, app_id int, news_count_7d long, news_count_30d long")
+    lo = bounds["lo"] - timedelta(days=29)
+    hi = bounds["hi"]
+    if wh.micros_ids:
+        window = with_ts(news.filter(F.col("timestamp_id").between(_micros(lo), _micros(hi))), wh)
+    else:
+        window = with_ts(news, wh).filter(F.col("ts").between(ntz_lit(lo), ntz_lit(hi)))
     a = F.col("anchor_ts")
     in_7 = (F.col("ts") <= a) & (F.col("ts") >= a - F.expr("INTERVAL 6 DAYS"))
     in_30 = (F.col("ts") <= a) & (F.col("ts") >= a - F.expr("INTERVAL 29 DAYS"))
-    return (news.crossJoin(anchors)
-            .groupBy("etl_run_id", "app_id")
-            .agg(F.count_if(in_7).alias("news_count_7d"), F.count_if(in_30).alias("news_count_30d")))
+    counted = (window.crossJoin(anchors).groupBy("etl_run_id", "app_id")
+               .agg(F.count_if(in_7).alias("n7"), F.count_if(in_30).alias("n30")))
+    apps = with_ts(news, wh).select("app_id").distinct()
+    grid = apps.crossJoin(anchors.select("etl_run_id"))
+    return grid.join(counted, ["etl_run_id", "app_id"], "left").select(
+        "etl_run_id", "app_id",
+        F.coalesce(F.col("n7"), F.lit(0).cast("long")).alias("news_count_7d"),
+        F.coalesce(F.col("n30"), F.lit(0).cast("long")).alias("news_count_30d"))
+
+
+def _micros(ts) -> int:
+    """Epoch microseconds of a naive UTC datetime."""
+    return int((ts - datetime(1970, 1, 1)) / timedelta(microseconds=1))
 
 
 # ------------------------------------------------------------------------ V3
