@@ -5,6 +5,8 @@ dimensions, appends facts and writes a per-app report -- each step a
 DataFrame plan, committed through ``Store`` (see its commit protocol).
 
     python -m tidemark.jobs initial --store /warehouse --snapshot /landing/snap --pages /landing/news
+    python -m tidemark.jobs check --store /warehouse
+    python -m tidemark.jobs export --store /warehouse --target /exports/2024-01-31 --format parquet
 """
 
 from __future__ import annotations
@@ -169,17 +171,34 @@ def run_summary(report: DataFrame) -> DataFrame:
 
 def main(argv=None) -> None:
     ap = argparse.ArgumentParser(prog="tidemark.jobs")
-    ap.add_argument("run_type", choices=["initial", "incremental"])
+    ap.add_argument("command", choices=["initial", "incremental", "check", "export", "import"])
     ap.add_argument("--store", required=True)
-    ap.add_argument("--snapshot", required=True)
-    ap.add_argument("--pages")
+    ap.add_argument("--snapshot", help="landed snapshot (initial / incremental)")
+    ap.add_argument("--pages", help="landed news pages (initial / incremental)")
     ap.add_argument("--snapshot-format", default="jsonl", choices=["jsonl", "object"])
+    ap.add_argument("--target", help="export target / import source")
+    ap.add_argument("--format", default=None, help="export / import format (parquet, json, csv)")
     args = ap.parse_args(argv)
     from tidemark.session import build_session
     spark = build_session()
-    res = run_load(spark, args.store, args.snapshot, args.pages, args.run_type, LoadParams.from_env(),
-                   snapshot_format=args.snapshot_format)
-    print(f"run {res.etl_run_id}: {res.status}")
+    store = Store(spark, args.store)
+    if args.command in ("initial", "incremental"):
+        res = run_load(spark, args.store, args.snapshot, args.pages, args.command, LoadParams.from_env(),
+                       snapshot_format=args.snapshot_format)
+        print(f"run {res.etl_run_id}: {res.status}")
+    elif args.command == "check":
+        from tidemark.operators.checks import assert_clean, constraint_report, smoke_counts
+        wh = store.load()
+        smoke_counts(wh).show(truncate=False)
+        report = constraint_report(wh)
+        report.show(100, truncate=False)
+        assert_clean(report)
+    elif args.command == "export":
+        store.export(args.target, args.format or "parquet")
+    else:
+        from tidemark.sources.store import import_snapshot
+        wh = import_snapshot(spark, args.target, args.format, validate=True)
+        print({name: df.count() for name, df in wh.tables().items()})
 
 
 if __name__ == "__main__":

@@ -154,7 +154,8 @@ class Store:
             df.write.mode("overwrite").format(fmt).save(f"{target.rstrip('/')}/{name}")
 
 
-def import_snapshot(spark: SparkSession, source: str, fmt: str | None = None) -> Warehouse:
+def import_snapshot(spark: SparkSession, source: str, fmt: str | None = None,
+                    validate: bool = False) -> Warehouse:
     """Load a whole warehouse snapshot, dispatching on the format.
 
     ``fmt`` defaults to the file extension of the table folders' content
@@ -170,7 +171,11 @@ def import_snapshot(spark: SparkSession, source: str, fmt: str | None = None) ->
         if fmt == "csv":
             reader = reader.option("header", "true")
         frames[name] = reader.format(fmt).load(f"{source.rstrip('/')}/{name}")
-    return Warehouse(**frames)
+    wh = Warehouse(**frames)
+    if validate:  # the smoke test after an import: every declared constraint must hold
+        from tidemark.operators.checks import assert_clean, constraint_report
+        assert_clean(constraint_report(wh))
+    return wh
 
 
 def _sniff_format(spark: SparkSession, source: str) -> str:
