@@ -22,6 +22,8 @@ being read, hence versions instead of overwrites.
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -83,7 +85,8 @@ class Store:
 
     def append_run_state(self, run_id: int, run_type: str, status: str, started_at, ended_at,
                          now, dims_version: int | None) -> None:
-        seq = int(self.run_log().agg(F.max("seq").alias("m")).first()["m"] or 0) + 1
+        # order of state records: wall-clock nanoseconds of the (single) writer of a run
+        seq = time.time_ns()
         row = [(run_id, run_type, status, started_at, ended_at, now, now, dims_version, seq)]
         self.spark.createDataFrame(row, RUN_LOG).coalesce(1).write.mode("append").parquet(self._p("runs"))
 
