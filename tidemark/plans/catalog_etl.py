@@ -475,3 +475,43 @@ def q_snapshot_export_import(spark, sf_dir):
         df.write.mode("overwrite").parquet(f"{target}/{name}")
     back = import_snapshot(spark, target)
     return checks.row_counts(back.tables())
+
+
+# ------------------------------------------------------------ I1, I2, I4, I6
+INGEST_PAGE = 100
+
+
+@register("ingest_initial_report", f"""
+    WITH apps AS (
+        SELECT DISTINCT e.user_id FROM events e JOIN customer c ON c.c_custkey = e.user_id
+        WHERE c.c_acctbal >= 0),
+    it AS (
+        SELECT user_id::INTEGER AS app_id, floor(epoch_us(ts) / 1000000)::BIGINT AS date,
+               row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS seq,
+               count(*) OVER (PARTITION BY user_id) AS n
+        FROM events WHERE event_type IN ('purchase', 'signup') AND user_id IN (SELECT user_id FROM apps)),
+    pg AS (SELECT app_id, (seq - 1) // {INGEST_PAGE} + 1 AS page, min(date) AS oldest, min(n) AS n
+           FROM it GROUP BY 1, 2),
+    per_app AS (SELECT app_id, max(page) AS pages, min(n) AS n FROM pg GROUP BY app_id)
+    SELECT a.app_id, a.pages::BIGINT AS pages, a.n AS fetched, a.n AS unique_total, 0::BIGINT AS duplicates,
+           a.n::INTEGER AS total_expected, false AS forbidden, 0::BIGINT AS rate_limited_hits,
+           p.oldest - 1 AS last_enddate, 'ok' AS walk_status,
+           a.n AS attempted, a.n AS inserted_fact_news, a.n AS inserted_dim_update_content,
+           0::BIGINT AS conflict_fact_news, 0::BIGINT AS conflict_dim_update_content,
+           0::BIGINT AS skipped_missing_fields, 0::BIGINT AS failed, 1::BIGINT AS etl_run_id
+    FROM per_app a LEFT JOIN pg p ON p.app_id = a.app_id AND p.page = a.pages - 1""", "I1 I2 I3 I4 I6 A8 A9")
+def q_ingest_initial_report(spark, sf_dir):
+    """A whole initial load (snapshot phase + news phase) into a fresh store
+    under the shared checkpoint folder; returns the run's per-app report."""
+    import uuid
+
+    from tidemark.jobs import LoadParams, load_frames
+    from tidemark.session import checkpoint_dir
+    from tidemark.sources.landing import as_landed, news_pages_from_driver, snapshot_rows_from_driver
+
+    root = f"{checkpoint_dir(spark).rstrip('/')}/tidemark-ingest-{uuid.uuid4().hex}"
+    snap = snapshot_rows_from_driver(spark, sf_dir, None)
+    news = as_landed(news_pages_from_driver(spark, sf_dir, page_size=INGEST_PAGE))
+    res = load_frames(spark, root, snap, news, "initial", LoadParams(page_size=INGEST_PAGE), run_ts=SPLIT)
+    return res.report
+

@@ -46,11 +46,14 @@ def read_news_pages(spark: SparkSession, path: str) -> DataFrame:
 
 
 # --------------------------------------------------------- derived landings
-def snapshot_rows_from_driver(spark: SparkSession, sf_dir: str, run_id: int) -> DataFrame:
+def snapshot_rows_from_driver(spark: SparkSession, sf_dir: str, run_id: int | None) -> DataFrame:
     """Snapshot payload of one run: one line per customer whose events fall in
-    the 12-hour slot ``run_id`` (metrics from those events), as text."""
-    ev = read_table(spark, sf_dir, "events").withColumn("run_id", run_id_of(F.col("ts")))
-    ev = ev.filter(F.col("run_id") == run_id)
+    the 12-hour slot ``run_id`` (all events when ``None``), metrics from those
+    events, as text.  Customers with a negative balance get a reversed owners
+    range (rejected by the CHECK rule)."""
+    ev = read_table(spark, sf_dir, "events")
+    if run_id is not None:
+        ev = ev.withColumn("run_id", run_id_of(F.col("ts"))).filter(F.col("run_id") == run_id)
     agg = ev.groupBy("user_id").agg(
         F.count(F.lit(1)).alias("n"), F.sum("value").alias("total"),
         F.count_if(F.col("event_type") == "view").alias("views"),

@@ -143,7 +143,8 @@ class Store:
             frames[name].select(*cols).write.mode("overwrite").parquet(self._p("dims", f"v={version}", name))
 
     def write_side(self, kind: str, df: DataFrame, run_id: int) -> None:
-        df.write.mode("overwrite").parquet(self._p(kind, f"etl_run_id={run_id}"))
+        # the run id lives in the folder name (partition column), not in the files
+        df.drop("etl_run_id").write.mode("overwrite").parquet(self._p(kind, f"etl_run_id={run_id}"))
 
     def read_side(self, kind: str) -> DataFrame:
         return self.spark.read.parquet(self._p(kind))
