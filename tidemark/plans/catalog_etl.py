@@ -505,13 +505,14 @@ def q_ingest_initial_report(spark, sf_dir):
     under the shared checkpoint folder; returns the run's per-app report."""
     import uuid
 
-    from tidemark.jobs import LoadParams, load_frames
+    from tidemark.jobs import LoadParams, run_load
     from tidemark.session import checkpoint_dir
-    from tidemark.sources.landing import as_landed, news_pages_from_driver, snapshot_rows_from_driver
+    from tidemark.sources.landing import news_pages_from_driver, snapshot_rows_from_driver, write_jsonl
 
     root = f"{checkpoint_dir(spark).rstrip('/')}/tidemark-ingest-{uuid.uuid4().hex}"
-    snap = snapshot_rows_from_driver(spark, sf_dir, None)
-    news = as_landed(news_pages_from_driver(spark, sf_dir, page_size=INGEST_PAGE))
-    res = load_frames(spark, root, snap, news, "initial", LoadParams(page_size=INGEST_PAGE), run_ts=SPLIT)
+    # land first (JSON lines, as the fetcher would), then load from the landing zone
+    snap = write_jsonl(snapshot_rows_from_driver(spark, sf_dir, None), f"{root}/landing/snapshot")
+    news = write_jsonl(news_pages_from_driver(spark, sf_dir, page_size=INGEST_PAGE), f"{root}/landing/news")
+    res = run_load(spark, f"{root}/store", snap, news, "initial", LoadParams(page_size=INGEST_PAGE), run_ts=SPLIT)
     return res.report
 
