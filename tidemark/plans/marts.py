@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.parse import ntz_lit, safe_ratio
 from tidemark.operators.ranking import split_row_number, top_per_group
+from tidemark.schemas import VIEW_NAMES
 from tidemark.warehouse import Warehouse
 
 METRICS = [
@@ -212,17 +213,18 @@ def latest_by_app(wh: Warehouse, overview: DataFrame | None = None) -> DataFrame
 def build_marts(wh: Warehouse, max_runs: int = MAX_RUNS) -> dict[str, DataFrame]:
     """All nine marts with the shared overview computed once."""
     overview = overview_by_run(wh, max_runs).persist()
-    return {
-        "vw_app_metrics_by_etl_run": metrics_by_run(wh),
-        "vw_app_news_7d_30d_asof_etl_run": news_rolling_asof(wh, max_runs),
-        "vw_app_overview_by_etl_run": overview,
-        "vw_app_overview_latest_etl_run": overview_latest_run(wh, overview),
-        "vw_app_news_latest": news_latest(wh),
-        "vw_app_news_daily": news_daily(wh),
-        "vw_app_timeseries_by_etl_run": timeseries_by_run(wh, overview),
-        "vw_app_changes_by_etl_run": changes_by_run(wh, overview),
-        "vw_app_overview_latest_by_app": latest_by_app(wh, overview),
-    }
+    frames = [
+        metrics_by_run(wh),
+        news_rolling_asof(wh, max_runs),
+        overview,
+        overview_latest_run(wh, overview),
+        news_latest(wh),
+        news_daily(wh),
+        timeseries_by_run(wh, overview),
+        changes_by_run(wh, overview),
+        latest_by_app(wh, overview),
+    ]
+    return dict(zip(VIEW_NAMES, frames))
 
 
 def register_marts(wh: Warehouse, max_runs: int = MAX_RUNS) -> dict[str, DataFrame]:

@@ -10,6 +10,21 @@ from pyspark.sql import types as T
 
 TS = T.TimestampNTZType()
 
+# ----------------------------------------------------------------- fixed values
+# Names that must equal the reference's so that existing queries, dashboards and
+# job configurations keep working unchanged: the seven tables, the nine views,
+# the smoke-check result names and the job parameters (environment variables).
+TABLE_NAMES = ["dim_timestamp", "dim_etl_run", "dim_app", "dim_update_typ", "dim_update_content",
+               "fact_news", "fact_steamspy_stats"]
+VIEW_NAMES = ["vw_app_metrics_by_etl_run", "vw_app_news_7d_30d_asof_etl_run", "vw_app_overview_by_etl_run",
+              "vw_app_overview_latest_etl_run", "vw_app_news_latest", "vw_app_news_daily",
+              "vw_app_timeseries_by_etl_run", "vw_app_changes_by_etl_run", "vw_app_overview_latest_by_app"]
+CHECK_NAMES = ["fact_news_null_keys", "fact_steamspy_null_keys", "fact_news_orphan_content",
+               "fact_news_orphan_timestamp", "fact_steamspy_orphan_timestamp"]
+PARAM_NAMES = ["NEWS_PAGE_SIZE", "NEWS_MAX_PAGES", "ETL_STEAMSPY_LIMIT", "ETL_APPS_LIMIT", "ETL_SKIP_NEWS"]
+RUN_TYPES = ["initial", "incremental"]
+RUN_STATES = ["running", "success", "failed"]
+
 DIM_TIMESTAMP = T.StructType([
     T.StructField("timestamp_id", T.LongType(), False),
     T.StructField("ts", TS, False),
