@@ -125,14 +125,19 @@ def load_frames(spark: SparkSession, store_root: str, raw: DataFrame, news_src:
             news_rows, _ = facts.insert_only(fact_batch, wh.fact_news, ["app_id", "update_id"])
 
         # ------------------------------------------------------------ commit
-        store.write_append("fact_steamspy_stats", stats, run_id)
-        store.write_append("dim_timestamp", ts_rows, run_id)
-        if news_rows is not None:
-            store.write_append("dim_update_content", content_rows, run_id)
-            store.write_append("fact_news", news_rows, run_id)
+        # independent writes go to the scheduler together (it is thread-safe);
+        # the run becomes visible only with its final run record below
         version = run_id
-        store.write_dims(version, {"dim_app": new_apps, "dim_update_typ": new_typ})
-        store.write_side("quarantine", rejected, run_id)
+        writes = [
+            lambda: store.write_append("fact_steamspy_stats", stats, run_id),
+            lambda: store.write_append("dim_timestamp", ts_rows, run_id),
+            lambda: store.write_dims(version, {"dim_app": new_apps, "dim_update_typ": new_typ}),
+            lambda: store.write_side("quarantine", rejected, run_id),
+        ]
+        if news_rows is not None:
+            writes += [lambda: store.write_append("dim_update_content", content_rows, run_id),
+                       lambda: store.write_append("fact_news", news_rows, run_id)]
+        _run_together(writes)
         if news_rows is not None:
             # count what was inserted from the partitions just written
             counters = pages.item_counters(prepared, store.partition("dim_update_content", run_id),
@@ -154,6 +159,15 @@ def load_frames(spark: SparkSession, store_root: str, raw: DataFrame, news_src:
                      store.read_side("quarantine").filter(F.col("etl_run_id") == run_id))
 
 
+def _run_together(actions, workers: int = 4) -> None:
+    """Run independent Spark actions from a few driver threads; re-raise the first error."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    with ThreadPoolExecutor(max_workers=workers) as pool:
+        for fut in [pool.submit(a) for a in actions]:
+            fut.result()
+
+
 def run_summary(report: DataFrame) -> DataFrame:
     """Run totals (A10) from a per-app report."""
     return report.agg(
