@@ -107,11 +107,17 @@ def insert_only(batch: DataFrame, existing: DataFrame | None, key: list[str]) ->
 
     ``ON CONFLICT DO NOTHING``: the batch must already be unique on ``key``
     (see ``first_seen``); existing rows are never touched.
+
+    The existing keys are first reduced to those present in the batch with a
+    left-semi join whose build side is the batch: when a run's batch is small
+    AQE broadcasts it and the (large) history streams past without being
+    shuffled; otherwise it stays a shuffle join.  The batch is then
+    anti-joined against that small hit set.
     """
     if existing is None:
         return batch, batch.limit(0)
-    keys = existing.select(*key)
-    return batch.join(keys, key, "left_anti"), batch.join(keys, key, "left_semi")
+    hits = existing.select(*key).join(batch.select(*key), key, "left_semi")
+    return batch.join(hits, key, "left_anti"), batch.join(hits, key, "left_semi")
 
 
 # ------------------------------------------------------------------------- U1
