@@ -46,7 +46,10 @@ def new_timestamps(batch_ts: DataFrame, existing: DataFrame | None) -> DataFrame
              .select(ts_id("ts").alias("timestamp_id"), "ts", *[c.alias(n) for n, c in parts.items()]))
     if existing is None:
         return fresh
-    return fresh.join(existing.select("timestamp_id"), "timestamp_id", "left_anti")
+    # known ids among the batch's (semi join built on the batch: the dimension
+    # streams past, broadcast when the batch is small), then drop them
+    hits = existing.select("timestamp_id").join(fresh.select("timestamp_id"), "timestamp_id", "left_semi")
+    return fresh.join(hits, "timestamp_id", "left_anti")
 
 
 # ------------------------------------------------------------------------ M2
