@@ -123,8 +123,10 @@ def overview_by_run(wh: Warehouse, max_runs: int = MAX_RUNS) -> DataFrame:
     apps = wh.dim_app.select("app_id", "app_name")
     runs = wh.dim_etl_run.select("etl_run_id", F.col("started_at").alias("etl_started_at"))
     n = news_rolling_asof(wh, max_runs)
-    joined = (m.join(apps, "app_id").join(runs, "etl_run_id")
-              .join(n, ["app_id", "etl_run_id"], "left"))
+    # metrics and rolling counts are both partitioned by (run, app): join them
+    # first, then the dimensions (broadcast when small, else one shuffle)
+    joined = (m.join(n, ["app_id", "etl_run_id"], "left")
+              .join(apps, "app_id").join(runs, "etl_run_id"))
     n7 = F.coalesce(F.col("news_count_7d"), F.lit(0).cast("long"))
     n30 = F.coalesce(F.col("news_count_30d"), F.lit(0).cast("long"))
     return joined.select(
