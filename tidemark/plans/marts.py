@@ -149,19 +149,25 @@ def news_latest(wh: Warehouse) -> DataFrame:
     """Every news row with its recency rank per app (rn = 1 is the newest).
 
     The rank uses the range-split numbering, so an app holding a large share
-    of all news is numbered by many tasks.
+    of all news is numbered by many tasks.  Only the narrow key (app, id, ts)
+    goes through the split, its checkpoint and its window; the wide columns
+    join back on the primary key, and the content join reuses that
+    partitioning.
     """
-    news = wh.fact_news.select("app_id", "update_id", "timestamp_id", "title", "url")
-    base = with_ts(news, wh).join(wh.dim_app.select("app_id", "app_name"), "app_id")
-    ranked = split_row_number(base, ["app_id"], [F.col("ts").desc(), F.col("update_id").desc()])
+    keys = with_ts(wh.fact_news.select("app_id", "update_id", "timestamp_id"), wh).select("app_id", "update_id", "ts")
+    keys = keys.join(wh.dim_app.select("app_id"), "app_id", "left_semi")  # the inner join with the app dimension
+    ranked = split_row_number(keys, ["app_id"], [F.col("ts").desc(), F.col("update_id").desc()])
+    wide = wh.fact_news.select("app_id", "update_id", "title", "url")
     content = wh.dim_update_content.select(
         "app_id", "update_id", "author", "feedlabel", "feedname", "feedtype",
         "is_external_url", "content_raw")
-    return (ranked.join(content, ["app_id", "update_id"], "left")
-            .select("app_id", "app_name", "update_id", "title", "url",
-                    F.col("ts").alias("news_ts"), F.to_date("ts").alias("news_date"),
-                    "author", "feedlabel", "feedname", "feedtype", "is_external_url",
-                    "content_raw", "rn"))
+    rows = (ranked.join(wide, ["app_id", "update_id"])
+            .join(content, ["app_id", "update_id"], "left")
+            .join(wh.dim_app.select("app_id", "app_name"), "app_id"))
+    return rows.select("app_id", "app_name", "update_id", "title", "url",
+                       F.col("ts").alias("news_ts"), F.to_date("ts").alias("news_date"),
+                       "author", "feedlabel", "feedname", "feedtype", "is_external_url",
+                       "content_raw", "rn")
 
 
 def news_top_n(wh: Warehouse, n: int = 5) -> DataFrame:
