@@ -81,7 +81,11 @@ def walk_pages(pages: DataFrame, cutoffs: DataFrame | None = None,
     max_pages = params.max_pages if params.max_pages and params.max_pages > 0 else None
     cut = cutoffs if cutoffs is not None else pages.sparkSession.createDataFrame([], "app_id int, cutoff_epoch long")
 
-    items = explode_items(pages).withColumn("walk_key", F.coalesce(F.col("gid"), F.lit("None")))
+    # the walk runs on the narrow item key; the wide fields (e.g. the content
+    # body) are attached to the kept items only, at the end
+    exploded = explode_items(pages)
+    items = exploded.select("app_id", "page", "pos", "gid", "date").withColumn(
+        "walk_key", F.coalesce(F.col("gid"), F.lit("None")))
     items = items.filter(F.col("walk_key") != "")
     items = first_seen(items, ["app_id", "walk_key"], ["page", "pos"], flag="is_new")
     is_int = F.coalesce(variant_kind(F.col("date")).isin(*INT_KINDS), F.lit(False))
@@ -145,9 +149,9 @@ def walk_pages(pages: DataFrame, cutoffs: DataFrame | None = None,
     )
     good_pages = consumed.filter(F.col("is_data")).select("app_id", "page")
     ok_apps = meta.filter(F.col("walk_status") == "ok").select("app_id")
-    kept = (items.filter("is_kept").join(good_pages, ["app_id", "page"], "left_semi")
-            .join(ok_apps, "app_id", "left_semi")
-            .drop("is_new", "is_kept", "is_cut", "cutoff_epoch", "walk_key", "is_int", "date_int"))
+    kept_keys = (items.filter("is_kept").join(good_pages, ["app_id", "page"], "left_semi")
+                 .join(ok_apps, "app_id", "left_semi").select("app_id", "page", "pos"))
+    kept = exploded.join(kept_keys, ["app_id", "page", "pos"], "left_semi")
     return kept, meta
 
 
