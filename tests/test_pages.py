@@ -123,3 +123,10 @@ def test_high_watermark(spark, fixture_wh):
     cut = {r.app_id: r.cutoff_epoch for r in pages.cutoffs_from_watermark(
         pages.latest_news_ts(fixture_wh.fact_news, fixture_wh.dim_timestamp)).collect()}
     assert cut[100] == 1767268800
+
+
+def test_kept_items_keep_their_wide_fields(walked):
+    _, _, prepared = walked
+    row = [r for r in prepared.collect() if (r.app_id, r.update_id) == (1, "a")][0]
+    assert (row.title, row.url, row.type_name, row.tags_raw) == ("ta", "ua", "patch", '["patch"]')
+    assert row.page == 1 and row.pos == 0
