@@ -6,8 +6,9 @@ are built in one job, persist the overview once (``build_marts``).
 
 Join strategy: dimension joins are left to Catalyst / AQE, which broadcast a
 side only when its measured size is under ``autoBroadcastJoinThreshold`` and
-fall back to a shuffle join otherwise.  The only explicit broadcast is the
-run-anchor frame, whose size is bounded by ``max_runs``.
+fall back to a shuffle join otherwise.  Explicit broadcasts are limited to
+frames with a bound fixed by the query: the run anchors (at most
+``max_runs`` rows) and the single latest run.
 """
 
 from __future__ import annotations
