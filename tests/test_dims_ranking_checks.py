@@ -65,6 +65,18 @@ def test_split_row_number_matches_window_under_skew(spark):
     assert ours.count() == df.count()
 
 
+def test_hot_group_is_numbered_by_many_slices(spark):
+    df = spark.range(0, 20000).select(
+        F.when(F.col("id") % 10 < 7, F.lit(1)).otherwise(F.col("id") % 50).alias("k"),
+        F.col("id").alias("v"))
+    out = split_running_sum(df, ["k"], [F.col("v")], {"rn": F.lit(1).cast("long")}, slices=16, keep_slice=True)
+    hot = out.filter("k = 1")
+    per_slice = [r[1] for r in hot.groupBy("_tm_slice").count().collect()]
+    assert len(per_slice) >= 8                       # the hot key is cut into many slices
+    assert max(per_slice) <= 2 * df.count() / 16     # none of them holds much more than its share
+    assert hot.agg(F.max("rn")).first()[0] == hot.count()
+
+
 def test_split_running_sum_global(spark):
     df = spark.range(1, 1001).select(F.col("id").alias("v"))
     out = split_running_sum(df, [], ["v"], {"s": F.col("v")}, slices=7)

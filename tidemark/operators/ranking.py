@@ -31,11 +31,13 @@ def _cols(cols) -> list[Column]:
 
 
 def split_running_sum(df: DataFrame, group_cols: list[str], order_cols: list,
-                      sums: dict[str, Column], slices: int | None = None) -> DataFrame:
+                      sums: dict[str, Column], slices: int | None = None,
+                      keep_slice: bool = False) -> DataFrame:
     """Add ``SUM(expr) OVER (PARTITION BY group ORDER BY order ROWS UNBOUNDED
     PRECEDING)`` for each ``name -> expr`` of ``sums`` (inclusive of the row).
 
     ``order_cols`` must be a total order within a group (include the key).
+    ``keep_slice`` also returns the slice each row was numbered in (``_tm_slice``).
     """
     spark = df.sparkSession
     n = slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -79,6 +81,7 @@ def split_running_sum(df: DataFrame, group_cols: list[str], order_cols: list,
     return joined.select(
         *df.columns,
         *[(F.col(f"_tm_o_{vals[nm]}") + F.col(f"_tm_l_{vals[nm]}")).alias(nm) for nm in names],
+        *([F.col(_SLICE)] if keep_slice else []),
     )
 
 
