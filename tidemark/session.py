@@ -9,6 +9,7 @@ except the session zone, which the semantics depend on.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -58,13 +59,16 @@ def configure(spark: SparkSession) -> SparkSession:
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this must be set by the deployment (a shared file system);
-    only when it is unset -- local runs and tests -- a private folder is made.
+    On a cluster the deployment must set it (a shared file system).  Only a local
+    master, where driver and executors are one process, gets a private folder.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if path and spark.sparkContext.getCheckpointDir():
         return path
     if not path:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+            raise ValueError(f"spark.checkpoint.dir must name a shared folder on {master}")
         path = tempfile.mkdtemp(prefix="tidemark-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)
