@@ -43,8 +43,10 @@ def in_fold(doc_id: Column, modulus: int, remainder: int) -> Column:
 
 
 def lower_ascii(text: Column) -> Column:
-    """A-Z to a-z and nothing else; null becomes empty."""
-    return F.translate(F.coalesce(text, F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    """A-Z to a-z and nothing else; null becomes empty.  ``lower`` is that on texts of ASCII only, and faster."""
+    t = F.coalesce(text, F.lit(""))
+    return F.when(F.octet_length(t) == F.length(t), F.lower(t)) \
+        .otherwise(F.translate(t, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"))
 
 
 def words(text: Column, separators: str) -> Column:

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, toxicity
+from tidemark.llm import bpe, decontaminate, simhash, toxicity
 from tidemark.llm.common import in_fold, table
 
 
@@ -45,9 +45,56 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.col("toxicity.sentences").alias("sentences"))
 
 
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    out = simhash.near_duplicates(docs, size=4, max_bits=4)
+    return out.select("doc_id", simhash.hex16(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), span=10)
+    return out.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "items").cast("binary"), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"))
+
+
 QUERIES = {
+    "op2_simhash": op2_simhash,
     "op3_bpe": op3_bpe,
     "op7_toxicity": op7_toxicity,
+    "op9_decontamination": op9_decontamination,
 }
 
-SQL: dict[str, str] = {}
+LETTERS = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+
+OP9_SQL = rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), {LETTERS}), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+b AS (
+  SELECT CAST(item_id AS VARCHAR) AS item,
+         regexp_extract_all(translate(coalesce(text, ''), {LETTERS}), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark),
+bw AS (
+  SELECT DISTINCT item, least(len(w), 10) AS n, w[i + 1 : i + least(len(w), 10)] AS win
+  FROM (SELECT item, w, unnest(range(len(w) - least(len(w), 10) + 1)) AS i FROM b WHERE len(w) > 0)),
+dw AS (
+  SELECT rid, n, i, w[i + 1 : i + n] AS win
+  FROM (SELECT rid, w, n, unnest(range(len(w) - n + 1)) AS i
+        FROM d, (SELECT DISTINCT n FROM bw) WHERE len(w) >= n)),
+hit AS (SELECT rid, i, dw.n, item FROM dw JOIN bw ON dw.n = bw.n AND dw.win = bw.win),
+hw AS (SELECT rid, count(DISTINCT i + k) AS n_hit
+       FROM (SELECT rid, i, unnest(range(n)) AS k FROM hit) GROUP BY rid),
+hi AS (SELECT rid, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+       FROM (SELECT DISTINCT rid, item FROM hit) GROUP BY rid)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hw USING (rid) LEFT JOIN hi USING (rid)
+"""
+
+SQL: dict[str, str] = {
+    "op9_decontamination": OP9_SQL,
+}
