@@ -107,9 +107,9 @@ def covered(spans: str) -> Column:
 def contamination(docs: DataFrame, benchmark: DataFrame, span: int = 10, k: int = 4,
                   broadcast_windows: int = 200_000, id_col: str = "doc_id", text_col: str = "text",
                   item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
-    """(id, n_words, n_hit, spans, items) for every row of ``docs``.
+    """(id, row, n_words, n_hit, spans, items) for every row of ``docs``.
 
-    ``spans`` are the hit windows as word positions (stop exclusive, sorted),
+    ``row`` is the XXH64 of the text, ``spans`` are the hit windows as word positions (stop exclusive, sorted),
     ``items`` the ids of the items that have an occurring window, as sorted text.
     """
     windows = written(item_windows(benchmark, span, k, item_col, item_text_col), "windows")
@@ -127,5 +127,5 @@ def contamination(docs: DataFrame, benchmark: DataFrame, span: int = 10, k: int
                                                      F.array().cast("array<string>").alias("items"))
     return named.unionByName(none) \
         .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("n_rows").cast("int")))) \
-        .select(F.col("_id").alias(id_col), F.col("n_words").cast("long").alias("n_words"),
+        .select(F.col("_id").alias(id_col), F.col("_row").alias("row"), F.col("n_words").cast("long").alias("n_words"),
                 covered("spans").alias("n_hit"), "spans", "items")

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, decontaminate, simhash, toxicity
+from tidemark.llm import bpe, decontaminate, pii, simhash, toxicity
 from tidemark.llm.common import in_fold, table
 
 
@@ -51,6 +51,14 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", simhash.hex16(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = pii.sanitise(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    counts = [(F.size("pii") - F.size(F.array_remove("pii.kind", k))).cast("long").alias(f"n_{kind}")
+              for k, kind in enumerate(pii.PATTERNS)]
+    return out.select("doc_id", *counts, F.sha2(pii.joined_spans("pii").cast("binary"), 256).alias("base_sha256"),
+                      pii.joined_spans("pii", "terms").alias("spans"))
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), span=10)
     return out.select(
@@ -63,6 +71,7 @@ QUERIES = {
     "op2_simhash": op2_simhash,
     "op3_bpe": op3_bpe,
     "op7_toxicity": op7_toxicity,
+    "op8_pii": op8_pii,
     "op9_decontamination": op9_decontamination,
 }
 

@@ -235,13 +235,17 @@ def hex16(fp: Column) -> Column:
 
 def near_duplicates(docs: DataFrame, size: int = 4, max_bits: int = 4, block: int = 100_000,
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, fp, component_id) for every row of ``docs``; component_id is the smallest id reachable by links."""
-    narrow = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
-    fps = written(fingerprints(narrow, size, "_text").select("_id", "fp"), "fingerprints")
+    """(id, row, fp, root, component_id) for every row of ``docs``.
+
+    ``component_id`` is the smallest id reachable by links, ``root`` the component's
+    smallest fingerprint (unique even if ids repeat), ``row`` the XXH64 of the text.
+    """
+    narrow = docs.select(F.col(id_col).alias("_id"), F.xxhash64(F.col(text_col)).alias("row"), F.col(text_col).alias("_text"))
+    fps = written(fingerprints(narrow, size, "_text").select("_id", "row", "fp"), "fingerprints")
     heads = written(fps.groupBy("fp").agg(F.min("_id").alias("head")), "distinct")
     roots = components(link(heads.select("fp"), max_bits, block))
     rooted = heads.join(roots.withColumnRenamed("node", "fp"), "fp", "left") \
         .select("fp", "head", F.coalesce("root", "fp").alias("root"))
     small = rooted.groupBy("root").agg(F.min("head").alias("component_id"))
-    named = rooted.join(small, "root").select("fp", "component_id")
-    return fps.join(named, "fp").select(F.col("_id").alias(id_col), "fp", "component_id")
+    named = rooted.join(small, "root").select("fp", "root", "component_id")
+    return fps.join(named, "fp").select(F.col("_id").alias(id_col), "row", "fp", "root", "component_id")
