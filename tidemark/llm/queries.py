@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, decontaminate, pii, simhash, toxicity
+from tidemark.llm import bpe, decontaminate, lm, pii, simhash, toxicity
 from tidemark.llm.common import in_fold, table
 
 
@@ -45,6 +45,20 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.col("toxicity.sentences").alias("sentences"))
 
 
+def piece_vocabulary() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
+def op1_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = in_fold(F.col("doc_id"), 7, 2)
+    out = lm.score(docs, ~held_out, lm.Vocabulary.load(piece_vocabulary()))
+    return out.select("doc_id", (~F.col("learned")).alias("held_out"), "n_tokens", "n_known", "train_tokens",
+                      "base_score", "score")
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     out = simhash.near_duplicates(docs, size=4, max_bits=4)
@@ -68,6 +82,7 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_lm": op1_lm,
     "op2_simhash": op2_simhash,
     "op3_bpe": op3_bpe,
     "op7_toxicity": op7_toxicity,
