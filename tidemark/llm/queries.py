@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, decontaminate, lm, pii, simhash, toxicity
+from tidemark.llm import bpe, decontaminate, lm, pii, quality, simhash, toxicity
 from tidemark.llm.common import in_fold, table
 
 
@@ -29,6 +29,12 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    chain = quality.train(docs, table(spark, sf_dir, "labels"), lambda doc_id: ~in_fold(doc_id, 5, 0))
+    return quality.judge(docs, chain)
+
+
 def toxicity_model(spark: SparkSession, sf_dir: str, docs: DataFrame) -> toxicity.Model:
     """Learned from the labelled rows outside the held-out fold."""
     labels = table(spark, sf_dir, "labels")
@@ -85,6 +91,7 @@ QUERIES = {
     "op1_lm": op1_lm,
     "op2_simhash": op2_simhash,
     "op3_bpe": op3_bpe,
+    "op4_quality": op4_quality,
     "op7_toxicity": op7_toxicity,
     "op8_pii": op8_pii,
     "op9_decontamination": op9_decontamination,
