@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, decontaminate, lm, pii, quality, simhash, toxicity
+from tidemark.llm import bpe, chat, decontaminate, licenses, lm, pii, quality, simhash, toxicity
 from tidemark.llm.common import in_fold, table
 
 
@@ -35,6 +35,17 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(docs, chain)
 
 
+def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = licenses.scan(table(spark, sf_dir, "documents"))
+    return out.select(
+        "doc_id", "n_words", F.size("places").cast("long").alias("n_base"),
+        F.array_min("places.start").cast("long").alias("first_word"),
+        F.array_max("places.start").cast("long").alias("last_word"),
+        licenses.label_text(F.col("places.label")).alias("base_labels"),
+        licenses.label_text(F.concat("places.label", "spans.label")).alias("labels"),
+        F.col("best").alias("score"))
+
+
 def toxicity_model(spark: SparkSession, sf_dir: str, docs: DataFrame) -> toxicity.Model:
     """Learned from the labelled rows outside the held-out fold."""
     labels = table(spark, sf_dir, "labels")
@@ -87,14 +98,22 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def op10_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pairs = chat.swapped_pairs(chat.conversations(table(spark, sf_dir, "conversations")))
+    return chat.format_preferences(pairs).withColumnRenamed("id", "conv_id") \
+        .withColumns({m: chat.mask_text(m) for m in ("chosen_mask", "rejected_mask")})
+
+
 QUERIES = {
     "op1_lm": op1_lm,
     "op2_simhash": op2_simhash,
     "op3_bpe": op3_bpe,
     "op4_quality": op4_quality,
+    "op5_licenses": op5_licenses,
     "op7_toxicity": op7_toxicity,
     "op8_pii": op8_pii,
     "op9_decontamination": op9_decontamination,
+    "op10_preferences": op10_preferences,
 }
 
 LETTERS = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
@@ -126,6 +145,65 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
 FROM d LEFT JOIN hw USING (rid) LEFT JOIN hi USING (rid)
 """
 
+_TEMPLATES = ", ".join(
+    f"({t}, '{label}', {'true' if t < len(licenses.PHRASES) else 'false'}, '{text}')"
+    for t, (label, text) in enumerate(licenses.PHRASES + licenses.NOTICES))
+
+OP5_SQL = rf"""
+WITH tp AS (SELECT t, label, exact, string_split(body, ' ') AS w FROM (VALUES {_TEMPLATES}) AS v(t, label, exact, body)),
+g AS (SELECT t, label, exact, len(w) AS size, least(len(w), 3) AS k, i, w[i + 1 : i + least(len(w), 3)] AS gram
+      FROM (SELECT *, unnest(range(len(w) - least(len(w), 3) + 1)) AS i FROM tp)),
+d AS (SELECT row_number() OVER () AS rid, doc_id,
+             regexp_extract_all(translate(coalesce(text, ''), {LETTERS}), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+      FROM documents),
+dg AS (SELECT rid, k, p, w[p + 1 : p + k] AS gram
+       FROM (SELECT rid, w, k, unnest(range(len(w) - k + 1)) AS p FROM d, (VALUES (2), (3)) AS ks(k) WHERE len(w) >= k)),
+votes AS (SELECT rid, t, label, exact, size, g.k, p - i AS diagonal, count(DISTINCT i) AS votes, min(p) AS start, max(p) AS last
+          FROM dg JOIN g ON dg.k = g.k AND dg.gram = g.gram GROUP BY ALL),
+parts AS (SELECT *, CASE WHEN NOT exact AND diagonal - lag(diagonal) OVER o <= 3 THEN 0 ELSE 1 END AS fresh
+          FROM votes WINDOW o AS (PARTITION BY rid, t ORDER BY diagonal)),
+numbered AS (SELECT *, sum(fresh) OVER (PARTITION BY rid, t ORDER BY diagonal) AS span FROM parts),
+spans AS (SELECT rid, t, label, exact, min(start) AS start, max(last) + k AS stop, size,
+                 least(1.0, CAST(sum(votes) AS DOUBLE) / (size - k + 1)) AS cover
+          FROM numbered GROUP BY rid, t, label, exact, size, k, span),
+per AS (SELECT rid, count(*) FILTER (exact) AS n_base, min(start) FILTER (exact) AS first_word, max(start) FILTER (exact) AS last_word,
+               string_agg(DISTINCT label, ',' ORDER BY label) FILTER (exact) AS base_labels,
+               string_agg(DISTINCT label, ',' ORDER BY label)
+                 FILTER (exact OR (cover >= 0.75 AND stop - start <= 2 * size)) AS labels,
+               max(cover) AS score
+        FROM spans GROUP BY rid)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_base, 0) AS BIGINT) AS n_base,
+       CAST(first_word AS BIGINT) AS first_word, CAST(last_word AS BIGINT) AS last_word,
+       coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(score, 0.0) AS score
+FROM d LEFT JOIN per USING (rid)
+"""
+
+_RENDER = "'<|' || t.role || '|>' || chr(10) || t.text || '<|end|>' || chr(10)"
+_MASK = """array_to_string(list_transform(list_filter(range(1, len({0}) + 1), lambda i: {0}[i].role = 'assistant'), lambda i:
+    CAST(coalesce(list_sum(list_transform({0}r[1 : i - 1], lambda z: length(z))), 0) + length({0}[i].role) + 5 AS BIGINT) || ':' ||
+    CAST(list_sum(list_transform({0}r[1 : i], lambda z: length(z))) - 1 AS BIGINT)), ',')"""
+
+OP10_SQL = f"""
+WITH t AS (SELECT DISTINCT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
+           FROM conversations WHERE conv_id IS NOT NULL),
+c AS (SELECT conv_id, list(struct_pack(role := role, text := text) ORDER BY turn NULLS FIRST, role, text) AS a
+      FROM t GROUP BY conv_id),
+f AS (SELECT conv_id, a, coalesce(list_position(list_transform(a, lambda x: x.role), 'assistant'), 0) AS fa FROM c),
+p AS (SELECT x.conv_id, x.a AS a, list_concat(x.a[1 : x.fa - 1], coalesce(y.a[y.fa :], [])) AS b
+      FROM f x LEFT JOIN f y ON y.conv_id = xor(x.conv_id, 1) AND y.fa > 0 WHERE x.fa > 0),
+n AS (SELECT *, least(len(a), len(b)) AS m,
+             coalesce(list_position(list_transform(range(1, least(len(a), len(b)) + 1), lambda i: a[i] = b[i]), false), 0) AS d FROM p),
+q AS (SELECT conv_id, CASE WHEN d > 0 THEN d - 1 ELSE m END AS k, a, b FROM n),
+s AS (SELECT conv_id, k, a[1 : k] AS pre, a[k + 1 :] AS ca, b[k + 1 :] AS cb FROM q),
+r AS (SELECT *, list_transform(pre, lambda t: {_RENDER}) AS prer, list_transform(ca, lambda t: {_RENDER}) AS car,
+             list_transform(cb, lambda t: {_RENDER}) AS cbr FROM s)
+SELECT conv_id, CAST(k AS BIGINT) AS n_prompt_turns, array_to_string(prer, '') AS prompt, array_to_string(car, '') AS chosen,
+       array_to_string(cbr, '') AS rejected, {_MASK.format('ca')} AS chosen_mask, {_MASK.format('cb')} AS rejected_mask
+FROM r
+"""
+
 SQL: dict[str, str] = {
+    "op5_licenses": OP5_SQL,
+    "op10_preferences": OP10_SQL,
     "op9_decontamination": OP9_SQL,
 }
