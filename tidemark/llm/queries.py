@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, chat, decontaminate, licenses, lm, pii, quality, simhash, toxicity
+from tidemark.llm import bpe, chat, decontaminate, licenses, lm, pii, quality, repeats, simhash, toxicity
 from tidemark.llm.common import in_fold, table
 
 
@@ -46,6 +46,11 @@ def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("best").alias("score"))
 
 
+def op6_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = repeats.remove_repeats(table(spark, sf_dir, "documents"), window=35)
+    return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
 def toxicity_model(spark: SparkSession, sf_dir: str, docs: DataFrame) -> toxicity.Model:
     """Learned from the labelled rows outside the held-out fold."""
     labels = table(spark, sf_dir, "labels")
@@ -110,6 +115,7 @@ QUERIES = {
     "op3_bpe": op3_bpe,
     "op4_quality": op4_quality,
     "op5_licenses": op5_licenses,
+    "op6_repeats": op6_repeats,
     "op7_toxicity": op7_toxicity,
     "op8_pii": op8_pii,
     "op9_decontamination": op9_decontamination,
@@ -202,7 +208,24 @@ SELECT conv_id, CAST(k AS BIGINT) AS n_prompt_turns, array_to_string(prer, '') A
 FROM r
 """
 
+OP6_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+           FROM documents),
+win AS (SELECT rid, i, array_to_string(w[i + 1 : i + 35], ' ') AS win
+        FROM (SELECT rid, w, unnest(range(len(w) - 34)) AS i FROM d WHERE len(w) >= 35)),
+twice AS (SELECT rid, i FROM (SELECT rid, i, count(*) OVER (PARTITION BY win) AS n FROM win) WHERE n > 1),
+gone AS (SELECT DISTINCT rid, i + k AS p FROM (SELECT rid, i, unnest(range(35)) AS k FROM twice)),
+per AS (SELECT rid, count(*) AS n_removed FROM gone GROUP BY rid),
+kept AS (SELECT x.rid, string_agg(word, ' ' ORDER BY x.p) AS kept
+         FROM (SELECT rid, unnest(w) AS word, unnest(range(len(w))) AS p FROM d) x LEFT JOIN gone ON x.rid = gone.rid AND x.p = gone.p
+         WHERE gone.p IS NULL GROUP BY x.rid)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN per USING (rid) LEFT JOIN kept USING (rid)
+"""
+
 SQL: dict[str, str] = {
+    "op6_repeats": OP6_SQL,
     "op5_licenses": OP5_SQL,
     "op10_preferences": OP10_SQL,
     "op9_decontamination": OP9_SQL,
