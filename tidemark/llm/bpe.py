@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import heapq
 import json
+import re
 import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -42,7 +43,8 @@ from tidemark.llm.common import fresh
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?[{L}]+| ?[{N}]+| ?[^{S}{L}{N}]+|[{S}]+(?![^{S}])|[{S}]+"
 #: Fixed value: Unicode's white space.
 WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-CACHE = 200_000     # pieces a task remembers
+CACHE = 100_000     # pieces that a worker remembers
+SHORT = 64          # bytes up to which pieces are merged many at a time
 CHUNK = 1 << 20     # characters of text handled together
 NEVER = np.int32(2**31 - 1)
 
@@ -81,6 +83,13 @@ def split_pattern() -> str:
         .replace("{L}", sets["L"]).replace("{N}", sets["N"])
 
 
+def latin_pattern() -> str:
+    """SPLIT for texts of characters below U+0250, whose classes no Unicode version changes; for the faster ``re``."""
+    def runs(kind: str) -> str:
+        return "".join(f"\\u{c:04x}" for c in range(0x250) if unicodedata.category(chr(c))[0] == kind)
+    return SPLIT.replace("{L}", runs("L")).replace("{N}", runs("N")).replace("{S}", r"\t-\r \x85\xa0")
+
+
 @dataclass
 class Model:
     """A vocabulary and its merges as arrays; about 10 MB for 50,000 tokens, so it may be broadcast."""
@@ -92,11 +101,13 @@ class Model:
     pair_rank: np.ndarray
     left: np.ndarray                 # parts of each id, -1 for single bytes
     right: np.ndarray
+    made: np.ndarray                 # id that the merge of each rank makes
     rank: np.ndarray                 # rank of the merge that makes the id, -1 for single bytes
     propose: dict[bytes, int]        # tokens that encode to themselves
     longest: dict[int, int]          # longest such token by first byte
     split: str                       # regular expression that cuts texts into pieces
     single: list[int]                # id of each byte
+    shared: Encoder | None = None
 
     @staticmethod
     def load(path: str) -> Model:
@@ -124,7 +135,10 @@ class Model:
         order = np.argsort(key)
         ranks = np.fromiter((r for r, _ in merged.values()), np.int32, len(merged))
         of_byte = {token[i][0]: i for i in vocab.values() if len(token[i]) == 1}
-        model = Model(token, special, merged, key[order], ranks[order], left, right, rank, {}, {},
+        made = np.zeros(len(spec["model"]["merges"]), np.int64)
+        for r, z in merged.values():
+            made[r] = z
+        model = Model(token, special, merged, key[order], ranks[order], left, right, made, rank, {}, {},
                       split_pattern(), [of_byte[b] for b in range(256)])
         for i in vocab.values():
             if model.merge(token[i]) == [i]:
@@ -157,6 +171,41 @@ class Model:
                 heapq.heappush(heap, (hit[0], h, ids[h], ids[i]))
         return [x for x in ids if x >= 0]
 
+    def merge_many(self, pieces: list[bytes]) -> list[list[int]]:
+        """BPE of many short pieces: every round does the next merge of each piece that has one."""
+        of_byte = np.array(self.single, np.int64)
+        n = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        ids = of_byte[np.frombuffer(b"".join(pieces), np.uint8)]
+        piece = np.repeat(np.arange(len(pieces)), n)
+        done_ids, done_piece = [], []
+        rank = np.full(len(ids), NEVER)
+        inner = np.flatnonzero(piece[1:] == piece[:-1])
+        rank[inner] = self.pair_ranks(ids[inner], ids[inner + 1])
+        while len(ids):
+            start = np.flatnonzero(np.r_[True, piece[1:] != piece[:-1]])
+            size = np.diff(np.r_[start, len(ids)])
+            low = np.minimum.reduceat(rank, start)
+            live = np.repeat(low < NEVER, size)
+            done_ids.append(ids[~live])
+            done_piece.append(piece[~live])
+            if not live.any():
+                break
+            at = np.flatnonzero(live & (rank == np.repeat(low, size)))
+            at = at[np.r_[True, piece[at][1:] != piece[at][:-1]]]           # the leftmost of each piece
+            ids[at] = self.made[rank[at]]
+            keep = live.copy()
+            keep[at + 1] = False
+            place = np.cumsum(keep)[at] - 1                                 # of the new symbols
+            ids, piece, rank = ids[keep], piece[keep], rank[keep]
+            for left in (place, place[place > 0] - 1):                      # their pairs with both neighbours
+                right = np.minimum(left + 1, len(ids) - 1)
+                same = (right > left) & (piece[left] == piece[right])
+                rank[left] = np.where(same, self.pair_ranks(ids[left], ids[right]), NEVER)
+        ids, piece = np.concatenate(done_ids), np.concatenate(done_piece)
+        ids = ids[np.argsort(piece, kind="stable")]
+        ends = np.cumsum(np.bincount(piece, minlength=len(pieces)))[:-1]
+        return [x.tolist() for x in np.split(ids, ends)]
+
     # -- speculation and verification ---------------------------------------
     def longest_match(self, piece: bytes) -> list[int]:
         out, i, n, propose, longest = [], 0, len(piece), self.propose, self.longest
@@ -208,44 +257,64 @@ class Model:
         pairs, back = np.unique(flat[at] * len(self.token) + flat[at + 1], return_inverse=True)
         good = self.compatible(pairs // len(self.token), pairs % len(self.token))[back]
         failed = np.unique(np.repeat(np.arange(len(out)), n)[at[~good]])
+        short = [k for k in failed.tolist() if len(pieces[k]) <= SHORT]
+        for k, ids in zip(short, self.merge_many([pieces[k] for k in short]) if short else [], strict=True):
+            out[k] = ids
         for k in failed.tolist():
-            out[k] = self.merge(pieces[k])
+            if len(pieces[k]) > SHORT:
+                out[k] = self.merge(pieces[k])
         return out, len(failed)
 
+    def encoder(self) -> Encoder:
+        """One encoder for each copy of the model, so that the tasks of a worker share what it remembers."""
+        if self.shared is None:
+            self.shared = Encoder(self)
+        return self.shared
+
     def decode(self, ids: list[int]) -> str:
-        token = self.token
-        return b"".join([token[i] for i in ids if 0 <= i < len(token)]).decode("utf-8", "replace")
+        return decoded(self.token, ids)
+
+
+def decoded(token: list[bytes], ids: list[int]) -> str:
+    return b"".join([token[i] for i in ids if 0 <= i < len(token)]).decode("utf-8", "replace")
 
 
 class Encoder:
-    """Encodes whole texts with one model; remembers a bounded number of pieces."""
+    """Encodes whole texts with one model; remembers the pieces of the last one or two times ``CACHE``."""
 
     def __init__(self, model: Model):
-        self.model, self.known = model, {}
-        self.split = regex.compile(model.split)
+        self.model, self.known, self.before = model, {}, {}
+        self.split, self.latin = regex.compile(model.split), re.compile(latin_pattern())
+        self.beyond = re.compile("[^\x00-\u024f]")
         self.special = regex.compile("(" + "|".join(map(regex.escape, sorted(model.special, key=len, reverse=True))) + ")") \
             if model.special else None
 
+    def pieces(self, text: str) -> list[str]:
+        return (self.split if self.beyond.search(text) else self.latin).findall(text)
+
     def parts(self, text: str) -> list[str | int]:
         """Pieces of the text; a special token as its id."""
         if self.special is None or not any(s in text for s in self.model.special):
-            return self.split.findall(text)
+            return self.pieces(text)
         out: list[str | int] = []
         for k, x in enumerate(self.special.split(text)):
-            out.extend([self.model.special[x]] if k % 2 else self.split.findall(x))
+            out.extend([self.model.special[x]] if k % 2 else self.pieces(x))
         return out
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         parts = [self.parts(t) for t in texts]
         if len(self.known) > CACHE:
-            self.known.clear()
-        known = self.known
-        new = list({p for x in parts for p in x if p not in known})
-        for i in [p for p in new if isinstance(p, int)]:
-            known[i] = (i,)
-        new = [p for p in new if not isinstance(p, int)]
-        ids, _ = self.model.encode_pieces([p.encode() for p in new])
-        known.update(zip(new, map(tuple, ids), strict=True))
+            self.known, self.before = {}, self.known
+        known, before = self.known, self.before
+        new = []
+        for p in {p for x in parts for p in x if p not in known}:
+            if isinstance(p, int):
+                known[p] = (p,)
+            elif (ids := before.get(p)) is not None:
+                known[p] = ids
+            else:
+                new.append(p)
+        known.update(zip(new, map(tuple, self.model.encode_pieces([p.encode() for p in new])[0]), strict=True))
         return [np.fromiter(chain.from_iterable(map(known.__getitem__, x)), np.int32) for x in parts]
 
 
@@ -268,7 +337,7 @@ def encode(df: DataFrame, model: Model, text_col: str = "text", out_col: str = "
 
     @F.arrow_udf("array<int>")
     def ids(it: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        encoder = Encoder(held.value)
+        encoder = held.value.encoder()
         for batch in it:
             parts = []
             for k in range(0, len(batch), 512):
@@ -283,14 +352,14 @@ def encode(df: DataFrame, model: Model, text_col: str = "text", out_col: str = "
 
 def decode(df: DataFrame, model: Model, ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:
     """``df`` with the text that the ids stand for, special tokens included."""
-    held = df.sparkSession.sparkContext.broadcast(model)
+    held = df.sparkSession.sparkContext.broadcast(model.token)
 
     @F.arrow_udf("string")
     def text(it: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in it:
-            decode_one, out = held.value.decode, []
+            token, out = held.value, []
             for k in range(0, len(batch), 256):
-                out.extend(decode_one(x or []) for x in batch.slice(k, 256).to_pylist())
+                out.extend(decoded(token, x or []) for x in batch.slice(k, 256).to_pylist())
             yield pa.array(out, pa.string())
 
     return df.withColumn(fresh(df, out_col)[0], text(F.col(ids_col)))
