@@ -1,4 +1,4 @@
-"""Stop rules of the page walk, item preparation and the high watermark."""
+"""Landed items, stop rules of the page walk, item preparation and the high watermark."""
 
 import json
 

@@ -104,9 +104,19 @@ def ntz_lit(value) -> Column:
     return F.lit(text).cast("timestamp_ntz")
 
 
+#: Epoch seconds of the first and of the last second that a timestamp may have (years 1 to 9999).
+EPOCH_MIN, EPOCH_MAX = -62135596800, 253402300799
+
+
+def epoch_ok(c) -> Column:
+    """Whether epoch seconds lie in the years 1 to 9999 (NULL: NULL)."""
+    return _text(c).between(EPOCH_MIN, EPOCH_MAX)
+
+
 def epoch_to_ts(c) -> Column:
-    """Epoch seconds (integral or fractional) -> UTC TIMESTAMP_NTZ."""
-    micros = (_text(c).cast("decimal(38,6)") * F.lit(1000000)).cast("bigint")
+    """Epoch seconds (integral or fractional) -> UTC TIMESTAMP_NTZ; NULL outside the years 1 to 9999."""
+    seconds = _text(c).try_cast("decimal(38,6)")
+    micros = (F.when(epoch_ok(seconds), seconds) * F.lit(1000000)).cast("bigint")
     return F.timestamp_micros(micros).cast("timestamp_ntz")
 
 
@@ -160,6 +170,17 @@ def truthy(c) -> Column:
     return F.coalesce(_text(c).cast("boolean"), F.lit(False))
 
 
+def truthy_variant(c) -> Column:
+    """Truth of any JSON value: false for missing, null, false, zero and empty values, else true."""
+    v = F.col(c) if isinstance(c, str) else c
+    kind = F.call_function("schema_of_variant", v)
+    as_text = F.call_function("try_variant_get", v, F.lit("$"), F.lit("string"))
+    falsy = ((kind == "VOID") | ((kind == "BOOLEAN") & (as_text == "false")) | ((kind == "STRING") & (as_text == ""))
+             | kind.isin("OBJECT<>", "ARRAY<>", "ARRAY<VOID>") & as_text.isin("{}", "[]")
+             | (kind.rlike("INT|DECIMAL|DOUBLE|FLOAT") & (as_text.try_cast("double") == 0)))
+    return F.when(v.isNull(), False).otherwise(~F.coalesce(falsy, F.lit(False)))
+
+
 def gid_text(c) -> Column:
     """News id as inserted: missing / NULL -> ''."""
     return F.coalesce(_text(c).cast("string"), F.lit(""))

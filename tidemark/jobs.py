@@ -12,7 +12,6 @@ DataFrame plan, committed through ``Store`` (see its commit protocol).
 from __future__ import annotations
 
 import argparse
-import os
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
@@ -28,21 +27,16 @@ from tidemark.sources.store import Store
 @dataclass(frozen=True)
 class LoadParams:
     """Job parameters (I7); 0 means "no limit" as for the reference's knobs."""
-    page_size: int = 100
-    max_pages: int = 0
+    page_size: int = 100      # of the fetcher; recorded, it decides nothing here
+    max_pages: int = 0        # of the fetcher, likewise
     snapshot_limit: int = 0   # first N payload entries (initial run only)
     apps_limit: int = 0       # first N apps by id in the news phase (initial run only)
     skip_news: bool = False   # initial run only
 
-    @staticmethod
-    def from_env(env=os.environ) -> "LoadParams":
-        return LoadParams(
-            page_size=int(env.get("NEWS_PAGE_SIZE", "100")),
-            max_pages=int(env.get("NEWS_MAX_PAGES", "0")),
-            snapshot_limit=int(env.get("ETL_STEAMSPY_LIMIT", "0")),
-            apps_limit=int(env.get("ETL_APPS_LIMIT", "0")),
-            skip_news=env.get("ETL_SKIP_NEWS", "0") == "1",
-        )
+    def limits(self) -> str:
+        """The limits that cut this load, for the run's totals; empty when everything is loaded."""
+        return ",".join(f"{k}={int(v)}" for k, v in [("snapshot_limit", self.snapshot_limit), ("apps_limit", self.apps_limit),
+                                                     ("skip_news", self.skip_news)] if v)
 
 
 @dataclass
@@ -69,9 +63,13 @@ def run_load(spark: SparkSession, store_root: str, snapshot_path: str, pages_pat
 
 def load_frames(spark: SparkSession, store_root: str, raw: DataFrame, news_src: DataFrame | None,
                 run_type: str = "incremental", params: LoadParams = LoadParams(),
-                run_ts: datetime | None = None) -> RunResult:
+                run_ts: datetime | None = None, load_key: str | None = None) -> RunResult:
     """One load run from already-read landing frames (snapshot rows with
-    ``pos``; landed news pages or ``None``)."""
+    ``pos``; landed news pages or ``None``).
+
+    ``load_key`` names the batch; the run log keeps it, so that a caller can tell a
+    batch that is loaded from one that is not (see ``Store.loaded``).
+    """
     if run_type not in ("initial", "incremental"):
         raise ValueError(run_type)
     incremental = run_type == "incremental"
@@ -91,6 +89,7 @@ def load_frames(spark: SparkSession, store_root: str, raw: DataFrame, news_src:
         parsed = facts.parse_snapshot(raw).persist()
         cached = [parsed]
         valid, rejected = facts.split_valid(parsed)
+        valid = facts.with_unique_positions(valid)
         snap_ts = spark.range(1).select(now.alias("ts"))
         ts_rows = dims.new_timestamps(snap_ts, wh.dim_timestamp)
         new_apps = dims.upsert_apps(
@@ -105,10 +104,11 @@ def load_frames(spark: SparkSession, store_root: str, raw: DataFrame, news_src:
             apps = new_apps.select("app_id")
             if params.apps_limit > 0 and not incremental:
                 apps = apps.orderBy("app_id").limit(params.apps_limit)
+            bad_pages = pages.malformed_pages(news_src)
             landed = news_src.join(apps, "app_id", "left_semi")
             cutoffs = (pages.cutoffs_from_watermark(pages.latest_news_ts(wh.fact_news, wh.dim_timestamp, wh.micros_ids))
                        if incremental else None)
-            kept, meta = pages.walk_pages(landed, cutoffs, pages.WalkParams(params.page_size, params.max_pages or None))
+            kept, meta = pages.landed_news(landed, cutoffs)
             prepared = pages.prepare_items(kept).persist()
             meta = meta.persist()
             cached += [prepared, meta]
@@ -135,8 +135,12 @@ def load_frames(spark: SparkSession, store_root: str, raw: DataFrame, news_src:
             lambda: store.write_side("quarantine", rejected, run_id),
         ]
         if news_rows is not None:
+            bad_items = prepared.filter(F.col("outcome") != "ok").select(
+                "app_id", "page", "pos", "update_id", "title", "url", "reason")
             writes += [lambda: store.write_append("dim_update_content", content_rows, run_id),
-                       lambda: store.write_append("fact_news", news_rows, run_id)]
+                       lambda: store.write_append("fact_news", news_rows, run_id),
+                       lambda: store.write_side("quarantine_items", bad_items, run_id),
+                       lambda: store.write_side("quarantine_pages", bad_pages, run_id)]
         _run_together(writes)
         if news_rows is not None:
             # count what was inserted from the partitions just written
@@ -147,13 +151,15 @@ def load_frames(spark: SparkSession, store_root: str, raw: DataFrame, news_src:
             report = (meta.join(counters, "app_id", "left").fillna(0, zero)
                       .withColumn("etl_run_id", F.lit(run_id).cast("long")))
             store.write_side("report", report, run_id)
+        store.write_side("totals", run_totals(
+            parsed, report, bad_pages if news_rows is not None else None, run_id, params.limits()), run_id)
         status = "success"
     finally:
         for df in locals().get("cached", []):
             df.unpersist()
         # the final state is written on its own, also after a failure (Q17)
         store.append_run_state(run_id, run_type, status, started, _utcnow(), _utcnow(),
-                               version if status == "success" else store.current_dims_version())
+                               version if status == "success" else store.current_dims_version(), load_key)
     return RunResult(run_id, status,
                      store.read_side("report").filter(F.col("etl_run_id") == run_id) if report is not None else None,
                      store.read_side("quarantine").filter(F.col("etl_run_id") == run_id))
@@ -168,11 +174,23 @@ def _run_together(actions, workers: int = 4) -> None:
             fut.result()
 
 
+def run_totals(parsed: DataFrame, report: DataFrame | None, bad_pages: DataFrame | None, run_id: int,
+               limits: str = "") -> DataFrame:
+    """One row of totals of a run (A10, A11): snapshot rows ok and failed, and the news phase's sums."""
+    snap = parsed.agg(F.count_if(F.col("reject_reason").isNull()).alias("snapshot_ok"),
+                      F.count_if(F.col("reject_reason").isNotNull()).alias("snapshot_failed"))
+    out = snap.crossJoin(run_summary(report)) if report is not None else snap
+    out = out.crossJoin(bad_pages.agg(F.count(F.lit(1)).alias("malformed_pages"))) if bad_pages is not None else out
+    return out.withColumns({"limits": F.lit(limits), "etl_run_id": F.lit(run_id).cast("long")})
+
+
 def run_summary(report: DataFrame) -> DataFrame:
-    """Run totals (A10) from a per-app report."""
+    """Run totals of the news phase (A10) from a per-app report; every kept item of every app was tried."""
     return report.agg(
         F.count(F.lit(1)).alias("apps"),
+        F.count_if(F.col("walk_status") == "failed").alias("failed_apps"),
         F.sum("fetched").alias("fetched_total"),
+        F.sum("duplicates").alias("duplicates"),
         F.sum("inserted_fact_news").alias("inserted_fact_total"),
         F.sum("inserted_dim_update_content").alias("inserted_content_total"),
         F.count_if("forbidden").alias("forbidden_apps"),
@@ -184,19 +202,23 @@ def run_summary(report: DataFrame) -> DataFrame:
 
 def main(argv=None) -> None:
     ap = argparse.ArgumentParser(prog="tidemark.jobs")
-    ap.add_argument("command", choices=["initial", "incremental", "check", "export", "import"])
+    ap.add_argument("command", choices=["initial", "incremental", "check", "export", "import", "reset"])
     ap.add_argument("--store", required=True)
     ap.add_argument("--snapshot", help="landed snapshot (initial / incremental)")
     ap.add_argument("--pages", help="landed news pages (initial / incremental)")
     ap.add_argument("--snapshot-format", default="jsonl", choices=["jsonl", "object"])
     ap.add_argument("--target", help="export target / import source")
     ap.add_argument("--format", default=None, help="export / import format (parquet, json, csv)")
+    ap.add_argument("--snapshot-limit", type=int, default=0, help="initial run: first N payload entries (0: all)")
+    ap.add_argument("--apps-limit", type=int, default=0, help="initial run: first N apps in the news phase (0: all)")
+    ap.add_argument("--skip-news", action="store_true", help="initial run: no news phase")
     args = ap.parse_args(argv)
     from tidemark.session import build_session
     spark = build_session()
     store = Store(spark, args.store)
     if args.command in ("initial", "incremental"):
-        res = run_load(spark, args.store, args.snapshot, args.pages, args.command, LoadParams.from_env(),
+        params = LoadParams(snapshot_limit=args.snapshot_limit, apps_limit=args.apps_limit, skip_news=args.skip_news)
+        res = run_load(spark, args.store, args.snapshot, args.pages, args.command, params,
                        snapshot_format=args.snapshot_format)
         print(f"run {res.etl_run_id}: {res.status}")
     elif args.command == "check":
@@ -208,10 +230,12 @@ def main(argv=None) -> None:
         assert_clean(report)
     elif args.command == "export":
         store.export(args.target, args.format or "parquet")
+    elif args.command == "reset":
+        store.reset()
     else:
         from tidemark.sources.store import import_snapshot
-        wh = import_snapshot(spark, args.target, args.format, validate=True)
-        print({name: df.count() for name, df in wh.tables().items()})
+        store.adopt(import_snapshot(spark, args.target, args.format, validate=True))
+        print({name: df.count() for name, df in store.load().tables().items()})
 
 
 if __name__ == "__main__":

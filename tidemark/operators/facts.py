@@ -29,8 +29,8 @@ MONEY = [("price", 100, 12), ("initialprice", 100, 12), ("discount", 1, 5)]
 def parse_snapshot(raw: DataFrame) -> DataFrame:
     """Landed snapshot rows (all text) -> typed rows plus ``reject_reason``.
 
-    ``reject_reason`` is NULL for a valid row, else the first failed rule:
-    ``appid``, ``owners_range``, ``owners_check``, ``int:<col>``,
+    ``reject_reason`` is NULL for a valid row, else the first failed rule: ``pos`` (no payload
+    position, so no id and no order), ``appid``, ``owners_range``, ``owners_check``, ``int:<col>``,
     ``nan:<col>`` or ``range:<col>``.
     """
     # Two projections: values and per-rule flags first, the reason from the
@@ -39,7 +39,7 @@ def parse_snapshot(raw: DataFrame) -> DataFrame:
     app_id, app_ok = parse_int_strict("appid")
     o_min, o_max = owners_range("owners")
     cols: dict[str, Column] = {"app_id": app_id, "_o_min": o_min, "_o_max": o_max}
-    flags: list[tuple[str, Column]] = [("appid", F.col("appid").isNull() | ~app_ok)]
+    flags: list[tuple[str, Column]] = [("appid", F.col("appid").isNull() | ~app_ok), ("pos", F.col("pos").isNull())]
     for c in INT_METRICS:
         val, ok = parse_int_strict(c)
         cols[c] = val
@@ -51,7 +51,7 @@ def parse_snapshot(raw: DataFrame) -> DataFrame:
                        *[v.alias(k) for k, v in cols.items()],
                        *[v.alias(f"_f{i}") for i, (_, v) in enumerate(flags)])
     lo, hi = F.col("_o_min"), F.col("_o_max")
-    checks: list[tuple[Column, str]] = [(F.col("_f0"), "appid"),
+    checks: list[tuple[Column, str]] = [(F.col("_f1"), "pos"), (F.col("_f0"), "appid"),
                                         (~(fits_int(lo) & fits_int(hi)), "owners_range"),
                                         (lo.isNotNull() & hi.isNotNull() & (lo > hi), "owners_check")]
     checks += [(F.col(f"_f{i}"), tag) for i, (tag, _) in enumerate(flags) if tag.startswith("int:")]
@@ -83,6 +83,19 @@ def split_valid(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 # ------------------------------------------------------------------------- M6
+def with_unique_positions(valid: DataFrame) -> DataFrame:
+    """Rows whose payload positions are unique: as they are, or numbered anew if several files brought the same ones.
+
+    The new numbers follow (pos, app, all other columns), in range slices.
+    """
+    repeated = valid.groupBy("pos").count().filter(F.col("count") > 1)
+    if repeated.isEmpty():
+        return valid
+    from tidemark.operators.ranking import split_row_number
+    order = ["pos", "app_id", *[c for c in valid.columns if c not in ("pos", "app_id")]]
+    return split_row_number(valid, [], order, out="_number").withColumn("pos", F.col("_number") - 1).drop("_number")
+
+
 def snapshot_facts(valid: DataFrame, timestamp_id: Column, etl_run_id: Column, now: Column) -> DataFrame:
     """Snapshot fact rows of one run (append-only).
 

@@ -1,12 +1,10 @@
-"""News pages: the page walk over landed pages, the per-app high watermark,
-item preparation and per-app ingest counters.
+"""News pages: landed items, the per-app high watermark, item preparation and
+per-app ingest counters.
 
 The fetcher lands every response it got as one record (app, page sequence,
-request ``enddate``, HTTP status, body).  The walk decides, per app, which
-prefix of those pages the paging loop would have consumed and which items it
-would have kept -- with the same stop rules -- as set-based Spark operations:
-per-page aggregates, running sums per app (range-split, so a hot app is not
-one task) and a per-app minimum for the first stopping page.
+request ``enddate``, HTTP status, body).  ``landed_news`` is the load path: every
+landed item counts.  ``walk_pages`` tells which prefix of the pages a paging loop
+would have asked for; it answers that question only and decides no load.
 """
 
 from __future__ import annotations
@@ -16,9 +14,12 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.parse import epoch_to_ts, first_tag, tags_json, truthy, ts_to_epoch
-from tidemark.operators.facts import first_seen
+from tidemark.functions.parse import (
+    epoch_ok, epoch_to_ts, first_tag, parse_int_strict, tags_json, truthy, truthy_variant, ts_to_epoch,
+)
+from tidemark.operators.facts import dedupe_first, first_seen
 from tidemark.operators.ranking import split_running_sum
+from tidemark.schemas import CORRUPT
 
 
 @dataclass(frozen=True)
@@ -36,9 +37,66 @@ def variant_kind(v: Column) -> Column:
 
 def explode_items(pages: DataFrame) -> DataFrame:
     """One row per landed item of a 200 page: (app_id, page, pos, item fields)."""
-    ok = pages.filter(F.col("http_status") == 200)
-    return ok.select("app_id", "page", F.posexplode("appnews.newsitems").alias("pos", "it")).select(
-        "app_id", "page", "pos", "it.*")
+    ok = pages.filter((F.col("http_status") == 200) & F.col("app_id").isNotNull())
+    return ok.select("app_id", "page", _fetch_id(pages), F.posexplode("appnews.newsitems").alias("pos", "it")).select(
+        "app_id", "page", "fetch_id", "pos", "it.*")
+
+
+def _fetch_id(pages: DataFrame) -> Column:
+    return F.col("fetch_id") if "fetch_id" in pages.columns else F.lit(None).cast("string").alias("fetch_id")
+
+
+def malformed_pages(pages: DataFrame) -> DataFrame:
+    """Landed lines that do not parse or name no app: (app_id, page, reason, line)."""
+    line = F.col(CORRUPT) if CORRUPT in pages.columns else F.lit(None).cast("string")
+    reason = F.when(line.isNotNull(), "malformed_line").when(F.col("app_id").isNull(), "app_id")
+    return pages.select("app_id", "page", reason.alias("reason"), line.alias("line")).filter(F.col("reason").isNotNull())
+
+
+# -------------------------------------------------------------- the load path
+def landed_news(pages: DataFrame, cutoffs: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """Every landed item that is new, and one row of counters per app.
+
+    Items are all those of 200 responses, whatever their page held besides.  Of
+    items that share (app, gid) the first by fetch, page and position stays; items
+    without a gid stay all and are rejected when typed.  Items with an integer date
+    at or before their app's watermark are left out.
+
+    Counters: ``pages`` with items, ``fetched`` items kept, ``duplicates`` of a gid,
+    ``total_expected`` (the first page's count), ``forbidden`` and
+    ``rate_limited_hits`` responses, ``last_enddate``, and ``walk_status``
+    (``failed`` if any response had another status).  They describe the fetch;
+    they decide nothing.
+    """
+    items = explode_items(pages)
+    has_gid = F.coalesce(F.col("gid"), F.lit("")) != ""
+    named = items.filter(has_gid)
+    first = dedupe_first(named, ["app_id", "gid"], ["fetch_id", "page", "pos", "title", "url", "contents"])
+    kept = first.unionByName(items.filter(~has_gid))
+    if cutoffs is not None:
+        is_int = F.coalesce(variant_kind(F.col("date")).isin(*INT_KINDS), F.lit(False))
+        epoch = F.when(is_int, F.expr("try_variant_get(date, '$', 'bigint')"))
+        kept = after_cutoff(kept.withColumn("_epoch", epoch), cutoffs, "_epoch").drop("_epoch")
+
+    status, n_items = F.col("http_status"), F.size(F.coalesce(F.col("appnews.newsitems"), F.array()))
+    count = F.col("appnews.count").try_cast("int")
+    is_data = (status == 200) & (n_items > 0)
+    meta = pages.filter(F.col("app_id").isNotNull()).groupBy("app_id").agg(
+        F.count_if(is_data).alias("pages"),
+        F.sum(F.when(is_data, F.size(F.filter("appnews.newsitems", lambda i: F.coalesce(i["gid"], F.lit("")) != "")))
+              .otherwise(0)).cast("long").alias("_named"),
+        F.min_by(F.when(status == 200, count), F.when((status == 200) & count.isNotNull(), F.col("page"))).alias("total_expected"),
+        F.coalesce(F.max(status == 403), F.lit(False)).alias("forbidden"),
+        F.count_if(status == 429).alias("rate_limited_hits"),
+        F.max_by("enddate", "page").alias("last_enddate"),
+        F.coalesce(F.max(~status.isin(200, 403, 429)), F.lit(False)).alias("_failed"))
+    unique = first.groupBy("app_id").agg(F.count(F.lit(1)).alias("_unique"))
+    fetched = kept.groupBy("app_id").agg(F.count(F.lit(1)).alias("fetched"))
+    meta = meta.join(unique, "app_id", "left").join(fetched, "app_id", "left").fillna(0, ["_unique", "fetched"])
+    return kept, meta.select(
+        "app_id", "pages", "fetched", F.col("fetched").alias("unique_total"),
+        (F.col("_named") - F.col("_unique")).alias("duplicates"), "total_expected", "forbidden", "rate_limited_hits",
+        "last_enddate", F.when(F.col("_failed"), "failed").otherwise("ok").alias("walk_status"))
 
 
 # ------------------------------------------------------------------------- A3
@@ -64,7 +122,7 @@ def after_cutoff(items: DataFrame, cutoffs: DataFrame, date_col: str = "date") -
     """F2 on integer epoch dates: keep items newer than their app's cutoff
     (apps without a watermark keep everything)."""
     j = items.join(cutoffs, "app_id", "left")
-    keep = F.col("cutoff_epoch").isNull() | (F.col(date_col) > F.col("cutoff_epoch"))
+    keep = F.col("cutoff_epoch").isNull() | F.col(date_col).isNull() | (F.col(date_col) > F.col("cutoff_epoch"))
     return j.filter(keep).drop("cutoff_epoch")
 
 
@@ -83,7 +141,7 @@ def walk_pages(pages: DataFrame, cutoffs: DataFrame | None = None,
 
     # the walk runs on the narrow item key; the wide fields (e.g. the content
     # body) are attached to the kept items only, at the end
-    exploded = explode_items(pages)
+    exploded = explode_items(pages).drop("fetch_id")
     items = exploded.select("app_id", "page", "pos", "gid", "date").withColumn(
         "walk_key", F.coalesce(F.col("gid"), F.lit("None")))
     items = items.filter(F.col("walk_key") != "")
@@ -103,7 +161,7 @@ def walk_pages(pages: DataFrame, cutoffs: DataFrame | None = None,
         F.max((F.col("is_new") & F.col("is_int")).cast("int")).alias("has_int"),
     )
     pg = pages.select(
-        "app_id", "page", "enddate", "http_status", F.col("appnews.count").alias("count"),
+        "app_id", "page", "enddate", "http_status", F.col("appnews.count").try_cast("int").alias("count"),
         F.size(F.coalesce(F.col("appnews.newsitems"), F.array())).alias("n_items"),
     ).join(per_page, ["app_id", "page"], "left").fillna(0, ["n_kept", "n_dup", "reached", "has_int"])
 
@@ -157,9 +215,13 @@ def walk_pages(pages: DataFrame, cutoffs: DataFrame | None = None,
 
 # ------------------------------------------------------------------ F1 + P*
 def prepare_items(items: DataFrame) -> DataFrame:
-    """Type walked items for insert and give each an ``outcome``:
-    ``skipped_missing`` (no gid / title / url), ``failed`` (date NULL or not
-    numeric) or ``ok``."""
+    """Type landed items for insert and give each an ``outcome``.
+
+    ``skipped_missing`` (no gid / title / url), ``failed`` or ``ok``.  ``reason`` says
+    why an item is not inserted: ``missing_fields``, ``date`` (null, not a number, or
+    outside the years 1 to 9999) or ``feed_type`` (no whole number).  A bad value
+    rejects its item and nothing else.
+    """
     gid = F.coalesce(F.col("gid"), F.lit(""))
     missing = ((gid == "") | (F.coalesce(F.col("title"), F.lit("")) == "")
                | (F.coalesce(F.col("url"), F.lit("")) == ""))
@@ -167,8 +229,11 @@ def prepare_items(items: DataFrame) -> DataFrame:
     numeric = kind.isin(*INT_KINDS, "DOUBLE", "FLOAT") | kind.startswith("DECIMAL")
     epoch = F.when(F.col("date").isNull(), F.lit(0).cast("decimal(38,6)")).otherwise(
         F.expr("try_variant_get(date, '$', 'decimal(38,6)')"))
-    date_ok = F.col("date").isNull() | (numeric & epoch.isNotNull())
-    outcome = F.when(missing, "skipped_missing").when(~date_ok, "failed").otherwise("ok")
+    date_ok = F.col("date").isNull() | F.coalesce(numeric & epoch_ok(epoch), F.lit(False))
+    feed, feed_ok = parse_int_strict(F.col("feed_type").cast("string"))
+    reason = F.when(missing, "missing_fields").when(~date_ok, "date").when(~F.coalesce(feed_ok, F.lit(True)), "feed_type")
+    external = F.col("is_external_url")
+    is_variant = items.schema["is_external_url"].dataType.typeName() == "variant"
     return items.select(
         "app_id", "page", "pos",
         gid.alias("update_id"), "title", "url",
@@ -176,9 +241,10 @@ def prepare_items(items: DataFrame) -> DataFrame:
         first_tag("tags").alias("type_name"),
         tags_json("tags").alias("tags_raw"),
         F.col("contents").alias("content_raw"), "author", "feedlabel", "feedname",
-        F.col("feed_type").alias("feedtype"),
-        truthy("is_external_url").alias("is_external_url"),
-        outcome.alias("outcome"),
+        feed.alias("feedtype"),
+        (truthy_variant(external) if is_variant else truthy(external)).alias("is_external_url"),
+        F.when(reason.isNull(), "ok").when(reason == "missing_fields", "skipped_missing").otherwise("failed").alias("outcome"),
+        reason.alias("reason"),
     )
 
 

@@ -8,7 +8,7 @@ tables, or ``None`` where only a row-count check applies.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -49,13 +49,24 @@ def q_metrics_by_run(spark, sf_dir):
 @register("news_rolling_asof", with_adapter(S.chain(S.V2) + " SELECT * FROM q_v2"),
           "V2 F4 T1 J2 J5 F6 A1 P12")
 def q_news_rolling_asof(spark, sf_dir):
-    return marts.news_rolling_asof(_wh(spark, sf_dir))
+    return marts.news_rolling_asof(_wh(spark, sf_dir), marts.MAX_RUNS)
+
+
+@register("news_rolling_all_runs", with_adapter(S.chain(S.V2_ALL) + " SELECT * FROM q_v2"), "V2 A1 J2 P12")
+def q_news_rolling_all_runs(spark, sf_dir):
+    # timestamps are joined here, not read off the ids
+    return marts.news_rolling_asof(replace(_wh(spark, sf_dir), micros_ids=False))
 
 
 @register("overview_by_run", with_adapter(S.chain(S.V1, S.V2, S.V3) + " SELECT * FROM q_v3"),
           "V3 J3 J4 J6 P9 P10")
 def q_overview_by_run(spark, sf_dir):
-    return marts.overview_by_run(_wh(spark, sf_dir))
+    return marts.overview_by_run(_wh(spark, sf_dir), marts.MAX_RUNS)
+
+
+@register("overview_all_runs", with_adapter(S.chain(S.V1, S.V2_ALL, S.V3) + " SELECT * FROM q_v3"), "V3 J1 J2 J3 J4 J6")
+def q_overview_all_runs(spark, sf_dir):
+    return marts.overview_by_run(replace(_wh(spark, sf_dir), micros_ids=False))
 
 
 @register("overview_latest_run",
@@ -85,18 +96,21 @@ def q_news_daily(spark, sf_dir):
 @register("timeseries_by_run", with_adapter(S.chain(S.V1, S.V2, S.V3, S.V6, S.V7) + " SELECT * FROM q_v7"),
           "V7 J8")
 def q_timeseries_by_run(spark, sf_dir):
-    return marts.timeseries_by_run(_wh(spark, sf_dir))
+    wh = _wh(spark, sf_dir)
+    return marts.timeseries_by_run(wh, marts.overview_by_run(wh, marts.MAX_RUNS))
 
 
 @register("changes_by_run", with_adapter(S.chain(S.V1, S.V2, S.V3, S.V8) + " SELECT * FROM q_v8"),
           "V8 W4 P11")
 def q_changes_by_run(spark, sf_dir):
-    return marts.changes_by_run(_wh(spark, sf_dir))
+    wh = _wh(spark, sf_dir)
+    return marts.changes_by_run(wh, marts.overview_by_run(wh, marts.MAX_RUNS))
 
 
 @register("latest_by_app", with_adapter(S.chain(S.V1, S.V2, S.V3, S.V9) + " SELECT * FROM q_v9"), "V9 W3")
 def q_latest_by_app(spark, sf_dir):
-    return marts.latest_by_app(_wh(spark, sf_dir))
+    wh = _wh(spark, sf_dir)
+    return marts.latest_by_app(wh, marts.overview_by_run(wh, marts.MAX_RUNS))
 
 
 # ----------------------------------------------------------------- reports
@@ -106,14 +120,16 @@ _BASE3 = S.chain(S.V1, S.V2, S.V3)
 @register("app_detail", with_adapter(
     S.chain(_BASE3, S.V9) + " SELECT " + ", ".join(reports.KPI_COLUMNS) + " FROM q_v9"), "D1")
 def q_app_detail(spark, sf_dir):
-    return reports.app_detail(_wh(spark, sf_dir))
+    wh = _wh(spark, sf_dir)
+    return reports.app_detail(wh, latest=marts.latest_by_app(wh, marts.overview_by_run(wh, marts.MAX_RUNS)))
 
 
 @register("metric_course", with_adapter(
     S.chain(_BASE3, S.V6, S.V7) + " SELECT app_id, app_name, etl_run_id, etl_started_at, ccu, price, discount, "
     "news_count_7d, news_count_30d, news_count_daily FROM q_v7"), "D2")
 def q_metric_course(spark, sf_dir):
-    return reports.metric_course(_wh(spark, sf_dir))
+    wh = _wh(spark, sf_dir)
+    return reports.metric_course(wh, timeseries=marts.timeseries_by_run(wh, marts.overview_by_run(wh, marts.MAX_RUNS)))
 
 
 @register("news_context", with_adapter(S.chain(S.V5_BASE, S.V6) + """
@@ -160,7 +176,50 @@ def q_run_monitor(spark, sf_dir):
            sum(news_count_30d)::BIGINT AS total_news_30d, count(*) FILTER (WHERE news_count_30d > 0) AS apps_with_news
     FROM q_v3 GROUP BY etl_run_id, etl_started_at"""), "D7")
 def q_run_explorer(spark, sf_dir):
-    return reports.run_explorer(_wh(spark, sf_dir))
+    wh = _wh(spark, sf_dir)
+    return reports.run_explorer(wh, overview=marts.overview_by_run(wh, marts.MAX_RUNS))
+
+
+# ------------------------------------------------- reports with a choice made
+_APP = "Customer#000000007"      # a name that the customer table has at every scale
+_ALL3 = S.chain(S.V1, S.V2_ALL, S.V3)
+_RUN = "(SELECT min(etl_run_id) FROM w_dim_etl_run WHERE status = 'success')"
+_OF_RUN = f"q_latest AS (SELECT * FROM q_v3 WHERE etl_run_id = {_RUN})"
+
+
+def _first_run(wh):
+    return marts.successful_runs(wh).agg({"etl_run_id": "min"}).first()[0]
+
+
+@register("app_detail_by_name", with_adapter(
+    S.chain(_ALL3, S.V9) + " SELECT " + ", ".join(reports.KPI_COLUMNS) + f" FROM q_v9 WHERE app_name = '{_APP}'"), "D1")
+def q_app_detail_by_name(spark, sf_dir):
+    return reports.app_detail(_wh(spark, sf_dir), _APP)
+
+
+@register("metric_course_by_name", with_adapter(
+    S.chain(_ALL3, S.V6, S.V7) + " SELECT app_id, app_name, etl_run_id, etl_started_at, ccu, price, discount, "
+    f"news_count_7d, news_count_30d, news_count_daily FROM q_v7 WHERE app_name = '{_APP}'"), "D2")
+def q_metric_course_by_name(spark, sf_dir):
+    return reports.metric_course(_wh(spark, sf_dir), _APP)
+
+
+@register("run_explorer_of_run", with_adapter(S.chain(_ALL3, _OF_RUN) + """
+    SELECT etl_run_id, etl_started_at, count(*) AS apps, sum(ccu)::BIGINT AS total_ccu, max(ccu) AS max_ccu,
+           sum(news_count_30d)::BIGINT AS total_news_30d, count(*) FILTER (WHERE news_count_30d > 0) AS apps_with_news
+    FROM q_latest GROUP BY etl_run_id, etl_started_at"""), "D7")
+def q_run_explorer_of_run(spark, sf_dir):
+    wh = _wh(spark, sf_dir)
+    return reports.run_explorer(wh, run_id=_first_run(wh))
+
+
+@register("distribution_of_run", with_adapter(S.chain(_ALL3, _OF_RUN) + f"""
+    SELECT {_TIER} AS price_tier, (floor(ccu / {reports.CCU_BUCKET}) * {reports.CCU_BUCKET})::BIGINT AS ccu_bucket,
+           count(*) AS apps, sum(ccu)::BIGINT AS total_ccu, min(ccu) AS min_ccu, max(ccu) AS max_ccu
+    FROM q_latest GROUP BY 1, 2"""), "D4")
+def q_distribution_of_run(spark, sf_dir):
+    wh = _wh(spark, sf_dir)
+    return reports.distribution(wh, run_id=_first_run(wh))
 
 
 # the ingest-side queries register themselves on import

@@ -5,6 +5,7 @@ same way on both sides; each Spark builder runs the library operator."""
 from __future__ import annotations
 
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import functions as F
 
@@ -357,6 +358,32 @@ def q_page_walk(spark, sf_dir):
     return meta
 
 
+# --------------------------------------------- the load path: every new landed item
+@register("news_delta", f"""
+    WITH wm AS (SELECT user_id, max(ts) AS newest FROM events
+                WHERE event_type IN ('purchase', 'signup') AND ts < {SPLIT_SQL} GROUP BY user_id)
+    SELECT user_id::INTEGER AS app_id, event_id::VARCHAR AS update_id, 'title ' || event_id AS title,
+           'https://example.com/news/' || event_id AS url, date_trunc('second', ts) AS ts,
+           'k' || json_extract_string(props, '$.k') AS type_name, props AS content_raw, event_type AS author,
+           (event_id % 2)::INTEGER AS feedtype, value > 50 AS is_external_url, 'ok' AS outcome
+    FROM events LEFT JOIN wm USING (user_id)
+    WHERE event_type IN ('purchase', 'signup')
+      AND (newest IS NULL OR epoch_us(date_trunc('second', ts)) > epoch_us(date_trunc('second', newest)))""",
+          "S2 F2 U1 P13 P15 P16 P18 A3")
+def q_news_delta(spark, sf_dir):
+    from tidemark.sources.landing import as_landed, news_pages_from_driver
+    # two page sizes, as fetchers of different settings leave them: every item counts all the same
+    landed = as_landed(news_pages_from_driver(spark, sf_dir, page_size=WALK_PAGE)).unionByName(
+        as_landed(news_pages_from_driver(spark, sf_dir, page_size=WALK_PAGE + 7)))
+    ev = read_table(spark, sf_dir, "events").filter(F.col("event_type").isin(NEWS_TYPES))
+    wm = (ev.filter(F.col("ts") < ntz_lit(SPLIT)).groupBy(F.col("user_id").cast("int").alias("app_id"))
+          .agg(F.max("ts").alias("latest_ts")))
+    kept, _meta = pages.landed_news(landed, pages.cutoffs_from_watermark(wm))
+    return pages.prepare_items(kept).select(
+        "app_id", "update_id", "title", "url", "ts", "type_name", "content_raw", "author", "feedtype",
+        "is_external_url", "outcome")
+
+
 # ---------------------------------------------------------- F9, C4, C5, P14
 def _raw_snapshot(spark, sf_dir):
     p = read_table(spark, sf_dir, "part")
@@ -394,7 +421,7 @@ def _raw_snapshot(spark, sf_dir):
            CASE WHEN p_brand = 'Brand#3' THEN NULL
                 ELSE (round(p_retailprice * 100)::BIGINT::DECIMAL(38,10) * 0.01)::DECIMAL(12,2) END AS price,
            CASE WHEN p_brand = 'Brand#4' THEN NULL ELSE p_size::DECIMAL(5,2) END AS discount
-    FROM r""", "F9 C4 C5 P14 A11")
+    FROM r""", "F9 C4 C5 P14")
 def q_quarantine(spark, sf_dir):
     parsed = facts.parse_snapshot(_raw_snapshot(spark, sf_dir))
     return parsed.select("pos", "reject_reason", "app_id", "owners_min", "ccu", "price", "discount")
@@ -513,6 +540,94 @@ def q_ingest_initial_report(spark, sf_dir):
     # land first (JSON lines, as the fetcher would), then load from the landing zone
     snap = write_jsonl(snapshot_rows_from_driver(spark, sf_dir, None), f"{root}/landing/snapshot")
     news = write_jsonl(news_pages_from_driver(spark, sf_dir, page_size=INGEST_PAGE), f"{root}/landing/news")
-    res = run_load(spark, f"{root}/store", snap, news, "initial", LoadParams(page_size=INGEST_PAGE), run_ts=SPLIT)
+    res = run_load(spark, f"{root}/store", snap, news, "initial", LoadParams(), run_ts=SPLIT)
     return res.report
 
+
+
+# ------------------------------- S4-S7, M4-M6, I5, I6, A10, A11: what two loads store
+LATER = datetime(2024, 1, 31)
+_TEXT = "concat_ws('|', {})"
+
+
+def _row(*cols: str) -> str:
+    """The columns as one text, nulls as ``-``."""
+    return _TEXT.format(", ".join(f"coalesce(CAST({c} AS {{text}}), '-')" for c in cols))
+
+
+_STORED = {
+    "fact_news": _row("app_id", "update_id", "timestamp_id", "etl_run_id", "title", "url"),
+    "dim_update_content": _row("app_id", "update_id", "content_raw", "author", "feedtype", "is_external_url", "tags_raw"),
+    "fact_steamspy_stats": _row("etl_run_id", "app_id", "owners_min", "owners_max", "positive", "negative",
+                                "average_2weeks", "price", "initialprice", "discount"),
+    "dim_app": _row("app_id", "app_name", "developer", "publisher"),
+    "totals": _row("etl_run_id", "snapshot_ok", "snapshot_failed", "apps", "fetched_total", "inserted_fact_total",
+                   "inserted_content_total", "skipped_missing", "failed_items", "malformed_pages"),
+}
+
+
+@register("stored_warehouse", f"""
+    WITH s AS (
+        SELECT user_id, count(*) AS n, count(*) FILTER (event_type = 'view') AS views,
+               count(*) FILTER (event_type = 'error') AS errors, max(value) AS top
+        FROM events GROUP BY user_id),
+    p AS (
+        SELECT c_custkey::INTEGER AS app_id, c_name AS app_name, c_mktsegment AS developer,
+               'nation-' || c_nationkey AS publisher, c_acctbal >= 0 AS good, n, views, errors, top
+        FROM s JOIN customer ON c_custkey = user_id),
+    runs AS (SELECT * FROM (VALUES (1, {SPLIT_SQL}), (2, TIMESTAMP '2024-01-31 00:00:00')) AS v(etl_run_id, started)),
+    news AS (
+        SELECT app_id, event_id::VARCHAR AS update_id, epoch_us(date_trunc('second', ts)) AS timestamp_id,
+               CASE WHEN ts < {SPLIT_SQL} THEN 1 ELSE 2 END AS etl_run_id, 'title ' || event_id AS title,
+               'https://example.com/news/' || event_id AS url, props AS content_raw, event_type AS author,
+               event_id % 2 AS feedtype, value > 50 AS is_external_url,
+               '["k' || json_extract_string(props, '$.k') || '"]' AS tags_raw
+        FROM events JOIN p ON p.app_id = user_id AND good WHERE event_type IN ('purchase', 'signup')),
+    stored AS (
+        SELECT * FROM news n
+        WHERE etl_run_id = 1 OR timestamp_id > coalesce((SELECT max(m.timestamp_id) FROM news m
+                                                        WHERE m.app_id = n.app_id AND m.etl_run_id = 1), -1)),
+    stats AS (
+        SELECT etl_run_id, app_id, n * 1000 AS owners_min, n * 2000 AS owners_max, views * 10 AS positive, errors AS negative,
+               n AS average_2weeks, (round(top * 100)::BIGINT::DECIMAL(30,2) / 100)::DECIMAL(12,2) AS price,
+               (round(top * 200)::BIGINT::DECIMAL(30,2) / 100)::DECIMAL(12,2) AS initialprice,
+               (errors * 5)::DECIMAL(5,2) AS discount
+        FROM p, runs WHERE good),
+    totals AS (
+        SELECT etl_run_id, (SELECT count(*) FROM p WHERE good) AS snapshot_ok, (SELECT count(*) FROM p WHERE NOT good) AS snapshot_failed,
+               (SELECT count(DISTINCT app_id) FROM news WHERE news.etl_run_id <= runs.etl_run_id) AS apps,
+               (SELECT count(*) FROM stored WHERE stored.etl_run_id = runs.etl_run_id) AS fetched_total,
+               (SELECT count(*) FROM stored WHERE stored.etl_run_id = runs.etl_run_id) AS inserted_fact_total,
+               (SELECT count(*) FROM stored WHERE stored.etl_run_id = runs.etl_run_id) AS inserted_content_total,
+               0 AS skipped_missing, 0 AS failed_items, 0 AS malformed_pages
+        FROM runs)
+    SELECT 'fact_news' AS table_name, {_STORED['fact_news'].format(text='VARCHAR')} AS row_text FROM stored
+    UNION ALL SELECT 'dim_update_content', {_STORED['dim_update_content'].format(text='VARCHAR')} FROM stored
+    UNION ALL SELECT 'fact_steamspy_stats', {_STORED['fact_steamspy_stats'].format(text='VARCHAR')} FROM stats
+    UNION ALL SELECT 'dim_app', {_STORED['dim_app'].format(text='VARCHAR')} FROM p WHERE good
+    UNION ALL SELECT 'totals', {_STORED['totals'].format(text='VARCHAR')} FROM totals""",
+          "S4 S5 S6 S7 M4 M5 M6 M7 P13 I1 I2 I5 I6 A10 A11")
+def q_stored_warehouse(spark, sf_dir):
+    """An initial load of the older news, an incremental load of all pages, an export and an import into a new
+    store; returns the rows that the new store holds, and both runs' totals."""
+    import uuid
+
+    from tidemark.jobs import run_load
+    from tidemark.session import checkpoint_dir
+    from tidemark.sources.landing import news_pages_from_driver, snapshot_rows_from_driver, write_jsonl
+    from tidemark.sources.store import Store, import_snapshot
+
+    root = f"{checkpoint_dir(spark).rstrip('/')}/tidemark-stored-{uuid.uuid4().hex}"
+    snap = write_jsonl(snapshot_rows_from_driver(spark, sf_dir, None), f"{root}/landing/snapshot")
+    old = write_jsonl(news_pages_from_driver(spark, sf_dir, INGEST_PAGE, until=SPLIT), f"{root}/landing/old")
+    new = write_jsonl(news_pages_from_driver(spark, sf_dir, INGEST_PAGE), f"{root}/landing/new")
+    run_load(spark, f"{root}/store", snap, old, "initial", run_ts=SPLIT)
+    run_load(spark, f"{root}/store", snap, new, "incremental", run_ts=LATER)
+    first = Store(spark, f"{root}/store")
+    first.export(f"{root}/export")
+    second = Store(spark, f"{root}/second")
+    second.adopt(import_snapshot(spark, f"{root}/export"))
+    tables = second.load().tables() | {"totals": first.read_side("totals")}
+    parts = [tables[name].select(F.lit(name).alias("table_name"), F.expr(text.format(text="STRING")).alias("row_text"))
+             for name, text in _STORED.items()]
+    return reduce(lambda a, b: a.unionByName(b), parts)

@@ -7,8 +7,7 @@ are built in one job, persist the overview once (``build_marts``).
 Join strategy: dimension joins are left to Catalyst / AQE, which broadcast a
 side only when its measured size is under ``autoBroadcastJoinThreshold`` and
 fall back to a shuffle join otherwise.  Explicit broadcasts are limited to
-frames with a bound fixed by the query: the run anchors (at most
-``max_runs`` rows) and the single latest run.
+tables made from the run log (days and runs), and only up to ``CALENDAR_ROWS`` rows.
 """
 
 from __future__ import annotations
@@ -32,7 +31,8 @@ DELTA_COLUMNS = [
     "ccu", "owners_min", "owners_max", "positive", "negative", "userscore",
     "price", "initialprice", "discount", "news_count_7d", "news_count_30d",
 ]
-MAX_RUNS = 30  # runs that get rolling news counts (fixed by the reference view)
+MAX_RUNS = 30  # runs that get rolling news counts in the parity views; the library default is all runs
+DAY = 86_400_000_000  # microseconds
 
 
 def _ts(wh: Warehouse) -> DataFrame:
@@ -53,12 +53,34 @@ def with_ts(df: DataFrame, wh: Warehouse) -> DataFrame:
     return df.join(_ts(wh), "timestamp_id")
 
 
-def successful_runs(wh: Warehouse, limit: int) -> DataFrame:
-    """Latest ``limit`` successful runs (started_at DESC, id DESC) -> (etl_run_id, anchor_ts)."""
-    return (wh.dim_etl_run.filter(F.col("status") == "success")
-            .orderBy(F.col("started_at").desc(), F.col("etl_run_id").desc())
-            .limit(limit)
-            .select("etl_run_id", F.col("started_at").alias("anchor_ts")))
+def successful_runs(wh: Warehouse, limit: int | None = None) -> DataFrame:
+    """Latest ``limit`` (None: all) successful runs (started_at DESC, id DESC) -> (etl_run_id, anchor_ts)."""
+    runs = wh.dim_etl_run.filter(F.col("status") == "success")
+    if limit is not None:
+        runs = runs.orderBy(F.col("started_at").desc(), F.col("etl_run_id").desc()).limit(limit)
+    return runs.select("etl_run_id", F.col("started_at").alias("anchor_ts"))
+
+
+def latest_run_id(wh: Warehouse) -> int | None:
+    """Id of the newest successful run (one row), ``None`` without one."""
+    row = successful_runs(wh, 1).first()
+    return None if row is None else row["etl_run_id"]
+
+
+def of_app(wh: Warehouse, app_name: str) -> Warehouse:
+    """The warehouse of the apps with that name: facts are semi-joined before any mart ranks or counts them."""
+    apps = wh.dim_app.filter(F.col("app_name") == app_name)
+    ids = apps.select("app_id")
+    return wh.with_tables(
+        dim_app=apps, fact_news=wh.fact_news.join(ids, "app_id", "left_semi"),
+        dim_update_content=wh.dim_update_content.join(ids, "app_id", "left_semi"),
+        fact_steamspy_stats=wh.fact_steamspy_stats.join(ids, "app_id", "left_semi"))
+
+
+def of_run(wh: Warehouse, run_id: int) -> Warehouse:
+    """The warehouse with one run's snapshot rows (a partition filter) and that run alone."""
+    return wh.with_tables(dim_etl_run=wh.dim_etl_run.filter(F.col("etl_run_id") == run_id),
+                          fact_steamspy_stats=wh.fact_steamspy_stats.filter(F.col("etl_run_id") == run_id))
 
 
 # ------------------------------------------------------------------------ V1
@@ -72,45 +94,84 @@ def metrics_by_run(wh: Warehouse) -> DataFrame:
 
 
 # ------------------------------------------------------------------------ V2
-def news_rolling_asof(wh: Warehouse, max_runs: int = MAX_RUNS) -> DataFrame:
+def news_rolling_asof(wh: Warehouse, max_runs: int | None = None) -> DataFrame:
     """News counts in [anchor - 6 d, anchor] and [anchor - 29 d, anchor] per (run, app).
 
-    Anchors are the started_at of the latest ``max_runs`` successful runs.
-    Every app with any news gets a row for every anchor (count 0 included).
-
-    Plan: the <= max_runs anchors are broadcast (a bound fixed by the query).
-    Only news inside [oldest anchor - 29 d, newest anchor] can count; those two
-    bounds are read once (a one-row aggregate of the anchors) and applied as
-    literals, so with epoch-microsecond ids the filter reaches the parquet scan
-    (row-group statistics) instead of reading all history.  Windowed news is
-    paired with the anchors inside the scan tasks and counted with a partial
-    aggregate -- only (run, app) partial counts cross the shuffle, so a hot app
-    is pre-reduced in every task.  The zero rows come from the distinct apps
-    (an app-id-only scan, also pre-aggregated) crossed with the anchors.
+    Anchors are the started_at of the latest ``max_runs`` (None: all) successful
+    runs.  Every app with any news gets a row for every anchor (count 0 included).
+
+    Plan, linear in the news: a news row counts for the anchors from its own time
+    to 29 days later, a range of anchor numbers.  It adds one where the range starts
+    and takes one away where it ends; these changes are summed per (app, anchor
+    number) in the scan tasks first, so a hot app crosses the shuffle as at most one
+    row for each anchor and task, and a running sum over an app's anchors gives the
+    counts.  Anchor numbers come from a calendar with one row for each day between
+    the first and the last anchor, joined three times.  Only news inside
+    [oldest anchor - 29 d, newest anchor] can count; these bounds are literals and
+    reach the parquet scan.
     """
-    anchors = F.broadcast(successful_runs(wh, max_runs))
-    bounds = anchors.agg(F.min("anchor_ts").alias("lo"), F.max("anchor_ts").alias("hi")).first()
+    spark = wh.fact_news.sparkSession
+    runs = sorted((_micros(r["anchor_ts"]), r["etl_run_id"]) for r in successful_runs(wh, max_runs).collect())
     news = wh.fact_news.select("app_id", "timestamp_id")
-    if bounds is None or bounds["lo"] is None:
-        return news.sparkSession.createDataFrame(
-            [], "etl_run_id long, app_id int, news_count_7d long, news_count_30d long")
-    lo = bounds["lo"] - timedelta(days=29)
-    hi = bounds["hi"]
+    if not runs:
+        return spark.createDataFrame([], "etl_run_id long, app_id int, news_count_7d long, news_count_30d long")
+    lo, hi = runs[0][0] - 29 * DAY, runs[-1][0]
     if wh.micros_ids:
-        window = with_ts(news.filter(F.col("timestamp_id").between(_micros(lo), _micros(hi))), wh)
+        window = news.filter(F.col("timestamp_id").between(lo, hi)).select("app_id", F.col("timestamp_id").alias("at"))
     else:
-        window = with_ts(news, wh).filter(F.col("ts").between(ntz_lit(lo), ntz_lit(hi)))
-    a = F.col("anchor_ts")
-    in_7 = (F.col("ts") <= a) & (F.col("ts") >= a - F.expr("INTERVAL 6 DAYS"))
-    in_30 = (F.col("ts") <= a) & (F.col("ts") >= a - F.expr("INTERVAL 29 DAYS"))
-    counted = (window.crossJoin(anchors).groupBy("etl_run_id", "app_id")
-               .agg(F.count_if(in_7).alias("n7"), F.count_if(in_30).alias("n30")))
+        at = F.unix_micros(F.col("ts").cast("timestamp"))
+        window = with_ts(news, wh).select("app_id", at.alias("at")).filter(F.col("at").between(lo, hi))
+    calendar = _calendar(spark, [at for at, _ in runs])
+
+    def anchors_before(df: DataFrame, moment, name: str, inclusive: bool) -> DataFrame:
+        """Number of anchors before ``moment`` (or at it)."""
+        cal = calendar.select(F.col("day").alias("_day"), F.col("earlier").alias("_earlier"), F.col("at").alias("_ats"))
+        j = df.withColumn("_m", moment).withColumn("_d", F.call_function("div", F.col("_m") - F.pmod("_m", F.lit(DAY)), F.lit(DAY))) \
+            .join(cal, F.col("_d") == F.col("_day"), "left")
+        own = F.size(F.filter("_ats", lambda a: (a <= F.col("_m")) if inclusive else (a < F.col("_m"))))
+        number = F.when(F.col("_d") < lo_day, 0).when(F.col("_d") > hi_day, len(runs)).otherwise(F.col("_earlier") + own)
+        return j.select(*df.columns, number.cast("int").alias(name))
+
+    lo_day, hi_day = runs[0][0] // DAY, hi // DAY
+    for name, days, inclusive in (("s", 0, False), ("e7", 6, True), ("e30", 29, True)):
+        window = anchors_before(window, F.col("at") + F.lit(days * DAY), name, inclusive)
+    one = F.lit(1).cast("long")
+    changes = F.array(
+        F.struct(F.col("s").alias("slot"), one.alias("d7"), one.alias("d30")),
+        F.struct(F.col("e7").alias("slot"), (-one).alias("d7"), F.lit(0).cast("long").alias("d30")),
+        F.struct(F.col("e30").alias("slot"), F.lit(0).cast("long").alias("d7"), (-one).alias("d30")))
+    summed = window.select("app_id", F.explode(changes).alias("c")).groupBy("app_id", F.col("c.slot").alias("slot")) \
+        .agg(F.sum("c.d7").alias("d7"), F.sum("c.d30").alias("d30"))
+    numbered = _bounded(spark, [(k, run_id) for k, (_, run_id) in enumerate(runs)], "slot int, etl_run_id long")
     apps = with_ts(news, wh).select("app_id").distinct()
-    grid = apps.crossJoin(anchors.select("etl_run_id"))
-    return grid.join(counted, ["etl_run_id", "app_id"], "left").select(
+    grid = apps.crossJoin(numbered)      # the rows of the result
+    order = Window.partitionBy("app_id").orderBy("slot")
+    return grid.join(summed, ["app_id", "slot"], "left").select(
         "etl_run_id", "app_id",
-        F.coalesce(F.col("n7"), F.lit(0).cast("long")).alias("news_count_7d"),
-        F.coalesce(F.col("n30"), F.lit(0).cast("long")).alias("news_count_30d"))
+        F.sum(F.coalesce("d7", F.lit(0))).over(order).alias("news_count_7d"),
+        F.sum(F.coalesce("d30", F.lit(0))).over(order).alias("news_count_30d"))
+
+
+CALENDAR_ROWS = 200_000  # rows up to which a table made from the run log may be broadcast
+
+
+def _bounded(spark, rows: list[tuple], schema: str) -> DataFrame:
+    """A table made from the run log; broadcast only if it has at most CALENDAR_ROWS rows."""
+    df = spark.createDataFrame(rows, schema)
+    return F.broadcast(df) if len(rows) <= CALENDAR_ROWS else df
+
+
+def _calendar(spark, anchors: list[int]) -> DataFrame:
+    """Per day from the first to the last anchor: how many anchors lie on earlier days, and the day's own."""
+    of_day: dict[int, list[int]] = {}
+    for at in anchors:
+        of_day.setdefault(at // DAY, []).append(at)
+    rows, earlier = [], 0
+    for day in range(min(of_day), max(of_day) + 1):
+        own = of_day.get(day, [])
+        rows.append((day, earlier, own))
+        earlier += len(own)
+    return _bounded(spark, rows, "day long, earlier int, at array<long>")
 
 
 def _micros(ts) -> int:
@@ -119,7 +180,7 @@ def _micros(ts) -> int:
 
 
 # ------------------------------------------------------------------------ V3
-def overview_by_run(wh: Warehouse, max_runs: int = MAX_RUNS) -> DataFrame:
+def overview_by_run(wh: Warehouse, max_runs: int | None = None) -> DataFrame:
     m = metrics_by_run(wh)
     apps = wh.dim_app.select("app_id", "app_name")
     runs = wh.dim_etl_run.select("etl_run_id", F.col("started_at").alias("etl_started_at"))
@@ -139,10 +200,15 @@ def overview_by_run(wh: Warehouse, max_runs: int = MAX_RUNS) -> DataFrame:
 
 # ------------------------------------------------------------------------ V4
 def overview_latest_run(wh: Warehouse, overview: DataFrame | None = None) -> DataFrame:
-    """Overview rows of the newest successful run (one-row broadcast filter)."""
-    o = overview if overview is not None else overview_by_run(wh)
-    latest = F.broadcast(successful_runs(wh, 1).select("etl_run_id"))
-    return o.join(latest, "etl_run_id", "left_semi").select(*o.columns)
+    """Overview rows of the newest successful run.
+
+    Its id is read first (one row), so only that run's partition is scanned and
+    only its window of news is counted.
+    """
+    run_id = latest_run_id(wh)
+    if overview is not None:
+        return overview.filter(F.col("etl_run_id") == F.lit(run_id))
+    return overview_by_run(wh, 1).limit(0) if run_id is None else overview_by_run(of_run(wh, run_id))
 
 
 # ------------------------------------------------------------------------ V5
@@ -219,8 +285,8 @@ def latest_by_app(wh: Warehouse, overview: DataFrame | None = None) -> DataFrame
     return top_per_group(o, ["app_id"], [F.col("etl_started_at").desc(), F.col("etl_run_id").desc()], k=1)
 
 
-def build_marts(wh: Warehouse, max_runs: int = MAX_RUNS) -> dict[str, DataFrame]:
-    """All nine marts with the shared overview computed once."""
+def build_marts(wh: Warehouse, max_runs: int | None = None) -> dict[str, DataFrame]:
+    """All nine marts with the shared overview computed once; ``release_marts`` frees it."""
     overview = overview_by_run(wh, max_runs).persist()
     frames = [
         metrics_by_run(wh),
@@ -236,7 +302,12 @@ def build_marts(wh: Warehouse, max_runs: int = MAX_RUNS) -> dict[str, DataFrame]
     return dict(zip(VIEW_NAMES, frames))
 
 
-def register_marts(wh: Warehouse, max_runs: int = MAX_RUNS) -> dict[str, DataFrame]:
+def release_marts(marts: dict[str, DataFrame]) -> None:
+    """Free the persisted overview of ``build_marts``."""
+    marts[VIEW_NAMES[2]].unpersist()
+
+
+def register_marts(wh: Warehouse, max_runs: int | None = None) -> dict[str, DataFrame]:
     """Register the marts as temp views under the reference's view names."""
     marts = build_marts(wh, max_runs)
     for name, df in marts.items():

@@ -19,7 +19,8 @@ CCU_BUCKET = 500  # width of the ccu histogram bins
 
 def app_detail(wh: Warehouse, app_name: str | None = None, latest: DataFrame | None = None) -> DataFrame:
     """Current KPIs per app (latest run of each app), optionally one app by name."""
-    df = latest if latest is not None else marts.latest_by_app(wh)
+    own = wh if app_name is None else marts.of_app(wh, app_name)
+    df = latest if latest is not None else marts.latest_by_app(own)
     if app_name is not None:
         df = df.filter(F.col("app_name") == app_name)
     return df.select(*KPI_COLUMNS)
@@ -27,7 +28,8 @@ def app_detail(wh: Warehouse, app_name: str | None = None, latest: DataFrame | N
 
 def metric_course(wh: Warehouse, app_name: str | None = None, timeseries: DataFrame | None = None) -> DataFrame:
     """Metric course over runs (ccu, price, discount, news)."""
-    df = timeseries if timeseries is not None else marts.timeseries_by_run(wh)
+    own = wh if app_name is None else marts.of_app(wh, app_name)
+    df = timeseries if timeseries is not None else marts.timeseries_by_run(own)
     if app_name is not None:
         df = df.filter(F.col("app_name") == app_name)
     return df.select("app_id", "app_name", "etl_run_id", "etl_started_at", "ccu", "price", "discount",
@@ -49,9 +51,16 @@ def _price_tier() -> F.Column:
             .when(p < 30, "mid").otherwise("high"))
 
 
-def distribution(wh: Warehouse, latest_run: DataFrame | None = None) -> DataFrame:
-    """Ccu histogram by price tier over the newest successful run."""
-    df = latest_run if latest_run is not None else marts.overview_latest_run(wh)
+def _one_run(wh: Warehouse, overview: DataFrame | None, run_id: int | None) -> DataFrame:
+    """Overview rows of the chosen run, by default the newest successful one; only its partition is read."""
+    if overview is not None:
+        return overview
+    return marts.overview_latest_run(wh) if run_id is None else marts.overview_by_run(marts.of_run(wh, run_id))
+
+
+def distribution(wh: Warehouse, latest_run: DataFrame | None = None, run_id: int | None = None) -> DataFrame:
+    """Ccu histogram by price tier over one run (default: the newest successful one)."""
+    df = _one_run(wh, latest_run, run_id)
     bucket = (F.floor(F.col("ccu") / F.lit(CCU_BUCKET)) * F.lit(CCU_BUCKET)).cast("long")
     return (df.withColumn("price_tier", _price_tier()).withColumn("ccu_bucket", bucket)
             .groupBy("price_tier", "ccu_bucket")
@@ -59,20 +68,14 @@ def distribution(wh: Warehouse, latest_run: DataFrame | None = None) -> DataFram
                  F.min("ccu").alias("min_ccu"), F.max("ccu").alias("max_ccu")))
 
 
-def news_vs_ccu(wh: Warehouse, latest_run: DataFrame | None = None) -> DataFrame:
-    """Ccu against 30-day news activity over the newest successful run."""
-    df = latest_run if latest_run is not None else marts.overview_latest_run(wh)
+def news_vs_ccu(wh: Warehouse, latest_run: DataFrame | None = None, run_id: int | None = None) -> DataFrame:
+    """Ccu against 30-day news activity over one run (default: the newest successful one)."""
+    df = _one_run(wh, latest_run, run_id)
     return (df.groupBy("news_count_30d")
             .agg(F.count(F.lit(1)).alias("apps"), F.sum("ccu").cast("long").alias("total_ccu"),
                  F.min("ccu").alias("min_ccu"), F.max("ccu").alias("max_ccu")))
 
 
-def news_ccu_correlation(wh: Warehouse, latest_run: DataFrame | None = None) -> DataFrame:
-    """D5 summary: Pearson correlation of news_count_30d and ccu (one row)."""
-    df = latest_run if latest_run is not None else marts.overview_latest_run(wh)
-    return df.agg(F.corr(F.col("news_count_30d").cast("double"), F.col("ccu").cast("double")).alias("corr"))
-
-
 def run_monitor(wh: Warehouse) -> DataFrame:
     """Number of runs and durations (whole seconds) per status and type."""
     r = wh.dim_etl_run
@@ -84,9 +87,11 @@ def run_monitor(wh: Warehouse) -> DataFrame:
                  F.min("started_at").alias("first_started_at"), F.max("started_at").alias("last_started_at")))
 
 
-def run_explorer(wh: Warehouse, overview: DataFrame | None = None) -> DataFrame:
-    """Per-run summary of the overview, for comparing runs side by side."""
-    o = overview if overview is not None else marts.overview_by_run(wh)
+def run_explorer(wh: Warehouse, overview: DataFrame | None = None, run_id: int | None = None) -> DataFrame:
+    """Per-run summary of the overview, for comparing runs side by side, or of one chosen run."""
+    if overview is None:
+        overview = marts.overview_by_run(wh if run_id is None else marts.of_run(wh, run_id))
+    o = overview if run_id is None else overview.filter(F.col("etl_run_id") == run_id)
     return (o.groupBy("etl_run_id", "etl_started_at")
             .agg(F.count(F.lit(1)).alias("apps"), F.sum("ccu").cast("long").alias("total_ccu"),
                  F.max("ccu").alias("max_ccu"), F.sum("news_count_30d").alias("total_news_30d"),

@@ -156,13 +156,13 @@ NEWS_ITEM = T.StructType([
     T.StructField("gid", T.StringType(), True),
     T.StructField("title", T.StringType(), True),
     T.StructField("url", T.StringType(), True),
-    T.StructField("is_external_url", T.BooleanType(), True),
+    T.StructField("is_external_url", T.VariantType(), True),
     T.StructField("author", T.StringType(), True),
     T.StructField("contents", T.StringType(), True),
     T.StructField("feedlabel", T.StringType(), True),
     T.StructField("date", T.VariantType(), True),
     T.StructField("feedname", T.StringType(), True),
-    T.StructField("feed_type", T.IntegerType(), True),
+    T.StructField("feed_type", T.StringType(), True),   # typed later, so that a bad value rejects its item
     T.StructField("appid", T.IntegerType(), True),
     T.StructField("tags", T.ArrayType(T.StringType()), True),
 ])
@@ -173,8 +173,11 @@ NEWS_PAGE = T.StructType([
     T.StructField("page", T.IntegerType(), True),
     T.StructField("enddate", T.LongType(), True),
     T.StructField("http_status", T.IntegerType(), True),
+    T.StructField("fetch_id", T.StringType(), True),   # optional: tells pages of different fetches apart
     T.StructField("appnews", T.StructType([
-        T.StructField("count", T.IntegerType(), True),
+        T.StructField("count", T.StringType(), True),
         T.StructField("newsitems", T.ArrayType(NEWS_ITEM), True),
     ]), True),
 ])
+
+CORRUPT = "_corrupt_record"  # what a landed line held that does not parse

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark import schemas
 from tidemark.functions.parse import ntz_lit
@@ -41,8 +42,9 @@ def read_snapshot_object(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_news_pages(spark: SparkSession, path: str) -> DataFrame:
-    """Landed news pages with their fetch envelope."""
-    return spark.read.schema(schemas.NEWS_PAGE).json(path)
+    """Landed news pages with their fetch envelope; a line that does not parse keeps its text."""
+    schema = T.StructType([*schemas.NEWS_PAGE.fields, T.StructField(schemas.CORRUPT, T.StringType(), True)])
+    return spark.read.schema(schema).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", schemas.CORRUPT).json(path)
 
 
 # --------------------------------------------------------- derived landings

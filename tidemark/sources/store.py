@@ -23,6 +23,7 @@ being read, hence versions instead of overwrites.
 from __future__ import annotations
 
 import time
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,6 +39,8 @@ FINAL_STATES = ("success", "failed")
 RUN_LOG = T.StructType(schemas.DIM_ETL_RUN.fields + [
     T.StructField("dims_version", T.LongType(), True),
     T.StructField("seq", T.LongType(), False),
+    T.StructField("load_key", T.StringType(), True),   # the batch that the run loaded, if it has a name
+    T.StructField("micros_ids", T.BooleanType(), True),  # false: timestamp ids are not epoch microseconds
 ])
 
 
@@ -51,11 +54,10 @@ class Store:
         return "/".join([self.root, *[str(p) for p in parts]])
 
     def _exists(self, path: str) -> bool:
-        try:
-            self.spark.read.parquet(path).schema  # noqa: B018 - resolves the path only
-            return True
-        except Exception:  # noqa: BLE001 - AnalysisException: path does not exist
-            return False
+        """Whether the folder is there; anything wrong inside it is an error of whoever reads it."""
+        where = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        fs = where.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        return fs.exists(where) and len(fs.listStatus(where)) > 0
 
     # ----------------------------------------------------------------- runs
     def run_log(self) -> DataFrame:
@@ -84,12 +86,17 @@ class Store:
         return int(row["m"] or 0) + 1
 
     def append_run_state(self, run_id: int, run_type: str, status: str, started_at, ended_at,
-                         now, dims_version: int | None) -> None:
+                         now, dims_version: int | None, load_key: str | None = None,
+                         micros_ids: bool = True) -> None:
         # order of state records: wall-clock nanoseconds of the (single) writer of a run
         seq = time.time_ns()
-        row = [(run_id, run_type, status, started_at, ended_at, now, now, dims_version, seq)]
+        row = [(run_id, run_type, status, started_at, ended_at, now, now, dims_version, seq, load_key, micros_ids)]
         self.spark.createDataFrame(row, RUN_LOG).coalesce(1).write.mode("append").parquet(self._p("runs"))
 
+    def loaded(self, load_key: str) -> bool:
+        """Whether a successful run has loaded the batch of that name."""
+        return not self._finalized().filter(F.col("load_key") == load_key).isEmpty()
+
     def current_dims_version(self) -> int | None:
         row = self._finalized().agg(F.max("dims_version").alias("v")).first()
         return None if row["v"] is None else int(row["v"])
@@ -117,7 +124,8 @@ class Store:
                 frames[name] = getattr(empty, name)
             else:
                 frames[name] = self.spark.read.schema(schemas.TABLES[name]).parquet(self._p("dims", f"v={version}", name))
-        return Warehouse(**frames, micros_ids=True)
+        foreign = self._finalized().filter(~F.coalesce(F.col("micros_ids"), F.lit(True)))
+        return Warehouse(**frames, micros_ids=foreign.isEmpty())
 
     # --------------------------------------------------------------- writes
     def write_append(self, name: str, df: DataFrame, run_id: int) -> None:
@@ -149,6 +157,32 @@ class Store:
     def read_side(self, kind: str) -> DataFrame:
         return self.spark.read.parquet(self._p(kind))
 
+    def reset(self) -> None:
+        """Empty the store (M9): everything under its root goes."""
+        where = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.root)
+        where.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+    def adopt(self, wh: Warehouse) -> None:
+        """Take a whole warehouse into this empty store: an imported snapshot or a fixture.
+
+        Facts go to the partitions of their runs, rows without a run to the
+        newest run's; the run log gets every run with its own state.
+        """
+        runs = wh.dim_etl_run.orderBy("etl_run_id").collect()          # one row per load run
+        if self._exists(self._p("runs")):
+            raise ValueError(f"{self.root} is not empty")
+        if not runs:
+            return
+        good = [r["etl_run_id"] for r in runs if r["status"] == "success"]
+        version = max(good) if good else max(r["etl_run_id"] for r in runs)
+        for name in APPEND_TABLES:
+            self.write_append(name, getattr(wh, name), version)
+        self.write_dims(version, {name: getattr(wh, name) for name in VERSIONED_TABLES})
+        seq = time.time_ns()
+        log = [(*[r[f.name] for f in schemas.DIM_ETL_RUN.fields], version, seq + k, None, wh.has_micros_ids())
+               for k, r in enumerate(runs)]
+        self.spark.createDataFrame(log, RUN_LOG).coalesce(1).write.mode("append").parquet(self._p("runs"))
+
     # ---------------------------------------------------- export / import
     def export(self, target: str, fmt: str = "parquet") -> None:
         """Write every table of the committed state to ``target/<table>``."""
@@ -176,6 +210,7 @@ def import_snapshot(spark: SparkSession, source: str, fmt: str | None = None,
             reader = reader.option("header", "true")
         frames[name] = reader.format(fmt).load(f"{source.rstrip('/')}/{name}")
     wh = Warehouse(**frames)
+    wh = replace(wh, micros_ids=wh.has_micros_ids())
     if validate:  # the smoke test after an import: every declared constraint must hold
         from tidemark.operators.checks import assert_clean, constraint_report
         assert_clean(constraint_report(wh))
@@ -183,9 +218,10 @@ def import_snapshot(spark: SparkSession, source: str, fmt: str | None = None,
 
 
 def _sniff_format(spark: SparkSession, source: str) -> str:
-    files = spark.read.format("binaryFile").load(f"{source.rstrip('/')}/dim_etl_run").select("path").limit(50)
-    exts = {p.rsplit(".", 1)[-1] for (p,) in files.collect() if "." in p.rsplit("/", 1)[-1]}
-    for ext in ("parquet", "json", "csv"):
-        if ext in exts:
-            return ext
-    return "unknown"
+    """The format that all data files of one small table have, by extension (compressed ones too)."""
+    files = spark.read.format("binaryFile").load(f"{source.rstrip('/')}/dim_etl_run").select("path")
+    names = {p.rsplit("/", 1)[-1] for (p,) in files.collect()}       # the run table: few files
+    found = {ext for ext in ("parquet", "json", "csv") for n in names if f".{ext}" in n[n.find("."):]}
+    if len(found) != 1:
+        raise ValueError(f"name the snapshot's format: its files are {sorted(names)[:5]}")
+    return found.pop()

@@ -5,8 +5,8 @@ micro-batch (the snapshot files that arrived since the last trigger) becomes
 one incremental load run through ``foreachBatch``, with the news pages landed
 so far.  ``trigger(availableNow=True)`` processes what is there and stops, so
 a scheduler can start it like the batch job; the stream checkpoint (in the
-shared checkpoint folder) remembers which files were loaded, and the
-insert-only news key makes a replayed batch harmless.
+shared checkpoint folder) remembers which files were loaded, and the run log
+remembers the batch, so a batch replayed after a lost commit is not loaded twice.
 """
 
 from __future__ import annotations
@@ -17,6 +17,7 @@ from tidemark import schemas
 from tidemark.jobs import LoadParams, load_frames
 from tidemark.session import checkpoint_dir
 from tidemark.sources import landing
+from tidemark.sources.store import Store
 
 
 def run_available_now(spark: SparkSession, snapshot_dir: str, store_root: str,
@@ -27,10 +28,11 @@ def run_available_now(spark: SparkSession, snapshot_dir: str, store_root: str,
     location = stream_checkpoint or f"{checkpoint_dir(spark).rstrip('/')}/tidemark-stream"
 
     def load_batch(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
+        key = f"{location}#{batch_id}"
+        if batch.isEmpty() or Store(spark, store_root).loaded(key):   # loaded before the stream's commit was lost
             return
         pages = landing.read_news_pages(spark, pages_dir) if pages_dir else None
-        res = load_frames(spark, store_root, batch, pages, "incremental", params)
+        res = load_frames(spark, store_root, batch, pages, "incremental", params, load_key=key)
         runs.append(res.etl_run_id)
 
     stream = spark.readStream.schema(schemas.SNAPSHOT_LINE).json(snapshot_dir)

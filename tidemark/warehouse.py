@@ -10,6 +10,7 @@ from __future__ import annotations
 from dataclasses import dataclass, fields, replace
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark import schemas
 
@@ -41,6 +42,11 @@ class Warehouse:
         for name, df in self.tables().items():
             df.createOrReplaceTempView(prefix + name)
 
+    def has_micros_ids(self) -> bool:
+        """Whether every timestamp id is the epoch microsecond of its timestamp (one pass over that table)."""
+        micros = F.unix_micros(F.col("ts").cast("timestamp"))
+        return self.dim_timestamp.filter(~micros.eqNullSafe(F.col("timestamp_id"))).isEmpty()
+
     @staticmethod
     def empty(spark: SparkSession) -> "Warehouse":
         """Typed empty tables (the reset state, M9)."""
