@@ -86,4 +86,3 @@ def test_snapshot_object_reader_keeps_last_value_first_position(spark, tmp_path)
     df = read_snapshot_object(spark, str(p))
     rows = sorted((r.pos, r.appid, r.name, r.ccu) for r in df.collect())
     assert rows == [(0, "10", "new", "7"), (1, "20", "b", None)]
-    assert F is not None

@@ -62,9 +62,19 @@ def parse_money(c, scale: int = 100, precision: int = 12) -> Column:
     (DECIMAL(38, 2)) so that the caller can range-check before narrowing.
     """
     text = _text(c)
-    raw = strip_ws(text).try_cast("decimal(38,10)")
-    factor = F.lit(1).cast("decimal(1,0)") if scale == 1 else F.lit(1.0 / scale).cast("decimal(10,8)")
-    scaled = F.bround(raw * factor, 2).cast("decimal(38,2)")
+    if scale not in (1, 100):
+        raise ValueError("scale is 1 or 100")
+    raw = strip_ws(text)
+
+    def rounded(value: Column) -> Column:
+        # rounded once, at the place that is the second after dividing; the division then is exact
+        if scale == 1:
+            return F.bround(value, 2).cast("decimal(38,2)")
+        return (F.bround(value, 0).try_cast("decimal(35,0)") * F.lit(1).cast("decimal(1,0)") / F.lit(100).cast("decimal(3,0)")) \
+            .cast("decimal(38,2)")
+
+    # 18 decimals decide the rounding; larger numbers keep 10, enough to be rejected by range
+    scaled = F.coalesce(rounded(raw.try_cast("decimal(38,18)")), rounded(raw.try_cast("decimal(38,10)")))
     zero = F.lit(0).cast("decimal(38,2)")
     return F.when(text.isNull() | text.isin("", "0"), zero).otherwise(scaled)
 

@@ -220,14 +220,15 @@ def q_tag_upsert(spark, sf_dir):
 
 
 # -------------------------------------------------------------- U1, M4, M5
-LINE_ORDER = ["l_shipdate", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"]
+# a total order: all columns but the key
+LINE_ORDER = ["l_shipdate", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus"]
 
 
-@register("insert_only_dedupe", """
+@register("insert_only_dedupe", f"""
     WITH firsts AS (
         SELECT * EXCLUDE (rn) FROM (
             SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber
-                                         ORDER BY l_shipdate, l_partkey, l_suppkey, l_quantity, l_extendedprice) AS rn
+                                         ORDER BY {', '.join(LINE_ORDER)}) AS rn
             FROM lineitem) WHERE rn = 1),
     existing AS (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem WHERE l_returnflag = 'R')
     SELECT f.* FROM firsts f

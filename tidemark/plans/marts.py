@@ -19,18 +19,9 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.parse import ntz_lit, safe_ratio
 from tidemark.operators.ranking import split_row_number, top_per_group
-from tidemark.schemas import VIEW_NAMES
+from tidemark.schemas import DELTA_COLUMNS, METRICS, VIEW_NAMES
 from tidemark.warehouse import Warehouse
 
-METRICS = [
-    "ccu", "owners_min", "owners_max", "userscore", "positive", "negative",
-    "average_forever", "median_forever", "average_2weeks", "median_2weeks",
-    "price", "initialprice", "discount",
-]
-DELTA_COLUMNS = [
-    "ccu", "owners_min", "owners_max", "positive", "negative", "userscore",
-    "price", "initialprice", "discount", "news_count_7d", "news_count_30d",
-]
 MAX_RUNS = 30  # runs that get rolling news counts in the parity views; the library default is all runs
 DAY = 86_400_000_000  # microseconds
 

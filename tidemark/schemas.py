@@ -11,19 +11,16 @@ from pyspark.sql import types as T
 TS = T.TimestampNTZType()
 
 # ----------------------------------------------------------------- fixed values
-# Names that must equal the reference's so that existing queries, dashboards and
-# job configurations keep working unchanged: the seven tables, the nine views,
-# the smoke-check result names and the job parameters (environment variables).
-TABLE_NAMES = ["dim_timestamp", "dim_etl_run", "dim_app", "dim_update_typ", "dim_update_content",
-               "fact_news", "fact_steamspy_stats"]
+# Names that must equal the reference's so that existing queries and dashboards
+# keep working unchanged: the nine views and their metric columns.
 VIEW_NAMES = ["vw_app_metrics_by_etl_run", "vw_app_news_7d_30d_asof_etl_run", "vw_app_overview_by_etl_run",
               "vw_app_overview_latest_etl_run", "vw_app_news_latest", "vw_app_news_daily",
               "vw_app_timeseries_by_etl_run", "vw_app_changes_by_etl_run", "vw_app_overview_latest_by_app"]
-CHECK_NAMES = ["fact_news_null_keys", "fact_steamspy_null_keys", "fact_news_orphan_content",
-               "fact_news_orphan_timestamp", "fact_steamspy_orphan_timestamp"]
-PARAM_NAMES = ["NEWS_PAGE_SIZE", "NEWS_MAX_PAGES", "ETL_STEAMSPY_LIMIT", "ETL_APPS_LIMIT", "ETL_SKIP_NEWS"]
-RUN_TYPES = ["initial", "incremental"]
-RUN_STATES = ["running", "success", "failed"]
+# The metric columns of the views, and those with a difference to the previous run, in the views' order.
+METRICS = ["ccu", "owners_min", "owners_max", "userscore", "positive", "negative", "average_forever", "median_forever",
+           "average_2weeks", "median_2weeks", "price", "initialprice", "discount"]
+DELTA_COLUMNS = ["ccu", "owners_min", "owners_max", "positive", "negative", "userscore", "price", "initialprice",
+                 "discount", "news_count_7d", "news_count_30d"]
 
 DIM_TIMESTAMP = T.StructType([
     T.StructField("timestamp_id", T.LongType(), False),
