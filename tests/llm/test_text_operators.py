@@ -133,7 +133,7 @@ def test_pii_base_spans_brute_force(spark, odd):
         if not r["s"]:
             assert r["clean_text"] == r["text"]
         else:
-            assert "@b.co" not in r["clean_text"]
+            assert r["clean_text"] != r["text"] and re.search("<(EMAIL|IP|CARD|PHONE)>", r["clean_text"])
     assert pii.sanitise(docs.limit(0)).count() == 0
 
 
@@ -238,4 +238,5 @@ def test_toxicity_held_out_and_odd_input(spark, odd):
     one_class = toxicity.train(docs, labels.where("toxic = 0"), lambda c: F.lit(True))
     assert len(one_class.index) == 0
     none = toxicity.train(docs, labels.limit(0), lambda c: F.lit(True))
-    assert toxicity.score_toxicity(odd, none).first()["toxicity"]["score"] == pytest.approx(0.5)
+    assert {r["toxicity"]["score"] for r in toxicity.score_toxicity(odd, none).collect()} == {0.0}
+    assert max(r["toxicity"]["score"] for r in toxicity.score_toxicity(odd, one_class).collect()) < 0.05
