@@ -17,6 +17,7 @@ def _dt(s: str) -> datetime:
 
 
 def fixture_warehouse(spark: SparkSession) -> Warehouse:
+    # The rows that the reference's five assertions are about.
     now = _dt("2026-01-02 00:10:00")
     runs = [
         (1, "initial", "success", _dt("2026-01-01 00:00:00"), _dt("2026-01-01 00:10:00"), now, now),
