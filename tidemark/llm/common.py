@@ -55,16 +55,32 @@ def words(text: Column, separators: str) -> Column:
     return F.array_remove(parts, "")
 
 
+def small_batches(df: DataFrame, rows: int = 1000, mb: int = 8) -> DataFrame:
+    """``df``, its session set to hand Python at most ``rows`` rows or about ``mb`` MB at a time.
+
+    Texts differ in length by orders of magnitude; the default of 10,000 rows a batch
+    does not bound a worker's memory.
+    """
+    conf = df.sparkSession.conf
+    conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(mb << 20))
+    return df
+
+
 _WRITTEN: set[str] = set()
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
+def written(df: DataFrame, label: str, narrow: bool = False) -> DataFrame:
     """``df`` as a Parquet table in the shared checkpoint folder, read again: cuts the lineage.
 
     The executors share that folder, so a lost executor costs no recomputation of
-    what was written.  ``release`` removes the tables; it also runs when Python ends.
+    what was written.  ``narrow`` tables have short rows, the result of a light last
+    step: they take an eighth of the shuffle's partitions, so that files stay few.
+    ``release`` removes the tables; it also runs when Python ends.
     """
     spark = df.sparkSession
+    if narrow:
+        df = df.coalesce(max(8, int(spark.conf.get("spark.sql.shuffle.partitions")) // 8))
     root = f"{checkpoint_dir(spark).rstrip('/')}/llm-{spark.sparkContext.applicationId}"
     path = f"{root}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)

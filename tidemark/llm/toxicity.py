@@ -14,8 +14,8 @@ the smallest hash of their id); scoring reads every whole text.
 
 Defined cases: null or empty text is one empty sentence, so it gets the prior's
 score; a null label or a label without a document is not used; repeated rows each
-train and each get a score; with no usable label, or labels of one class, the
-score is the smoothed share of positive labels.  Extra columns are ignored.
+train and each get a score; with labels of one class only every score is the smoothed
+share of positive labels, and zero without any usable label.  Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -27,9 +27,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import fresh, small_batches
+
 BITS = 20
 STEM_BYTES = 6
 CACHE = 200_000
@@ -68,22 +71,28 @@ class Model:
     bias: float
     index: np.ndarray   # features with a weight
     weight: np.ndarray
+    always: float | None = None   # the score of every text, if the labels could not train a model
 
     def table(self) -> dict[int, float]:
         return dict(zip(self.index.tolist(), self.weight.tolist(), strict=True))
 
 
-def fit(bags: list[list[list[int]]], labels: list[int], epochs: int = 20, rate: float = 0.3,
+def fit(bags: pa.ListArray, labels: np.ndarray, epochs: int = 20, rate: float = 0.3,
         l1: float = 5e-4, batch: int = 64, seed: int = 7) -> Model:
-    """Noisy-or maximum likelihood by proximal AdaGrad over mini-batches of documents."""
+    """Noisy-or maximum likelihood by proximal AdaGrad over mini-batches of documents.
+
+    ``bags`` holds the features of the sentences of the documents; it is read as flat arrays.
+    """
     y = np.asarray(labels, np.float64)
     share = float((y.sum() + 1) / (len(y) + 2))
-    if len(set(labels)) < 2:
-        return Model(math.log(share / (1 - share)), np.zeros(0, np.int64), np.zeros(0))
-    flat = np.fromiter((f for d in bags for s in d for f in s), np.int64)
-    used, col = np.unique(flat, return_inverse=True)
-    per_sentence = np.fromiter((len(s) for d in bags for s in d), np.int64)
-    per_doc = np.fromiter((len(d) for d in bags), np.int64)
+    if len(np.unique(y)) < 2:
+        return Model(0.0, np.zeros(0, np.int64), np.zeros(0), share if len(y) else 0.0)
+    per_doc = pc.list_value_length(bags).to_numpy(zero_copy_only=False).astype(np.int64)
+    inner = bags.flatten()
+    per_sentence = pc.list_value_length(inner).to_numpy(zero_copy_only=False).astype(np.int64)
+    used, col = np.unique(inner.flatten().to_numpy(zero_copy_only=False), return_inverse=True)
+    col = col.astype(np.int32)
+    used = used.astype(np.int64)
     row_at, sent_at = np.r_[0, np.cumsum(per_sentence)], np.r_[0, np.cumsum(per_doc)]
     typical = max(1.0, float(np.median(per_doc)))
     bias = math.log(share / typical)
@@ -125,10 +134,11 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, max_rows: int = 800
         .where(F.col("_y").isin(0, 1) & F.col("_id").isNotNull()) \
         .where(learn_on(learn, id_col, "_id")) \
         .orderBy(F.xxhash64("_id"), "_id", "_y").limit(max_rows)
-    rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_t")).join(F.broadcast(marks), "_id") \
+    rows = small_batches(docs).select(F.col(id_col).alias("_id"), F.col(text_col).alias("_t")).join(F.broadcast(marks), "_id") \
         .orderBy(F.xxhash64("_id"), "_id", "_y").limit(max_rows) \
         .select("_y", F.arrow_udf(bags, "array<array<int>>")("_t").alias("_bags")).toArrow()
-    return fit(rows.column("_bags").to_pylist(), rows.column("_y").to_pylist())
+    bags_of = rows.column("_bags").combine_chunks()
+    return fit(bags_of, rows.column("_y").to_numpy())
 
 
 def learn_on(learn, id_col: str, name: str) -> Column:
@@ -142,14 +152,16 @@ def scorer(df: DataFrame, model: Model):
     ``score`` is the document's probability; ``sentences`` holds the code point
     spans of sentences with a probability of at least one half.
     """
-    held = df.sparkSession.sparkContext.broadcast((model.bias, model.table()))
+    held = small_batches(df).sparkSession.sparkContext.broadcast((model.bias, model.table(), model.always))
     kind = "struct<score: double, sentences: array<struct<start: long, end: long, score: double>>>"
     arrow = pa.struct([("score", pa.float64()), ("sentences", pa.list_(pa.struct(
         [("start", pa.int64()), ("end", pa.int64()), ("score", pa.float64())])))])
 
     @F.arrow_udf(kind)
     def score(text: pa.Array) -> pa.Array:
-        bias, weights = held.value
+        bias, weights, always = held.value
+        if always is not None:
+            return pa.array([{"score": always, "sentences": []}] * len(text), arrow)
         known: dict[bytes, tuple[tuple[int, float], ...]] = {}
         quiet = 1 / (1 + math.exp(-bias))
         out = []
@@ -184,7 +196,5 @@ def scorer(df: DataFrame, model: Model):
 
 def score_toxicity(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """``docs`` with the column ``toxicity`` (renamed if taken): score and offending sentences."""
-    from tidemark.llm.common import fresh
-
     (name,) = fresh(docs, "toxicity")
     return docs.withColumn(name, scorer(docs, model)(F.col(text_col)))
