@@ -23,7 +23,7 @@ def components(edges: DataFrame, rounds: int = 100) -> DataFrame:
     Nulls, self edges and repeated edges are ignored.
     """
     now = written(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(),
-                  "edges")
+                  "edges", narrow=True)
     state = _state(now)
     for _ in range(rounds):
         if not state[0]:
@@ -37,7 +37,7 @@ def components(edges: DataFrame, rounds: int = 100) -> DataFrame:
             F.explode(F.array(F.struct(F.col("a").alias("a"), F.col("m").alias("b")),
                               F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e")).select("e.*") \
             .where("a <> b").distinct()
-        now = written(small, "edges")
+        now = written(small, "edges", narrow=True)
         before, state = state, _state(now)
         if before == state:
             break

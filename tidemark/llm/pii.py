@@ -142,7 +142,7 @@ def find(docs: DataFrame, reach: int = 48, min_support: int = 3, generalise: flo
     joint = written(
         near.select("kind", "value", "term", "_row").distinct().groupBy("kind", "value", "term")
         .agg(F.count("*").alias("n_te")).where(F.col("n_te") >= min_support)
-        .join(entities, ["kind", "value"]), "pairs")
+        .join(entities, ["kind", "value"]), "pairs", narrow=True)
     terms = joint.select("term").distinct()
     seen = rows.select("_row", F.explode(F.split(lower_ascii(F.col("_text")), NON_WORDS)).alias("term"))
     n_terms = terms.count()
@@ -155,7 +155,7 @@ def find(docs: DataFrame, reach: int = 48, min_support: int = 3, generalise: flo
         disclosed = joint.join(df, "term").withColumn("ic", F.log(F.lit(float(total)) / F.col("n_e"))) \
             .where(F.col("ic") > 0).withColumn("share", pmi / F.col("ic")).where(F.col("share") >= generalise) \
             .select("kind", "value", "term", (F.col("share") >= remove).alias("gone"))
-        marked = near.join(written(disclosed, "disclosed"), ["kind", "value", "term"]) \
+        marked = near.join(written(disclosed, "disclosed", narrow=True), ["kind", "value", "term"]) \
             .groupBy("_id", "_row", "start", "stop").agg(F.max("gone").alias("gone"))
     else:
         marked = near.select("_id", "_row", "start", "stop", F.lit(True).alias("gone")).where("false")

@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import fresh, written
+from tidemark.llm.common import fresh, small_batches, written
 from tidemark.llm.components import components
 
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
@@ -73,7 +73,7 @@ def fingerprints(df: DataFrame, size: int = 4, text_col: str = "text", out_col:
             out.extend(fingerprint(t or b"", size) for t in text.slice(k, 256).cast(pa.binary()).to_pylist())
         return pa.array(np.array(out, np.uint64).view(np.int64))
 
-    return df.withColumn(fresh(df, out_col)[0], of(F.col(text_col)))
+    return small_batches(df).withColumn(fresh(df, out_col)[0], of(F.col(text_col)))
 
 
 def block_masks(max_bits: int) -> list[int]:
@@ -203,7 +203,7 @@ def link(fps: DataFrame, max_bits: int = 4, block: int = 100_000) -> DataFrame:
                    for t, m in enumerate(masks)])
     rows = fps.select("fp", F.explode(by).alias("k")).select("fp", "k.t", "k.key")
     hot = written(rows.groupBy("t", "key").count().where(F.col("count") > block)
-                  .select("t", "key", F.ceil(F.col("count") / block).cast("int").alias("parts")), "hot")
+                  .select("t", "key", F.ceil(F.col("count") / block).cast("int").alias("parts")), "hot", narrow=True)
     if hot.isEmpty():
         dealt = rows.select("t", "key", F.lit(0).alias("part"), "fp")
     else:
@@ -242,7 +242,7 @@ def near_duplicates(docs: DataFrame, size: int = 4, max_bits: int = 4, block: in
     """
     narrow = docs.select(F.col(id_col).alias("_id"), F.xxhash64(F.col(text_col)).alias("row"), F.col(text_col).alias("_text"))
     fps = written(fingerprints(narrow, size, "_text").select("_id", "row", "fp"), "fingerprints")
-    heads = written(fps.groupBy("fp").agg(F.min("_id").alias("head")), "distinct")
+    heads = written(fps.groupBy("fp").agg(F.min("_id").alias("head")), "distinct", narrow=True)
     roots = components(link(heads.select("fp"), max_bits, block))
     rooted = heads.join(roots.withColumnRenamed("node", "fp"), "fp", "left") \
         .select("fp", "head", F.coalesce("root", "fp").alias("root"))
