@@ -33,17 +33,18 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import fresh
+from tidemark.llm.common import fresh, small_batches
 
 #: Fixed value: the split pattern that belongs to this family of vocabularies, in terms of three classes.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?[{L}]+| ?[{N}]+| ?[^{S}{L}{N}]+|[{S}]+(?![^{S}])|[{S}]+"
 #: Fixed value: Unicode's white space.
 WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-CACHE = 100_000     # pieces that a worker remembers
+CACHE = 200_000     # pieces that a worker remembers
 SHORT = 64          # bytes up to which pieces are merged many at a time
 CHUNK = 1 << 20     # characters of text handled together
 NEVER = np.int32(2**31 - 1)
@@ -307,15 +308,20 @@ class Encoder:
             self.known, self.before = {}, self.known
         known, before = self.known, self.before
         new = []
-        for p in {p for x in parts for p in x if p not in known}:
+        for p in set().union(*parts).difference(known):
             if isinstance(p, int):
-                known[p] = (p,)
+                known[p] = np.int32(p).tobytes()
             elif (ids := before.get(p)) is not None:
                 known[p] = ids
             else:
                 new.append(p)
-        known.update(zip(new, map(tuple, self.model.encode_pieces([p.encode() for p in new])[0]), strict=True))
-        return [np.fromiter(chain.from_iterable(map(known.__getitem__, x)), np.int32) for x in parts]
+        ids, _ = self.model.encode_pieces([p.encode() for p in new])
+        ends = np.cumsum([0, *map(len, ids)]) * 4
+        flat = np.fromiter(chain.from_iterable(ids), np.int32, int(ends[-1]) // 4).tobytes()
+        ends = ends.tolist()
+        known.update(zip(new, [flat[i:j] for i, j in zip(ends, ends[1:], strict=False)], strict=True))
+        find = known.__getitem__
+        return [np.frombuffer(b"".join(map(find, x)), np.int32) for x in parts]
 
 
 def _groups(texts: list[str | None]) -> list[list[str]]:
@@ -333,7 +339,7 @@ def _groups(texts: list[str | None]) -> list[list[str]]:
 
 def encode(df: DataFrame, model: Model, text_col: str = "text", out_col: str = "ids") -> DataFrame:
     """``df`` with the token ids of the whole text (array of int)."""
-    held = df.sparkSession.sparkContext.broadcast(model)
+    held = small_batches(df).sparkSession.sparkContext.broadcast(model)
 
     @F.arrow_udf("array<int>")
     def ids(it: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -352,14 +358,21 @@ def encode(df: DataFrame, model: Model, text_col: str = "text", out_col: str = "
 
 def decode(df: DataFrame, model: Model, ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:
     """``df`` with the text that the ids stand for, special tokens included."""
-    held = df.sparkSession.sparkContext.broadcast(model.token)
+    held = small_batches(df).sparkSession.sparkContext.broadcast(model.token)
 
     @F.arrow_udf("string")
     def text(it: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in it:
             token, out = held.value, []
             for k in range(0, len(batch), 256):
-                out.extend(decoded(token, x or []) for x in batch.slice(k, 256).to_pylist())
+                part = batch.slice(k, 256)
+                ends = np.cumsum(np.r_[0, pc.fill_null(pc.list_value_length(part), 0).to_numpy(zero_copy_only=False)]).tolist()
+                ids = part.flatten().to_numpy(zero_copy_only=False)
+                if len(ids) and (ids.min() < 0 or ids.max() >= len(token)):
+                    out.extend(decoded(token, x or []) for x in part.to_pylist())
+                    continue
+                parts = list(map(token.__getitem__, ids.tolist()))
+                out.extend(b"".join(parts[i:j]).decode("utf-8", "replace") for i, j in zip(ends, ends[1:], strict=False))
             yield pa.array(out, pa.string())
 
     return df.withColumn(fresh(df, out_col)[0], text(F.col(ids_col)))

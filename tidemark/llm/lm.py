@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import written
+from tidemark.llm.common import small_batches, written
 
 MARK = "▁"
 LONG = 64           # characters above which a word is handled alone
@@ -206,6 +206,18 @@ def word_counts(docs: DataFrame) -> DataFrame:
     return rows.groupBy("word").agg(F.sum("c").alias("c"), F.sum("n").alias("n"))
 
 
+def regrouped(it: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of about ``rows``."""
+    held: list[pa.RecordBatch] = []
+    for batch in it:
+        held.append(batch)
+        if sum(x.num_rows for x in held) >= rows:
+            yield pa.concat_batches(held)
+            held = []
+    if sum(x.num_rows for x in held):
+        yield pa.concat_batches(held)
+
+
 def _marked(words: pa.Array) -> list[str]:
     return [MARK + w.decode() for w in words.to_pylist()]
 
@@ -218,10 +230,8 @@ def expect(counts: DataFrame, vocab: Vocabulary) -> np.ndarray:
     def step(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = held.value
         total = np.zeros(len(v.logp))
-        for batch in it:
-            for k in range(0, batch.num_rows, BATCH):
-                part = batch.slice(k, BATCH)
-                lattice(_marked(part.column(0)), v, part.column(1).to_numpy(), total)
+        for part in regrouped(it, BATCH):
+            lattice(_marked(part.column(0)), v, part.column(1).to_numpy(), total)
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(total[some])], ["piece", "gain"])
 
@@ -237,11 +247,9 @@ def word_scores(counts: DataFrame, vocab: Vocabulary) -> DataFrame:
     held = counts.sparkSession.sparkContext.broadcast(vocab)
 
     def step(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in it:
-            for k in range(0, batch.num_rows, BATCH):
-                part = batch.slice(k, BATCH)
-                score = lattice(_marked(part.column(0)), held.value)
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(score)], ["word", "c", "n", "logp"])
+        for part in regrouped(it, BATCH):
+            score = lattice(_marked(part.column(0)), held.value)
+            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(score)], ["word", "c", "n", "logp"])
 
     return counts.select("word", "c", "n").mapInArrow(step, "word binary, c long, n long, logp double")
 
@@ -254,7 +262,7 @@ def score(docs: DataFrame, learn: Column, vocab: Vocabulary, em_steps: int = 2,
     the add-one word unigram's, ``score`` the lattice model's.
     """
     spark = docs.sparkSession
-    rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"),
+    rows = small_batches(docs).select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"),
                        F.coalesce(learn, F.lit(False)).alias("_learn"))
     counts = written(word_counts(rows), "words")
     ends = rows.where("_learn").count()

@@ -27,6 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import small_batches
+
 SYMBOLS = "#*$%&|<>"
 WINDOW = 5
 SPACE = " \t\n\r\x0b\x0c"
@@ -206,7 +208,7 @@ def train(docs: DataFrame, labels: DataFrame, learn, max_rows: int = 4000, id_co
     def lines(text: pa.Array) -> pa.Array:
         return pa.array([described(t or "")[0] for t in text.to_pylist()], pa.list_(pa.list_(pa.float64())))
 
-    rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_t")).join(F.broadcast(marks), "_id") \
+    rows = small_batches(docs).select(F.col(id_col).alias("_id"), F.col(text_col).alias("_t")).join(F.broadcast(marks), "_id") \
         .orderBy(F.xxhash64("_id"), "_id", "_y").limit(max_rows) \
         .select("_y", F.arrow_udf(lines, "array<array<double>>")("_t").alias("_x")).toArrow()
     return fit(rows.column("_x").to_pylist(), rows.column("_y").to_pylist())
@@ -235,6 +237,6 @@ def judge(docs: DataFrame, chain: Chain, min_share: float = 0.5, id_col: str = "
     kind = ", ".join(f"{c}: long" for c in counts)
     udf = F.arrow_udf(rate, f"struct<{kind}, content_share: double, boilerplate: array<int>>")
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
-    return docs.select(F.col(id_col), udf(F.col(text_col)).alias("_r")).select(id_col, "_r.*") \
+    return small_batches(docs).select(F.col(id_col), udf(F.col(text_col)).alias("_r")).select(id_col, "_r.*") \
         .select(id_col, *counts, failed.alias("base_failed"), "content_share", "boilerplate",
                 (~failed & (F.col("content_share") >= min_share)).alias("kept"))

@@ -39,7 +39,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import SPACES, words, written
+from tidemark.llm.common import SPACES, small_batches, words, written
 
 ROUNDS = 4
 CHUNK = 1 << 20     # bytes of text parsed together
@@ -293,7 +293,7 @@ def remove_repeats(docs: DataFrame, window: int = 35, min_words: int = 3, broadc
     ``kept`` holds the words that stay, joined by single spaces; ``removed`` the word
     spans (start, stop) covered by windows whose words also start anywhere else.
     """
-    narrow = docs.select(F.col(id_col).alias("_id"), F.hash(F.col(text_col)).alias("_row"),
+    narrow = small_batches(docs).select(F.col(id_col).alias("_id"), F.hash(F.col(text_col)).alias("_row"),
                          F.col(text_col).alias("_text"))
     possible = written(possible_windows(narrow, window, min_words), "possible")
     keys = possible.select(F.col("id").alias("_k_id"), F.col("row").alias("_k_row"))
