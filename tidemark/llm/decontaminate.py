@@ -112,11 +112,12 @@ def contamination(docs: DataFrame, benchmark: DataFrame, span: int = 10, k: int
     ``row`` is the XXH64 of the text, ``spans`` are the hit windows as word positions (stop exclusive, sorted),
     ``items`` the ids of the items that have an occurring window, as sorted text.
     """
-    windows = written(item_windows(benchmark, span, k, item_col, item_text_col), "windows")
+    windows = written(item_windows(benchmark, span, k, item_col, item_text_col), "windows", narrow=True)
     keep = ["_id", "_row"]
     # the text's hash keeps rows apart that share an id but not the text
     narrow = docs.select(F.col(id_col).alias("_id"), F.xxhash64(F.col(text_col)).alias("_row"), F.col(text_col).alias("_text"))
-    per_doc = hits(narrow, windows, keep, span, k, broadcast_windows)
+    # read twice below, by different columns: written, so that the pass over the texts runs once
+    per_doc = written(hits(narrow, windows, keep, span, k, broadcast_windows), "hits", narrow=True)
     items = F.array_sort(F.array_distinct(F.flatten(F.collect_list("items"))))
     hit = per_doc.where(F.size("wins") > 0)
     # few rows: documents with hits; equal windows were grouped, so each brings its items once
