@@ -90,13 +90,12 @@ def fit(bags: pa.ListArray, labels: np.ndarray, epochs: int = 20, rate: float =
     per_doc = pc.list_value_length(bags).to_numpy(zero_copy_only=False).astype(np.int64)
     inner = bags.flatten()
     per_sentence = pc.list_value_length(inner).to_numpy(zero_copy_only=False).astype(np.int64)
-    used, col = np.unique(inner.flatten().to_numpy(zero_copy_only=False), return_inverse=True)
-    col = col.astype(np.int32)
-    used = used.astype(np.int64)
+    col = inner.flatten().to_numpy(zero_copy_only=False)     # a feature is its own place: the hash is bounded
+    size = 1 << BITS
     row_at, sent_at = np.r_[0, np.cumsum(per_sentence)], np.r_[0, np.cumsum(per_doc)]
     typical = max(1.0, float(np.median(per_doc)))
     bias = math.log(share / typical)
-    w, g2, b2 = np.zeros(len(used)), np.full(len(used), 1e-4), 1.0
+    w, g2, b2 = np.zeros(size), np.full(size, 1e-4), 1.0
     order_of = np.random.default_rng(seed)
     for _ in range(epochs):
         order = order_of.permutation(len(y))
@@ -123,8 +122,8 @@ def fit(bags: pa.ListArray, labels: np.ndarray, epochs: int = 20, rate: float =
             gb = float(g_sent.sum())
             b2 += gb * gb
             bias = min(bias - rate * 0.2 / math.sqrt(b2) * gb, -1.0)
-    keep = np.abs(w) > 1e-9
-    return Model(bias, used[keep], w[keep])
+    keep = np.flatnonzero(np.abs(w) > 1e-9)
+    return Model(bias, keep, w[keep])
 
 
 def train(docs: DataFrame, labels: DataFrame, learn: Column, max_rows: int = 8000,
