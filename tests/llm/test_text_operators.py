@@ -148,6 +148,14 @@ def test_pii_terms_that_give_an_entity_away(spark):
         assert "kowalski" not in r["clean_text"] and "<EMAIL>" in r["clean_text"]
 
 
+def test_pii_entity_of_a_single_text(spark):
+    plain = [(k, f"plain words of document {k} and so on, they ask", None, None, None) for k in range(40)]
+    told = [(100, "words: ask kowalski at kk@ex.org and so on", None, None, None)]
+    r = pii.sanitise(spark.createDataFrame(plain + told, SCHEMA)).where("doc_id = 100").first()
+    assert {r["text"][t["start"]:t["stop"]] for t in r["terms"] if t["action"] == "remove"} == {"kowalski", "at"}
+    assert "kowalski" not in r["clean_text"] and "ask" in r["clean_text"] and "<EMAIL>" in r["clean_text"]
+
+
 def test_license_places_and_spans(spark, odd):
     notice = "Licensed under the Apache License, Version 2.0."
     docs = odd.unionByName(spark.createDataFrame(

@@ -10,7 +10,8 @@ texts, ``n(e)`` counts those with entity e, ``n(t)`` those with term t anywhere
 ``PMI(t; e) / IC(e)`` of the entity, with ``PMI = log(n(t,e) N / (n(t) n(e)))`` and
 ``IC = log(N / n(e))``: one means that the term alone identifies it.  At ``remove``
 or more the term is removed beside that entity, at ``generalise`` or more it is
-replaced by its general form.  ``min_support`` distinct texts must show the pair.
+replaced by its general form.  Every entity is scored, also one seen in a single text:
+there the share is ``IC(t) / IC(e)``, one for a term that no other text has.
 
 Statistics are sums over the whole corpus with pre-aggregation; copies of a text
 count once.  Documents without base values leave the plan after the first pass.  The
@@ -119,7 +120,7 @@ def context(text: Column, span: Column, base: Column, reach: int) -> Column:
     return F.filter(both, lambda t: ~F.exists(base, lambda b: (b["start"] < t["stop"]) & (t["start"] < b["stop"])))
 
 
-def find(docs: DataFrame, reach: int = 48, min_support: int = 3, generalise: float = 0.75, remove: float = 0.9,
+def find(docs: DataFrame, reach: int = 48, generalise: float = 0.75, remove: float = 0.9,
          broadcast_terms: int = 200_000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Documents with base values: (_id, _row, base, terms), one row for each distinct pair of id and text.
 
@@ -136,12 +137,12 @@ def find(docs: DataFrame, reach: int = 48, min_support: int = 3, generalise: flo
     pairs = found.select("_id", "_row", F.explode("around").alias("e")) \
         .select("_id", "_row", "e.kind", "e.value", "e.near")
     entities = pairs.select("kind", "value", "_row").distinct().groupBy("kind", "value") \
-        .agg(F.count("*").alias("n_e")).where(F.col("n_e") >= min_support)
+        .agg(F.count("*").alias("n_e"))
     near = pairs.select("_id", "_row", "kind", "value", F.explode("near").alias("t")) \
         .select("_id", "_row", "kind", "value", "t.term", "t.start", "t.stop")
     joint = written(
         near.select("kind", "value", "term", "_row").distinct().groupBy("kind", "value", "term")
-        .agg(F.count("*").alias("n_te")).where(F.col("n_te") >= min_support)
+        .agg(F.count("*").alias("n_te"))
         .join(entities, ["kind", "value"]), "pairs", narrow=True)
     terms = joint.select("term").distinct()
     seen = rows.select("_row", F.explode(F.split(lower_ascii(F.col("_text")), NON_WORDS)).alias("term"))
