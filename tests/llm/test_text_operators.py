@@ -156,6 +156,23 @@ def test_pii_entity_of_a_single_text(spark):
     assert "kowalski" not in r["clean_text"] and "ask" in r["clean_text"] and "<EMAIL>" in r["clean_text"]
 
 
+def test_pii_terms_far_from_the_entity_and_in_texts_without_it(spark):
+    filler = "plain words and so on, they ask. " * 40
+    plain = [(k, f"{filler} {k}", None, None, None) for k in range(60)]
+    told = [(100 + k, f"Kowalski {filler} kk@ex.org {filler} KOWALSKI {k}", None, None, None) for k in range(10)]
+    alone = [(200, "They ask Kowalski.", None, None, None), (None, "They ask Kowalski.", None, None, None)]
+    rows = pii.sanitise(spark.createDataFrame(plain + told + alone, SCHEMA)).collect()
+    assert len(rows) == 72
+    for r in rows:
+        assert "kowalski" not in r["clean_text"].lower()
+        if r["doc_id"] is None or r["doc_id"] == 200:
+            assert r["clean_text"] == "They ask ." and [tuple(t) for t in r["terms"]] == [(9, 17, "remove")]
+        elif r["doc_id"] >= 100:
+            assert "<EMAIL>" in r["clean_text"] and "they ask" in r["clean_text"]
+        else:
+            assert r["clean_text"] == r["text"]
+
+
 def test_license_places_and_spans(spark, odd):
     notice = "Licensed under the Apache License, Version 2.0."
     docs = odd.unionByName(spark.createDataFrame(

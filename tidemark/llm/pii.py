@@ -4,25 +4,28 @@ Base spans: e-mail addresses, IPv4 addresses, card numbers (Luhn) and phone
 numbers, leftmost and non-overlapping per kind.  Every distinct base value is a
 protected entity.
 
-The method adds the words around an entity that give it away.  Over all distinct
-texts, ``n(e)`` counts those with entity e, ``n(t)`` those with term t anywhere and
-``n(t, e)`` those with t within ``reach`` characters of e.  The term discloses
+The method adds the words that give an entity away.  Over all distinct texts,
+``n(e)`` counts those with entity e, ``n(t)`` those with term t and ``n(t, e)`` those
+with e and, outside the base values, t, at any distance.  The term discloses
 ``PMI(t; e) / IC(e)`` of the entity, with ``PMI = log(n(t,e) N / (n(t) n(e)))`` and
-``IC = log(N / n(e))``: one means that the term alone identifies it.  At ``remove``
-or more the term is removed beside that entity, at ``generalise`` or more it is
-replaced by its general form.  Every entity is scored, also one seen in a single text:
+``IC = log(N / n(e))``: one means that the term alone identifies it.  At ``generalise``
+or more the term is replaced by its general form wherever it stands in a text with the
+entity; at ``remove`` or more it is removed there, and in every other text as well,
+since it identifies the entity without the base value.  Every entity is scored, also one seen in a single text:
 there the share is ``IC(t) / IC(e)``, one for a term that no other text has.
 
 Statistics are sums over the whole corpus with pre-aggregation; copies of a text
-count once.  Documents without base values leave the plan after the first pass.  The
-terms in question are broadcast for the corpus count only if there are at most
-``broadcast_terms``, counted first; otherwise all terms are counted and joined.
+count once.  Entities that stand in the same set of texts have the same shares and are
+scored once: the set is known by its size and two sums (xor) of hashes.  The terms in
+question and those to remove outside the entity's texts are broadcast if there are at
+most ``broadcast_terms``, counted first; otherwise all terms are counted, or all words
+joined.  A term that no text without the entity has is not looked for outside.
 
 Every pattern is written so that matching takes linear time: a match can only start
 at the start of a run of its first character class or where the last match ended.
 
-Defined cases: null text counts as empty and stays null; texts without base values stay
-as they are; an entity that is in every text has no information content and
+Defined cases: null text counts as empty and stays null; texts without base values and
+without terms to remove stay as they are; an entity that is in every text has no information content and
 discloses nothing; repeated rows each get a row; extra columns are ignored here and
 kept by ``sanitise``.
 """
@@ -46,10 +49,12 @@ PATTERNS = {
 #: What a text must contain to have a match of the kind.
 HINTS = {"email": r"@[A-Za-z0-9-]", "ip": r"[0-9]\.[0-9]++\.", "card": r"(?:[0-9][\x20-]?){15}[0-9]", "phone": r"\+[0-9]"}
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: Pieces of lowered text that end where a word ends or between words; ``matches`` is for short strings.
+PIECE = r"(?s).{1,512}[^\x00-\x2F\x3A-\x60\x7B-\x7F]*+"
 SPAN = "array<struct<kind: int, start: int, stop: int, value: string>>"
 
 
-def matches(text: Column, pattern: str) -> Column:
+def matches(text: Column, pattern: str | Column) -> Column:
     """Code point spans and strings of all matches: what lies between them gives their places."""
     both = F.arrays_zip(F.split(text, pattern, -1).alias("gap"), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("hit"))
     zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start: int, stop: int, value: string>>").alias("out"))
@@ -104,68 +109,90 @@ def base_spans(text: Column) -> Column:
     return F.concat(*parts)
 
 
-def context(text: Column, span: Column, base: Column, reach: int) -> Column:
-    """Whole words within ``reach`` code points of the span and outside all base spans: (term, start, stop)."""
-    low = F.greatest(span["start"] - F.lit(reach), F.lit(0))
-    left = F.substring(text, low + 1, span["start"] - low)
-    right = F.substring(text, span["stop"] + 1, F.lit(reach))
-    cut_left, cut_right = low > 0, span["stop"] + F.lit(reach) < F.length(text)
+def places(rows: DataFrame, only: DataFrame | None = None) -> DataFrame:
+    """Every word of ``_text`` (in lower case) that meets no span of ``base``: (_id, _row, term, start, stop).
 
-    def placed(found: Column, offset: Column) -> Column:
-        return F.transform(found, lambda m: F.struct(lower_ascii(m["value"]).alias("term"), (m["start"] + offset).alias("start"),
-                                                     (m["stop"] + offset).alias("stop")))
-    before = F.filter(matches(left, WORD), lambda m: ~cut_left | (m["start"] > 0))
-    after = F.filter(matches(right, WORD), lambda m: ~cut_right | (m["stop"] < F.lit(reach)))
-    both = F.concat(placed(before, low), placed(after, span["stop"]))
-    return F.filter(both, lambda t: ~F.exists(base, lambda b: (b["start"] < t["stop"]) & (t["start"] < b["stop"])))
-
-
-def find(docs: DataFrame, reach: int = 48, generalise: float = 0.75, remove: float = 0.9,
-         broadcast_terms: int = 200_000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Documents with base values: (_id, _row, base, terms), one row for each distinct pair of id and text.
+    ``only`` is a broadcast table of terms: pieces are searched for those of them that they have.
+    """
+    zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<at: int, piece: string>>").alias("out"))
+    cut = F.aggregate(
+        F.regexp_extract_all(lower_ascii(F.col("_text")), F.lit(PIECE), F.lit(0)), zero,
+        lambda acc, x: F.struct((acc["at"] + F.length(x)).alias("at"),
+                                F.array_append(acc["out"], F.struct(acc["at"].alias("at"), x.alias("piece"))).alias("out")),
+        lambda acc: acc["out"])
+    pieces = rows.select("_id", "_row", "base", F.explode(cut).alias("p")).select("_id", "_row", "base", "p.at", "p.piece")
+    pattern = WORD
+    if only is not None:
+        pieces = pieces.withColumn("term", F.explode(F.array_distinct(F.split("piece", NON_WORDS)))).join(only, "term", "left_semi")
+        pattern = F.concat(F.lit(f"(?<!{WORD[:-1]})"), F.col("term"), F.lit(f"(?!{WORD[:-1]})"))   # words have no special characters
+    found = F.transform(matches(F.col("piece"), pattern), lambda m: F.struct(
+        m["value"].alias("term"), (m["start"] + F.col("at")).alias("start"), (m["stop"] + F.col("at")).alias("stop")))
+    beside = F.filter("base", lambda b: (b["start"] < F.col("at") + F.length("piece")) & (F.col("at") < b["stop"]))
+    return pieces.withColumn("base", beside).select("_id", "_row", "base", F.explode(found).alias("w")) \
+        .where((F.size("base") == 0) | ~_meets(F.col("w"), "base")).select("_id", "_row", "w.term", "w.start", "w.stop")
+
+
+def _meets(span: Column, base: str) -> Column:
+    return F.exists(base, lambda b: (b["start"] < span["stop"]) & (span["start"] < b["stop"]))
+
+
+def find(docs: DataFrame, generalise: float = 0.75, remove: float = 0.9, broadcast_terms: int = 200_000,
+         id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Documents with base values or terms: (_id, _row, base, terms), one row for each distinct pair of id and text.
 
     ``terms`` has (start, stop, action), sorted, with action ``remove`` or ``generalise``.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.col(id_col).alias("_id"), F.xxhash64(F.col(text_col)).alias("_row"), text.alias("_text"))
-    found = written(
-        rows.withColumn("base", base_spans(F.col("_text"))).where(F.size("base") > 0)
-        .select("_id", "_row", "base", F.transform("base", lambda s: F.struct(
-            s["kind"].alias("kind"), lower_ascii(s["value"]).alias("value"),
-            context(F.col("_text"), s, F.col("base"), reach).alias("near"))).alias("around"))
-        .dropDuplicates(["_id", "_row"]), "pii")
-    pairs = found.select("_id", "_row", F.explode("around").alias("e")) \
-        .select("_id", "_row", "e.kind", "e.value", "e.near")
-    entities = pairs.select("kind", "value", "_row").distinct().groupBy("kind", "value") \
-        .agg(F.count("*").alias("n_e"))
-    near = pairs.select("_id", "_row", "kind", "value", F.explode("near").alias("t")) \
-        .select("_id", "_row", "kind", "value", "t.term", "t.start", "t.stop")
-    joint = written(
-        near.select("kind", "value", "term", "_row").distinct().groupBy("kind", "value", "term")
-        .agg(F.count("*").alias("n_te"))
-        .join(entities, ["kind", "value"]), "pairs", narrow=True)
+    found = written(rows.withColumn("base", base_spans(F.col("_text"))).where(F.size("base") > 0)
+                    .dropDuplicates(["_id", "_row"]), "pii")
+    pairs = found.select("_row", F.explode("base").alias("b")) \
+        .select("_row", "b.kind", lower_ascii(F.col("b.value")).alias("value")).distinct()
+    entities = pairs.groupBy("kind", "value").agg(
+        F.count("*").alias("n_e"), F.bit_xor(F.xxhash64("_row")).alias("x"), F.bit_xor(F.xxhash64(F.lit(1), "_row")).alias("y"))
+    unit = ["n_e", "x", "y"]
+    units = pairs.join(entities, ["kind", "value"]).select("_row", *unit).distinct()
+    own = places(found)
+    joint = written(units.join(own.select("_row", "term").distinct(), "_row"), "joint")
+    texts = written(rows.groupBy("_row").agg(F.count("*").alias("copies")), "texts", narrow=True)
+    total, n_copied = texts.agg(F.count("*"), F.count_if(F.col("copies") > 1)).first()
     terms = joint.select("term").distinct()
-    seen = rows.select("_row", F.explode(F.split(lower_ascii(F.col("_text")), NON_WORDS)).alias("term"))
     n_terms = terms.count()
-    if n_terms:
-        if n_terms <= broadcast_terms:
-            seen = seen.join(F.broadcast(terms), "term", "left_semi")
-        df = seen.distinct().groupBy("term").agg(F.count("*").alias("n_t"))
-        total = rows.select("_row").distinct().count()
-        pmi = F.log(F.col("n_te") * F.lit(float(total)) / (F.col("n_t") * F.col("n_e")))
-        disclosed = joint.join(df, "term").withColumn("ic", F.log(F.lit(float(total)) / F.col("n_e"))) \
-            .where(F.col("ic") > 0).withColumn("share", pmi / F.col("ic")).where(F.col("share") >= generalise) \
-            .select("kind", "value", "term", (F.col("share") >= remove).alias("gone"))
-        marked = near.join(written(disclosed, "disclosed", narrow=True), ["kind", "value", "term"]) \
-            .groupBy("_id", "_row", "start", "stop").agg(F.max("gone").alias("gone"))
-    else:
-        marked = near.select("_id", "_row", "start", "stop", F.lit(True).alias("gone")).where("false")
+
+    def hint(df: DataFrame, n: int) -> DataFrame:
+        return F.broadcast(df) if n <= broadcast_terms else df
+
+    # the copies of a text share a count of one; the sum of shares is off by far less than a half
+    seen = rows.join(hint(texts.where(F.col("copies") > 1), n_copied), "_row", "left").select(
+        F.explode(F.array_distinct(F.split(lower_ascii(F.col("_text")), NON_WORDS))).alias("term"),
+        (F.lit(1.0) / F.coalesce("copies", F.lit(1))).alias("part"))
+    if n_terms <= broadcast_terms:
+        seen = seen.join(F.broadcast(terms), "term", "left_semi")
+    df = seen.groupBy("term").agg(F.round(F.sum("part")).cast("long").alias("n_t"))
+    pmi = F.log(F.col("n_te") * F.lit(float(total)) / (F.col("n_t") * F.col("n_e")))
+    disclosed = written(
+        joint.groupBy(*unit, "term").agg(F.count("*").alias("n_te")).join(df, "term")
+        .withColumn("ic", F.log(F.lit(float(total)) / F.col("n_e"))).where(F.col("ic") > 0)
+        .withColumn("share", pmi / F.col("ic")).where(F.col("share") >= generalise)
+        .select(*unit, "term", (F.col("share") >= remove).alias("gone"), (F.col("n_t") > F.col("n_te")).alias("elsewhere")),
+        "disclosed", narrow=True)
+    beside = joint.join(disclosed, [*unit, "term"]).groupBy("_row", "term").agg(F.max("gone").alias("gone"))
+    outside = disclosed.where(F.col("gone") & F.col("elsewhere")).select("term").distinct()
+    n_outside = outside.count()
+    marked = own.join(beside, ["_row", "term"]).drop("term")
+    if n_outside:
+        every = rows.withColumn("base", F.array().cast(SPAN))
+        every = places(every, F.broadcast(outside)) if n_outside <= broadcast_terms else places(every).join(outside, "term")
+        marked = marked.unionByName(every.drop("term").withColumn("gone", F.lit(True)))
     action = F.when(F.col("gone"), "remove").otherwise("generalise").alias("action")
-    spans = marked.groupBy("_id", "_row").agg(F.array_sort(F.collect_list(F.struct("start", "stop", action))).alias("terms"))
-    f, s = found.alias("f"), spans.alias("s")
-    same = F.col("f._id").eqNullSafe(F.col("s._id")) & F.col("f._row").eqNullSafe(F.col("s._row"))
-    return f.join(s, same, "left").select("f._id", "f._row", "f.base", F.coalesce(
-        "s.terms", F.array().cast("array<struct<start: int, stop: int, action: string>>")).alias("terms"))
+    spans = marked.groupBy("_id", "_row", "start", "stop").agg(F.max("gone").alias("gone")) \
+        .select("_id", "_row", F.lit(None).cast(SPAN).alias("base"), F.struct("start", "stop", action).alias("term"))
+    bases = found.select("_id", "_row", "base", F.lit(None).cast("struct<start: int, stop: int, action: string>").alias("term"))
+    merged = bases.unionByName(spans).groupBy("_id", "_row").agg(
+        F.coalesce(F.first("base", ignorenulls=True), F.array().cast(SPAN)).alias("base"),
+        F.array_sort(F.collect_list("term")).alias("terms"))
+    return merged.withColumn("terms", F.filter("terms", lambda t: ~_meets(t, "base"))) \
+        .where((F.size("base") > 0) | (F.size("terms") > 0))
 
 
 def masked(text: Column, base: Column, terms: Column) -> Column:
