@@ -1,19 +1,22 @@
-"""Every registered query against its DuckDB twin on the smoke data (sf0.001)."""
+"""Every registered warehouse query against its DuckDB twin on the smoke data (sf0.001)."""
 
 import importlib.util
+from pathlib import Path
 
 import duckdb
 import pytest
 
+from tidemark.plans import catalog
 from tidemark.sources.adapter import DRIVER_TABLES
 
 SF = "/root/testdata/sf0.001"
+ROOT = Path(__file__).parents[1]
 
-_spec = importlib.util.spec_from_file_location("spark_entry_oracle", "/root/repo/__spark_entry__.py")
+_spec = importlib.util.spec_from_file_location("spark_entry_oracle", ROOT / "__spark_entry__.py")
 E = importlib.util.module_from_spec(_spec)
 _spec.loader.exec_module(E)
 
-_check_spec = importlib.util.spec_from_file_location("check_oracle_mod", "/root/repo/check_oracle.py")
+_check_spec = importlib.util.spec_from_file_location("check_oracle_mod", ROOT / "check_oracle.py")
 C = importlib.util.module_from_spec(_check_spec)
 _check_spec.loader.exec_module(C)
 
@@ -26,7 +29,7 @@ def con():
     return c
 
 
-@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(catalog.REGISTRY))
 def test_query_matches_duckdb(spark, con, name):
     df = E.queries()[name](spark, SF)
     srows = [tuple(r) for r in df.collect()]
