@@ -5,7 +5,7 @@ from __future__ import annotations
 import atexit
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.session import checkpoint_dir
@@ -67,9 +67,42 @@ def small_batches(df: DataFrame, rows: int = 1000, mb: int = 8) -> DataFrame:
     return df
 
 
+def numbered(df: DataFrame, group: str | None, order: list[str], out: str, label: str) -> DataFrame:
+    """``df`` as a written table with the place (from 0) of each row in its group, in ascending ``order``, nulls first.
+
+    A range partition on group, order and a spread that also splits equal rows, so
+    that no group or value becomes one task; each row then numbers itself, and a table
+    of one row for each group and partition has where the groups' parts begin.
+    """
+    spread, seq, part, base = fresh(df, "_spread", "_seq", "_part", "_base")
+    keys = [F.col(c).asc_nulls_first() for c in ([group] if group else []) + order]
+    rows = df.withColumn(spread, F.monotonically_increasing_id()).repartitionByRange(*keys, F.col(spread)) \
+        .sortWithinPartitions(*keys).drop(spread).withColumn(seq, F.monotonically_increasing_id())
+    rows = written(rows, label).withColumn(part, F.shiftright(F.col(seq), 33))
+    by = [group] if group else []
+    parts = rows.groupBy(*by, part).agg(F.count("*").alias("n"), F.min(seq).alias("low"))
+    before = Window.partitionBy(*by).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    begins = parts.select(*by, part, (F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("low")).alias(base))
+    same = F.col(f"l.{part}") == F.col(f"r.{part}")
+    if group:
+        same = same & F.col(f"l.`{group}`").eqNullSafe(F.col(f"r.`{group}`"))
+    return rows.alias("l").join(begins.alias("r"), same) \
+        .select(*[F.col(f"l.`{c}`") for c in df.columns], (F.col(f"l.{seq}") + F.col(f"r.{base}")).alias(out))
+
+
 _WRITTEN: set[str] = set()
 
 
+def scratch(spark: SparkSession, label: str) -> str:
+    """A new path in the shared checkpoint folder, which ``release`` removes."""
+    root = f"{checkpoint_dir(spark).rstrip('/')}/llm-{spark.sparkContext.applicationId}"
+    path = f"{root}/{label}-{uuid.uuid4().hex}"
+    if not _WRITTEN:
+        atexit.register(_release_at_end)
+    _WRITTEN.add(path)
+    return path
+
+
 def written(df: DataFrame, label: str, narrow: bool = False) -> DataFrame:
     """``df`` as a Parquet table in the shared checkpoint folder, read again: cuts the lineage.
 
@@ -81,12 +114,8 @@ def written(df: DataFrame, label: str, narrow: bool = False) -> DataFrame:
     spark = df.sparkSession
     if narrow:
         df = df.coalesce(max(8, int(spark.conf.get("spark.sql.shuffle.partitions")) // 8))
-    root = f"{checkpoint_dir(spark).rstrip('/')}/llm-{spark.sparkContext.applicationId}"
-    path = f"{root}/{label}-{uuid.uuid4().hex}"
+    path = scratch(spark, label)
     df.write.parquet(path)
-    if not _WRITTEN:
-        atexit.register(_release_at_end)
-    _WRITTEN.add(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

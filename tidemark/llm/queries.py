@@ -6,11 +6,13 @@ outputs (ids, spans, texts) to the digest columns of its contract.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, chat, decontaminate, licenses, lm, pii, quality, repeats, simhash, toxicity
-from tidemark.llm.common import in_fold, table
+from tidemark.llm import (
+    bpe, chat, decontaminate, licenses, lm, merkle, pii, quality, repeats, simhash, tokenstore, toxicity, whitening,
+)
+from tidemark.llm.common import in_fold, lower_ascii, scratch, table
 
 
 def byte_vocabulary() -> str:
@@ -109,6 +111,29 @@ def op10_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
         .withColumns({m: chat.mask_text(m) for m in ("chosen_mask", "rejected_mask")})
 
 
+def op11_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    store = tokenstore.write(table(spark, sf_dir, "documents"), scratch(spark, "tokens"), byte_vocabulary(), end_id=0)
+    return tokenstore.read(store).select(F.col("id").alias("doc_id"), "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"), components=32).withColumnRenamed("id", "vec_id")
+
+
+def op13_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select(*merkle.FIELDS)
+    other = F.when(F.col("text").isNotNull(), lower_ascii(F.col("text")))
+    tree = merkle.build(docs, changed={"text": other}, where=in_fold(F.col("doc_id"), 3, 0))
+
+    def digest(c: str) -> Column:
+        return F.lower(F.hex(c))
+    return merkle.climb(tree).select(
+        F.col("id").alias("doc_id"), digest("leaf").alias("leaf"), digest("subroot").alias("subroot"),
+        F.lit(tree.root.hex() if tree.root else None).cast("string").alias("root"),
+        F.sha2(digest("proof").cast("binary"), 256).alias("proof_sha256"), digest("folded").alias("folded_root"),
+        (F.col("folded") == F.lit(tree.root).cast("binary")).alias("verified"))
+
+
 QUERIES = {
     "op1_lm": op1_lm,
     "op2_simhash": op2_simhash,
@@ -120,6 +145,9 @@ QUERIES = {
     "op8_pii": op8_pii,
     "op9_decontamination": op9_decontamination,
     "op10_preferences": op10_preferences,
+    "op11_token_store": op11_token_store,
+    "op12_whitening": op12_whitening,
+    "op13_manifest": op13_manifest,
 }
 
 LETTERS = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
@@ -224,7 +252,53 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_removed, 0) AS
 FROM d LEFT JOIN per USING (rid) LEFT JOIN kept USING (rid)
 """
 
+#: crc32 of a list of bytes: the table of its polynomial, then a byte at a time.
+_CRC = """(xor(list_reduce(list_concat([4294967295::BIGINT], {0}),
+    lambda c, b: xor(c >> 8, crc[xor(c, b) % 256 + 1])), 4294967295::BIGINT))"""
+
+OP13_SQL = f"""
+WITH RECURSIVE polynomial AS (
+  SELECT list_transform(range(256), lambda i: list_reduce(list_concat([i], range(8)),
+           lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384::BIGINT) ELSE c >> 1 END)) AS crc),
+f AS (SELECT row_number() OVER () AS rid, doc_id, lang, text,
+        {_CRC.format("list_transform(string_split(doc_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)")} % 3 = 0 AS hit,
+        [doc_id::VARCHAR, source, lang, n_chars::VARCHAR] AS a FROM documents, polynomial),
+h AS (SELECT rid, doc_id, lang, coalesce(hit, false) AS hit,
+        array_to_string(list_transform(a, lambda x: coalesce(strlen(x) || ':' || x, '-')), '') AS head,
+        coalesce(strlen(text) || ':' || text, '-') AS body,
+        coalesce(strlen(text) || ':' || translate(text, {LETTERS}), '-') AS low FROM f),
+l AS (SELECT rid, doc_id, lang, sha256(head || body) AS leaf,
+        CASE WHEN hit THEN sha256(head || low) ELSE sha256(head || body) END AS other FROM h),
+n AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf, rid) - 1 AS pos FROM l),
+tree(lang, level, nodes) AS (
+  SELECT lang, 0, list(leaf ORDER BY pos) FROM n GROUP BY lang
+  UNION ALL
+  SELECT lang, level + 1, list_transform(range(0, len(nodes), 8), lambda i: sha256(array_to_string(nodes[i + 1 : i + 8], '')))
+  FROM tree WHERE len(nodes) > 1),
+subroots AS (SELECT lang, nodes[1] AS subroot, level AS height, row_number() OVER (ORDER BY encode(lang) NULLS FIRST) - 1 AS t
+             FROM tree WHERE len(nodes) = 1),
+top(level, nodes) AS (
+  SELECT 0, list(subroot ORDER BY t) FROM subroots
+  UNION ALL
+  SELECT level + 1, list_transform(range(0, len(nodes), 8), lambda i: sha256(array_to_string(nodes[i + 1 : i + 8], '')))
+  FROM top WHERE len(nodes) > 1),
+levels AS (SELECT s.t, level, nodes FROM tree JOIN subroots s ON tree.lang IS NOT DISTINCT FROM s.lang WHERE len(nodes) > 1
+           UNION ALL SELECT s.t, s.height + level, nodes FROM top, subroots s WHERE len(nodes) > 1),
+climb(rid, t, level, pos, folded, proof) AS (
+  SELECT n.rid, s.t, 0, n.pos, n.other, '' FROM n JOIN subroots s ON n.lang IS NOT DISTINCT FROM s.lang
+  UNION ALL
+  SELECT c.rid, c.t, c.level + 1, c.k // 8, sha256(c.front || c.folded || c.back), c.proof || c.front || c.back
+  FROM (SELECT *, array_to_string(nodes[k // 8 * 8 + 1 : k], '') AS front, array_to_string(nodes[k + 2 : k // 8 * 8 + 8], '') AS back
+        FROM (SELECT x.*, y.nodes, CASE WHEN x.level = s.height THEN x.t ELSE x.pos END AS k
+              FROM climb x JOIN levels y ON x.t = y.t AND x.level = y.level JOIN subroots s ON x.t = s.t)) c)
+SELECT n.doc_id, n.leaf, s.subroot, (SELECT nodes[1] FROM top WHERE len(nodes) = 1) AS root, sha256(c.proof) AS proof_sha256,
+       c.folded AS folded_root, c.folded = (SELECT nodes[1] FROM top WHERE len(nodes) = 1) AS verified
+FROM n JOIN subroots s ON n.lang IS NOT DISTINCT FROM s.lang
+JOIN climb c ON c.rid = n.rid AND c.level = s.height + (SELECT max(level) FROM top)
+"""
+
 SQL: dict[str, str] = {
+    "op13_manifest": OP13_SQL,
     "op6_repeats": OP6_SQL,
     "op5_licenses": OP5_SQL,
     "op10_preferences": OP10_SQL,
