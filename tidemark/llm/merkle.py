@@ -8,8 +8,8 @@ bytewise), are the leaves of the top tree, whose last node is the root.
 ``build`` stores the tree: a table of leaves and one of inner nodes, whose rows have
 their own name, their parent's, their place among its children, and the hashes of
 their own children.  ``climb`` is a recursive query over these tables: for each leaf it
-ascends parent by parent, appends the siblings to the proof and folds the hash that it
-was given, true or tampered.  Its result is the proof and the hash at the root.
+ascends parent by parent, appends a step with its siblings and folds the hash that it
+was given, true or tampered.  Its result is the proof, the steps' siblings in order, and the hash at the root.
 
 Scale: leaves are numbered without a shuffle beyond one range partition of short rows
 (``numbered``); a level is one aggregate with at most ``fan`` rows a group, and an eighth
@@ -160,21 +160,20 @@ def build(docs: DataFrame, fields: tuple[str, ...] = FIELDS, id_col: str = "doc_
 
 
 CLIMB = """
-WITH RECURSIVE climb(id, leaf, subroot, parent, slot, low, folded, proof) AS (
-  SELECT id, leaf, subroot, parent, slot, low, folded, proof FROM {start}
+WITH RECURSIVE climb(start, step, parent, slot, low, folded) AS (
+  SELECT start, step, parent, slot, low, folded FROM {begin}
   UNION ALL
-  SELECT c.id, c.leaf, c.subroot, n.parent, n.slot, n.low,
+  SELECT c.start, c.step + 1, n.parent, n.slot, n.low,
          unhex(sha2(cast(lower(hex(concat(substring(n.kids, 1, 32 * c.slot), c.folded,
-                                          substring(n.kids, 32 * c.slot + 33)))) AS binary), 256)),
-         concat(c.proof, substring(n.kids, 1, 32 * c.slot), substring(n.kids, 32 * c.slot + 33))
+                                          substring(n.kids, 32 * c.slot + 33)))) AS binary), 256))
   FROM (SELECT * FROM climb WHERE {goes_on}) c JOIN (SELECT {hint} name, parent, slot, low, kids FROM {nodes}) n ON c.parent = n.name
 )
-SELECT id, leaf, subroot, parent, slot, low, folded, proof FROM climb WHERE NOT ({goes_on})
+SELECT start, step, parent, slot, low, folded FROM climb
 """
 
 
 def _ascend(state: DataFrame, nodes: DataFrame, goes_on: str, broadcast: bool) -> DataFrame:
-    """The climb from ``state`` through ``nodes``: the rows for which ``goes_on`` no longer holds."""
+    """The climb from ``state`` through ``nodes``: a row for each leaf and step, the last one that for which ``goes_on`` no longer holds."""
     spark = state.sparkSession
     names = [f"merkle_{uuid.uuid4().hex}" for _ in range(2)]
     for name, df in zip(names, (state, nodes), strict=True):
@@ -183,7 +182,7 @@ def _ascend(state: DataFrame, nodes: DataFrame, goes_on: str, broadcast: bool) -
     before = spark.conf.get(limit)
     spark.conf.set(limit, "-1")       # a climb has a row for each leaf and level: no fixed number bounds it
     try:
-        return written(spark.sql(CLIMB.format(start=names[0], nodes=names[1], goes_on=goes_on,
+        return written(spark.sql(CLIMB.format(begin=names[0], nodes=names[1], goes_on=goes_on,
                                               hint="/*+ BROADCAST */" if broadcast else "")), "climb")
     finally:
         spark.conf.set(limit, before)
@@ -192,8 +191,28 @@ def _ascend(state: DataFrame, nodes: DataFrame, goes_on: str, broadcast: bool) -
 
 
 def climb(tree: Manifest) -> DataFrame:
-    """For each leaf: id, leaf, subroot, proof (siblings, 32 bytes each, from the leaf to the root), folded (the root reached)."""
-    state = tree.leaves.select("id", "leaf", "subroot", "parent", "slot", "low", "folded", F.lit(b"").alias("proof"))
+    """For each leaf: id, leaf, subroot, proof (siblings, 32 bytes each, from the leaf to the root), folded (the root reached).
+
+    A step of the climb appends a row that points at the siblings: the children of its parent but one.  Spark shuffles
+    every round of a recursive query, so the digests themselves join the steps once, after it.
+    """
+    state = tree.leaves.select(F.col("name").alias("start"), F.lit(0).alias("step"), "parent", "slot", "low", "folded")
+    before, after = F.substring("kids", F.lit(1), 32 * F.col("slot")), F.expr("substring(kids, 32 * slot + 33)")
+
+    def siblings(rows: DataFrame, nodes: DataFrame) -> DataFrame:
+        return rows.join(nodes.select(F.col("name").alias("parent"), "kids"), "parent") \
+            .select("start", F.struct("step", F.concat(before, after).alias("siblings")).alias("passed"))
+
+    passed = []
     if tree.lower is not None:
-        state = _ascend(state, tree.lower, "low", False)
-    return _ascend(state, tree.upper, "parent IS NOT NULL", True).select("id", "leaf", "subroot", "proof", "folded")
+        rows = _ascend(state, tree.lower, "low", False)
+        passed.append(siblings(rows.where("low"), tree.lower))
+        state = rows.where("NOT low")
+    rows = _ascend(state, tree.upper, "parent IS NOT NULL", True)
+    passed.append(siblings(rows.where("parent IS NOT NULL"), F.broadcast(tree.upper)))
+    first = tree.leaves.select(F.col("name").alias("start"), F.struct("id", "leaf", "subroot").alias("of"))
+    last = rows.where("parent IS NULL").select("start", "folded")
+    every = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [first, last, *passed])
+    ends = every.groupBy("start").agg(F.first("of", ignorenulls=True).alias("of"), F.first("folded", ignorenulls=True).alias("folded"),
+                                      F.array_sort(F.collect_list("passed")).alias("passed"))
+    return ends.select("of.*", F.aggregate("passed", F.lit(b""), lambda acc, p: F.concat(acc, p["siblings"])).alias("proof"), "folded")
