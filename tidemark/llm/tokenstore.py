@@ -19,9 +19,9 @@ decompresses the wanted frames only.  Every reader checks the dictionary's hash.
 
 Scale: documents are range-partitioned by (id, text hash, spread), so that one id with very many
 rows is split too; a task keeps one block of about ``block_bytes`` and one batch of texts.  What grows with the
-documents stays in the blocks; the driver sees one count for each shard.  The dictionary's sample is the
-``samples`` documents of the smallest hash among those of at most ``sample_chars``
-characters, whatever the size of the table; with too few to train on, the dictionary is the sample itself.
+documents stays in the blocks; the driver sees one count for each shard.  The dictionary's sample is a
+random share of the documents, about ``samples`` of them whatever the size of the table, without those of more than
+``sample_chars`` characters; with too few to train on, the dictionary is the sample itself.
 
 Defined cases: null text counts as empty and gives the end id alone; null ids come first;
 rows of one id are ordered by their text's hash and repeated rows are each stored; a very long text is a
@@ -35,6 +35,7 @@ import json
 import os
 from collections.abc import Iterator
 from dataclasses import dataclass
+from string import punctuation
 
 import numpy as np
 import pyarrow as pa
@@ -45,9 +46,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.llm.bpe import byte_letters
 from tidemark.llm.common import small_batches
 
-CACHE = 250_000     # words that a worker remembers, twice
+CACHE = 300_000     # words that a worker remembers, twice
+LATIN = "\u0250"     # below, no Unicode version changes what is a letter
 
 
 class Encoder:
@@ -72,6 +75,11 @@ class Encoder:
         self.by_word = rules.get("normalizer") is None and split.get("type") == "ByteLevel" \
             and not split.get("add_prefix_space", True) and split.get("use_regex", True)
         self.special = [x["content"] for x in rules.get("added_tokens", [])]
+        vocab = self.library.get_vocab(with_added_tokens=True)
+        self.begins = np.zeros(1 + max(vocab.values(), default=0), bool)     # tokens that begin with a space
+        self.begins[[i for t, i in vocab.items() if t.startswith("\u0120")]] = True
+        self.letters = {b: c for c, b in byte_letters().items()}
+        self.marks: dict[str, bytes] = {"": b""}
         self.known: dict[str, bytes | None] = {}
         self.before: dict[str, bytes | None] = {}
 
@@ -81,12 +89,43 @@ class Encoder:
     def learn(self, new: list[str]) -> None:
         """Ids of words, with their space; of keys that begin with a space, the first words of texts, without.
 
-        None marks a word that a text cannot be cut before.
+        None marks a word that a text cannot be cut before.  Letters and the marks behind them are
+        a piece each, which the library's model takes directly.  All other words go through the library as one
+        text, whose tokens that begin with the space begin the words.
         """
-        odd = [w for w in new if not w or (w[0].isspace() and w[0] != " ")]
-        self.known.update(dict.fromkeys(odd))
-        new = [w for w in new if w and (w[0] == " " or not w[0].isspace())]
-        self.known.update(zip(new, self.whole([w[1:] if w[0] == " " else " " + w for w in new]), strict=True))
+        known, rest = self.known, []
+        first = [w for w in new if w.startswith(" ")]
+        known.update(zip(first, self.whole([w[1:] for w in first]), strict=True))
+        for w in new:
+            if not w:
+                known[w] = None
+            elif w[0] != " ":
+                stem = w.rstrip(punctuation)
+                if stem.isalpha() and (stem.isascii() or max(stem) < LATIN):
+                    known[w] = self.piece(" " + stem) + self.mark(w[len(stem):])
+                elif w[0].isspace():
+                    known[w] = None
+                else:
+                    rest.append(w)
+        if rest:
+            ids = np.array(self.library.encode(" " + " ".join(rest), add_special_tokens=False).ids, "<u4")
+            at = np.flatnonzero(self.begins[ids])
+            if len(at) != len(rest):
+                raise ValueError("the vocabulary does not keep the space with the word that follows")
+            data, ends = ids.tobytes(), np.append(at[1:], len(ids)) * 4
+            known.update(zip(rest, [data[i:j] for i, j in zip((at * 4).tolist(), ends.tolist(), strict=True)], strict=True))
+
+    def piece(self, piece: str) -> bytes:
+        """The ids of what the split pattern leaves whole."""
+        letters = piece.encode().decode("latin-1").translate(self.letters)
+        return b"".join([t.id.to_bytes(4, "little") for t in self.library.model.tokenize(letters)])
+
+    def mark(self, tail: str) -> bytes:
+        if tail not in self.marks:
+            if len(self.marks) > 10_000:
+                self.marks = {"": b""}
+            self.marks[tail] = self.piece(tail)
+        return self.marks[tail]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned integers of 4 bytes."""
@@ -177,11 +216,11 @@ def write(docs: DataFrame, path: str, vocabulary: str, end_id: int = 0, samples:
     with open(vocabulary, encoding="utf-8") as f:
         spec = f.read()
     encoder = Encoder(spec)
-    largest = max([end_id, *encoder.library.get_vocab(with_added_tokens=True).values()])
-    width = 2 if largest < 1 << 16 else 4
+    width = 2 if max(end_id + 1, len(encoder.begins)) <= 1 << 16 else 4
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.col(id_col).alias("id"), text.alias("text"))
-    some = rows.where(F.length("text") <= sample_chars).orderBy(F.xxhash64("id", "text"), "text").limit(samples)
+    share = min(1.0, samples / max(1, docs.select(id_col).count()))
+    some = rows.where(F.length("text") <= sample_chars).sample(share, seed=11).select("text")
     end = np.array([end_id], "<u4").tobytes()
     trained = train([_serialised(x + end, width) for x in encoder.encode([r["text"] for r in some.collect()])], dictionary_bytes)
     named = dictionary_hash(trained)
