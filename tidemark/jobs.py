@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.parse import ntz_lit, ts_id
 from tidemark.operators import dims, facts, pages
+from tidemark.plans import rolling
 from tidemark.sources import landing
 from tidemark.sources.store import Store
 
@@ -105,6 +106,8 @@ def load_frames(spark: SparkSession, store_root: str, raw: DataFrame, news_src:
             if params.apps_limit > 0 and not incremental:
                 apps = apps.orderBy("app_id").limit(params.apps_limit)
             bad_pages = pages.malformed_pages(news_src)
+            if not params.apps_limit:
+                bad_pages = bad_pages.unionByName(pages.unknown_app_pages(news_src, new_apps))
             landed = news_src.join(apps, "app_id", "left_semi")
             cutoffs = (pages.cutoffs_from_watermark(pages.latest_news_ts(wh.fact_news, wh.dim_timestamp, wh.micros_ids))
                        if incremental else None)
@@ -112,17 +115,8 @@ def load_frames(spark: SparkSession, store_root: str, raw: DataFrame, news_src:
             prepared = pages.prepare_items(kept).persist()
             meta = meta.persist()
             cached += [prepared, meta]
-            ok = prepared.filter(F.col("outcome") == "ok")
-            ts_rows = ts_rows.unionByName(dims.new_timestamps(ok.select("ts"), wh.dim_timestamp)).distinct()
-            new_typ = dims.assign_type_ids(ok.select("type_name"), wh.dim_update_typ, now)
-            content_batch = ok.select(
-                "app_id", "update_id", "content_raw", "author", "feedlabel", "feedname", "feedtype",
-                "is_external_url", "tags_raw", now.cast("timestamp_ntz").alias("created_at"))
-            content_rows, _ = facts.insert_only(content_batch, wh.dim_update_content, ["app_id", "update_id"])
-            fact_batch = ok.join(new_typ.select("type_name", "update_type_id"), "type_name", "left").select(
-                "app_id", "update_id", ts_id("ts").alias("timestamp_id"), F.lit(run_id).cast("long").alias("etl_run_id"),
-                "update_type_id", "title", "url", now.cast("timestamp_ntz").alias("created_at"))
-            news_rows, _ = facts.insert_only(fact_batch, wh.fact_news, ["app_id", "update_id"])
+            new_ts, new_typ, content_rows, news_rows = _news_rows(prepared, wh, run_id, now)
+            ts_rows = ts_rows.unionByName(new_ts).distinct()
 
         # ------------------------------------------------------------ commit
         # independent writes go to the scheduler together (it is thread-safe);
@@ -135,13 +129,13 @@ def load_frames(spark: SparkSession, store_root: str, raw: DataFrame, news_src:
             lambda: store.write_side("quarantine", rejected, run_id),
         ]
         if news_rows is not None:
-            bad_items = prepared.filter(F.col("outcome") != "ok").select(
-                "app_id", "page", "pos", "update_id", "title", "url", "reason")
+            bad_items = _bad_items(prepared)
             writes += [lambda: store.write_append("dim_update_content", content_rows, run_id),
                        lambda: store.write_append("fact_news", news_rows, run_id),
                        lambda: store.write_side("quarantine_items", bad_items, run_id),
                        lambda: store.write_side("quarantine_pages", bad_pages, run_id)]
         _run_together(writes)
+        rolling.maintain(store, wh, run_id, started, None if news_rows is None else store.partition("fact_news", run_id))
         if news_rows is not None:
             # count what was inserted from the partitions just written
             counters = pages.item_counters(prepared, store.partition("dim_update_content", run_id),
@@ -165,6 +159,72 @@ def load_frames(spark: SparkSession, store_root: str, raw: DataFrame, news_src:
                      store.read_side("quarantine").filter(F.col("etl_run_id") == run_id))
 
 
+def _news_rows(prepared: DataFrame, wh, run_id: int, now) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Rows that prepared items add: timestamps, all tags, content, facts."""
+    ok = prepared.filter(F.col("outcome") == "ok")
+    new_typ = dims.assign_type_ids(ok.select("type_name"), wh.dim_update_typ, now)
+    content = ok.select(
+        "app_id", "update_id", "content_raw", "author", "feedlabel", "feedname", "feedtype",
+        "is_external_url", "tags_raw", now.cast("timestamp_ntz").alias("created_at"))
+    facts_ = ok.join(new_typ.select("type_name", "update_type_id"), "type_name", "left").select(
+        "app_id", "update_id", ts_id("ts").alias("timestamp_id"), F.lit(run_id).cast("long").alias("etl_run_id"),
+        "update_type_id", "title", "url", now.cast("timestamp_ntz").alias("created_at"))
+    key = ["app_id", "update_id"]
+    return (dims.new_timestamps(ok.select("ts"), wh.dim_timestamp), new_typ,
+            facts.insert_only(content, wh.dim_update_content, key)[0], facts.insert_only(facts_, wh.fact_news, key)[0])
+
+
+def _bad_items(prepared: DataFrame) -> DataFrame:
+    return prepared.filter(F.col("outcome") != "ok").select(
+        "app_id", "page", "pos", "update_id", "title", "url", "reason")
+
+
+def load_items(spark: SparkSession, store_root: str, items: DataFrame, bad_pages: DataFrame,
+               run_ts: datetime | None = None, load_key: str | None = None) -> RunResult:
+    """One incremental run of news items alone, each of which is handed over once (``streaming.news_stream``).
+
+    ``items``: exploded landed items; of those with one (app, gid) the first by fetch, page and position stays, and
+    those whose key the store has are left out.  There is no cut-off by date.  ``bad_pages``: what did
+    not parse; pages of unknown apps join it.  Counters are those of the items.
+    """
+    store = Store(spark, store_root)
+    wh = store.load()
+    run_id, started = store.next_run_id(), run_ts or _utcnow()
+    store.append_run_state(run_id, "incremental", "running", started, None, started, None)
+    status, version, cached = "failed", None, []
+    try:
+        now = ntz_lit(started)
+        bad_pages = bad_pages.unionByName(pages.unknown_app_pages(items, wh.dim_app).distinct())
+        known = items.join(wh.dim_app.select("app_id"), "app_id", "left_semi")
+        has_gid = F.coalesce(F.col("gid"), F.lit("")) != ""
+        first = facts.dedupe_first(known.filter(has_gid), ["app_id", "gid"], ["fetch_id", "page", "pos", "title", "url", "contents"])
+        prepared = pages.prepare_items(first.unionByName(known.filter(~has_gid))).persist()
+        cached.append(prepared)
+        ts_rows, new_typ, content_rows, news_rows = _news_rows(prepared, wh, run_id, now)
+        version = run_id
+        _run_together([
+            lambda: store.write_append("dim_timestamp", ts_rows, run_id),
+            lambda: store.write_dims(version, {"dim_app": wh.dim_app, "dim_update_typ": new_typ}),
+            lambda: store.write_append("dim_update_content", content_rows, run_id),
+            lambda: store.write_append("fact_news", news_rows, run_id),
+            lambda: store.write_side("quarantine_items", _bad_items(prepared), run_id),
+            lambda: store.write_side("quarantine_pages", bad_pages, run_id)])
+        rolling.maintain(store, wh, run_id, started, store.partition("fact_news", run_id))
+        counters = pages.item_counters(prepared, store.partition("dim_update_content", run_id), store.partition("fact_news", run_id))
+        store.write_side("stream_report", counters, run_id)
+        status = "success"
+    finally:
+        for df in cached:
+            df.unpersist()
+        store.append_run_state(run_id, "incremental", status, started, _utcnow(), _utcnow(),
+                               version if status == "success" else store.current_dims_version(), load_key)
+    return RunResult(run_id, status, store.side("stream_report", STREAM_REPORT).filter(F.col("etl_run_id") == run_id))
+
+
+STREAM_REPORT = ("app_id int, attempted long, inserted_fact_news long, inserted_dim_update_content long, conflict_fact_news long, "
+                 "conflict_dim_update_content long, skipped_missing_fields long, failed long, etl_run_id long")
+
+
 def _run_together(actions, workers: int = 4) -> None:
     """Run independent Spark actions from a few driver threads; re-raise the first error."""
     from concurrent.futures import ThreadPoolExecutor
@@ -180,7 +240,9 @@ def run_totals(parsed: DataFrame, report: DataFrame | None, bad_pages: DataFrame
     snap = parsed.agg(F.count_if(F.col("reject_reason").isNull()).alias("snapshot_ok"),
                       F.count_if(F.col("reject_reason").isNotNull()).alias("snapshot_failed"))
     out = snap.crossJoin(run_summary(report)) if report is not None else snap
-    out = out.crossJoin(bad_pages.agg(F.count(F.lit(1)).alias("malformed_pages"))) if bad_pages is not None else out
+    if bad_pages is not None:
+        unknown = F.col("reason") == "unknown_app"
+        out = out.crossJoin(bad_pages.agg(F.count_if(~unknown).alias("malformed_pages"), F.count_if(unknown).alias("unknown_app_pages")))
     return out.withColumns({"limits": F.lit(limits), "etl_run_id": F.lit(run_id).cast("long")})
 
 

@@ -53,6 +53,12 @@ def malformed_pages(pages: DataFrame) -> DataFrame:
     return pages.select("app_id", "page", reason.alias("reason"), line.alias("line")).filter(F.col("reason").isNotNull())
 
 
+def unknown_app_pages(pages: DataFrame, apps: DataFrame) -> DataFrame:
+    """Landed pages (or items) of apps that are not in ``apps``: a row like those of ``malformed_pages`` for each."""
+    return pages.filter(F.col("app_id").isNotNull()).join(apps.select("app_id"), "app_id", "left_anti").select(
+        "app_id", "page", F.lit("unknown_app").alias("reason"), F.lit(None).cast("string").alias("line"))
+
+
 # -------------------------------------------------------------- the load path
 def landed_news(pages: DataFrame, cutoffs: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """Every landed item that is new, and one row of counters per app.

@@ -223,4 +223,4 @@ def q_distribution_of_run(spark, sf_dir):
 
 
 # the ingest-side queries register themselves on import
-from tidemark.plans import catalog_etl  # noqa: E402,F401
+from tidemark.plans import catalog_etl, catalog_incremental  # noqa: E402,F401

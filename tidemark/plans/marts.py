@@ -171,11 +171,12 @@ def _micros(ts) -> int:
 
 
 # ------------------------------------------------------------------------ V3
-def overview_by_run(wh: Warehouse, max_runs: int | None = None) -> DataFrame:
+def overview_by_run(wh: Warehouse, max_runs: int | None = None, rolling: DataFrame | None = None) -> DataFrame:
+    """Snapshot, rolling counts and their ratio per (run, app).  ``rolling``: V2 from kept parts (``plans.rolling``)."""
     m = metrics_by_run(wh)
     apps = wh.dim_app.select("app_id", "app_name")
     runs = wh.dim_etl_run.select("etl_run_id", F.col("started_at").alias("etl_started_at"))
-    n = news_rolling_asof(wh, max_runs)
+    n = news_rolling_asof(wh, max_runs) if rolling is None else rolling
     # metrics and rolling counts are both partitioned by (run, app): join them
     # first, then the dimensions (broadcast when small, else one shuffle)
     joined = (m.join(n, ["app_id", "etl_run_id"], "left")

@@ -10,6 +10,7 @@ Layout under ``root``::
                                           dim_app, dim_update_typ
     quarantine/etl_run_id=<r>/            rejected snapshot rows with their reason
     report/etl_run_id=<r>/                per-app ingest counters of a run
+    rolling_*/etl_run_id=<r>/             what a run adds to the rolling news counts (plans/rolling.py)
 
 Commit protocol: a run writes its partitions and a new dimension version,
 then appends its final run record carrying that version.  Readers take the
@@ -150,9 +151,19 @@ class Store:
             cols = [f.name for f in schemas.TABLES[name].fields]
             frames[name].select(*cols).write.mode("overwrite").parquet(self._p("dims", f"v={version}", name))
 
-    def write_side(self, kind: str, df: DataFrame, run_id: int) -> None:
+    def write_side(self, kind: str, df: DataFrame, run_id: int, append: bool = False) -> None:
         # the run id lives in the folder name (partition column), not in the files
-        df.drop("etl_run_id").write.mode("overwrite").parquet(self._p(kind, f"etl_run_id={run_id}"))
+        df.drop("etl_run_id").write.mode("append" if append else "overwrite").parquet(self._p(kind, f"etl_run_id={run_id}"))
+
+    def side(self, kind: str, schema: str) -> DataFrame:
+        """A side table of all runs, empty if no run wrote it; the schema names ``etl_run_id`` last."""
+        if not self._exists(self._p(kind)):
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(self._p(kind))
+
+    def committed_runs(self) -> list[int]:
+        """Ids of the runs whose data is visible (one for each load run)."""
+        return sorted(r["etl_run_id"] for r in self._finalized().select("etl_run_id").distinct().collect())
 
     def read_side(self, kind: str) -> DataFrame:
         return self.spark.read.parquet(self._p(kind))

@@ -3,9 +3,9 @@
 The landing directory of snapshot files is read as a file stream; each
 micro-batch (the snapshot files that arrived since the last trigger) becomes
 one incremental load run through ``foreachBatch``, with the news pages landed
-so far.  ``trigger(availableNow=True)`` processes what is there and stops, so
+so far (or without them: ``news_stream`` reads each page file once).  ``trigger(availableNow=True)`` processes what is there and stops, so
 a scheduler can start it like the batch job; the stream checkpoint (in the
-shared checkpoint folder) remembers which files were loaded, and the run log
+shared checkpoint folder, one for each source and store) remembers which files were loaded, and the run log
 remembers the batch, so a batch replayed after a lost commit is not loaded twice.
 """
 
@@ -15,9 +15,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark import schemas
 from tidemark.jobs import LoadParams, load_frames
-from tidemark.session import checkpoint_dir
 from tidemark.sources import landing
 from tidemark.sources.store import Store
+from tidemark.streaming.news_stream import stream_location
 
 
 def run_available_now(spark: SparkSession, snapshot_dir: str, store_root: str,
@@ -25,7 +25,7 @@ def run_available_now(spark: SparkSession, snapshot_dir: str, store_root: str,
                       stream_checkpoint: str | None = None) -> list[int]:
     """Load every newly landed snapshot batch; returns the run ids created."""
     runs: list[int] = []
-    location = stream_checkpoint or f"{checkpoint_dir(spark).rstrip('/')}/tidemark-stream"
+    location = stream_checkpoint or stream_location(spark, "snapshots", snapshot_dir, store_root)
 
     def load_batch(batch: DataFrame, batch_id: int) -> None:
         key = f"{location}#{batch_id}"
