@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tidemark.llm import chat, common, lm, queries, repeats, simhash
+from tidemark.llm import components as components_module
 from tidemark.llm.components import components
 
 SF = "/root/testdata/sf0.001"
@@ -123,6 +124,33 @@ def test_components_of_long_paths_and_empty(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_components_beyond_a_hundred_rounds_of_the_old_limit_and_of_hot_nodes(spark):
+    """A long path, random edges, and a star whose centre has most of the edges."""
+    rng = random.Random(9)
+    edges = [(k, k + 1) for k in range(0, 900)] + [(5000, 6000 + k) for k in range(3000)] \
+        + [(rng.randrange(20_000, 20_400), rng.randrange(20_000, 20_400)) for _ in range(250)]
+    parent = {}
+
+    def find(x):
+        parent.setdefault(x, x)
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in edges:
+        a, b = sorted((find(a), find(b)))
+        parent[b] = a
+    got = {r["node"]: r["root"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {x: find(x) for x in {y for e in edges if e[0] != e[1] for y in e}}
+
+
+def test_hot_nodes_are_not_shuffled(spark):
+    star = spark.createDataFrame([(1, k) for k in range(2, 3000)], "a long, b long")
+    plan = components_module._least(star, 2998)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("BroadcastHashJoin") >= 2 and "m" in components_module._least(star, 2998).columns
+    assert {r["m"] for r in components_module._least(star, 2998).collect()} == {2}
+
+
 def test_simhash_empty_table(docs):
     assert simhash.near_duplicates(docs.limit(0)).count() == 0
 
@@ -262,7 +290,15 @@ def test_pairs_from_turns(spark):
     convs = chat.conversations(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
     got = {r["id"]: ([t["text"] for t in r["chosen"]], [t["text"] for t in r["rejected"]])
            for r in chat.swapped_pairs(convs).collect()}
-    assert got == {2: (["q", "r"], ["q", "s", "t"]), 3: (["p", "s", "t"], ["p", "r"]), 6: ([""], [])}
+    assert got == {2: (["q", "r"], ["q", "s", "t"]), 3: (["p", "s", "t"], ["p", "r"]), 4: (["alone"], ["alone"]), 6: ([""], [])}
+    alone = chat.format_preferences(chat.swapped_pairs(convs)).where("id = 4").first()
+    assert (alone["n_prompt_turns"], alone["prompt"], alone["chosen"], alone["rejected"]) == (1, "<|user|>\nalone<|end|>\n", "", "")
+    assert chat.format_preferences(chat.swapped_pairs(convs.limit(0))).count() == 0
+
+
+def test_every_conversation_has_a_row(spark):
+    turns = common.table(spark, SF, "conversations")
+    assert queries.op10_preferences(spark, SF).count() == turns.select("conv_id").distinct().count()
 
 
 # -------------------------------------------------------------------- pipeline

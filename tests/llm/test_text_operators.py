@@ -149,11 +149,42 @@ def test_pii_terms_that_give_an_entity_away(spark):
 
 
 def test_pii_entity_of_a_single_text(spark):
+    """One text is little evidence: only the base value goes, no rare word of its text."""
     plain = [(k, f"plain words of document {k} and so on, they ask", None, None, None) for k in range(40)]
     told = [(100, "words: ask kowalski at kk@ex.org and so on", None, None, None)]
-    r = pii.sanitise(spark.createDataFrame(plain + told, SCHEMA)).where("doc_id = 100").first()
-    assert {r["text"][t["start"]:t["stop"]] for t in r["terms"] if t["action"] == "remove"} == {"kowalski", "at"}
-    assert "kowalski" not in r["clean_text"] and "ask" in r["clean_text"] and "<EMAIL>" in r["clean_text"]
+    docs = spark.createDataFrame(plain + told, SCHEMA)
+    r = pii.sanitise(docs).where("doc_id = 100").first()
+    assert r["terms"] == [] and r["clean_text"] == "words: ask kowalski at <EMAIL> and so on"
+    assert {x["term"]: round(x["share"], 6) for x in pii.score(docs).shares.collect()}["kowalski"] == 0.25
+
+
+def test_pii_shares_brute_force(spark):
+    """All shares of a small corpus, entities of one and of several texts, copies counted once."""
+    rng = random.Random(12)
+    words = [f"w{k}" for k in range(25)]
+    texts = [" ".join(rng.choice(words) for _ in range(8)) + rng.choice(["", "", " a@b.co", " Kim k.k@x.org", " kim K.K@x.org and a@b.co"])
+             for _ in range(60)] + [None, ""]
+    docs = spark.createDataFrame([(k, t, None, None, None) for k, t in enumerate(texts + texts[:20])], SCHEMA)
+    scores = pii.score(docs)
+    got = {}
+    for r in scores.entities.join(scores.shares, pii.UNIT).collect():
+        got[r["value"], r["term"]] = (r["n_e"], r["n_t"], r["n_te"], r["share"])
+    own, of = {}, {}
+    for t in {t or "" for t in texts} | {None}:
+        low = (t or "").lower()
+        mails = set(re.findall(r"[a-z.]+@[a-z]+\.[a-z]+", low))
+        of[t] = (set(WORD.findall(low)), set(WORD.findall(re.sub(r"[a-z.]+@[a-z]+\.[a-z]+", " ", low))), mails)
+    total = len(of)
+    for mail in {m for _, _, ms in of.values() for m in ms}:
+        for term in {w for _, rest, ms in of.values() if mail in ms for w in rest}:
+            n_e = sum(mail in ms for _, _, ms in of.values())
+            n_t = sum(term in every for every, _, _ in of.values())
+            n_te = sum(mail in ms and term in rest for _, rest, ms in of.values())
+            low = min(n_t, n_e)
+            own[mail, term] = (n_e, n_t, n_te, np.log(n_te * total / (n_t * n_e)) / np.log(total / n_e) * n_te / (n_te + 1) * low / (low + 1))
+    assert set(got) == set(own) and len(got) > 40
+    for k, v in own.items():
+        assert got[k][:3] == v[:3] and abs(got[k][3] - v[3]) < 1e-9, k
 
 
 def test_pii_terms_far_from_the_entity_and_in_texts_without_it(spark):

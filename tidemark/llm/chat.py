@@ -11,7 +11,7 @@ from turns and pair them by id, so no group but a conversation is ever collected
 Defined cases: a null role or text counts as empty; rows without a conversation id
 are left out; repeated turns count once; turns that share a number follow each
 other by role and text; identical sides give empty completions; a null or empty side
-gives an empty prompt and an empty completion.  Extra columns are ignored.
+gives an empty prompt and an empty completion; texts are rendered whole, however long.  Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -43,17 +43,15 @@ def swapped_pairs(convs: DataFrame) -> DataFrame:
 
     The neighbour is the conversation whose id differs in the last bit; the pair has
     the turns before the first reply in common, and more if the replies agree.
-    Conversations without a reply make no pair; without a neighbour that has one,
-    the rejected side ends after the opening.
+    Without a neighbour that has a reply the rejected side ends after the opening.  A conversation without a
+    reply is all opening: both sides are the whole of it.  Every conversation has a row.  Ids are whole numbers.
     """
-    with_reply = convs.withColumn("at", first_reply("turns")).where(F.col("at") > 0)
-    own = with_reply.select("id", "turns", "at")
-    other = with_reply.select(F.col("id").bitwiseXOR(F.lit(1)).alias("id"),
-                              F.slice("turns", F.col("at"), F.size("turns")).alias("replies"))
-    opening = F.slice("turns", F.lit(1), F.col("at") - 1)
+    own = convs.withColumn("at", first_reply("turns"))
+    other = own.where(F.col("at") > 0).select(F.col("id").bitwiseXOR(F.lit(1)).alias("id"),
+                                              F.slice("turns", F.col("at"), F.size("turns")).alias("replies"))
+    answered = F.concat(F.slice("turns", F.lit(1), F.col("at") - 1), F.coalesce("replies", F.array().cast(TURNS)))
     return own.join(other, "id", "left").select(
-        "id", F.col("turns").alias("chosen"),
-        F.concat(opening, F.coalesce("replies", F.array().cast(TURNS))).alias("rejected"))
+        "id", F.col("turns").alias("chosen"), F.when(F.col("at") > 0, answered).otherwise(F.col("turns")).alias("rejected"))
 
 
 def common_turns(a: Column, b: Column) -> Column:

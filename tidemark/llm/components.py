@@ -8,38 +8,41 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import written
 
 
-def _state(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
+def _least(rows: DataFrame, total: int) -> DataFrame:
+    """``rows`` (a, b) with ``m``, the smallest b of the row's a.
+
+    Nodes with more than a ten thousandth of the rows (100 at least) are joined by a broadcast of fewer
+    than 10,000 of them, so the edges of a hot node stay where they are; the rest is shuffled by node.
+    """
+    limit = max(100, total // 10_000)
+    low = rows.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n"))
+    hot = F.broadcast(low.where(F.col("n") > limit).select("a", "m"))
+    return rows.join(hot, "a").unionByName(
+        rows.join(hot.select("a"), "a", "left_anti").join(low.where(F.col("n") <= limit).select("a", "m"), "a"))
 
 
-def components(edges: DataFrame, rounds: int = 100) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """``edges`` (a, b) -> (node, root): the smallest node of each node's component.
 
     Large-star points every larger neighbour of a node at the node's minimum,
-    small-star every smaller one, until nothing changes; the number of rounds is
-    logarithmic in the longest path.  Minima are pre-aggregated, and the join back
-    to a node with very many edges is one that adaptive execution can split.  Each
-    round is a written table, so a lost executor costs that round only.
-    Nulls, self edges and repeated edges are ignored.
+    small-star every smaller one, until the edges no longer change; the number of rounds is
+    logarithmic in the longest path and not limited.  Minima are pre-aggregated, and hot nodes
+    are joined without a shuffle (``_least``).  Each half round is a written table, so a lost executor costs that only.
+    Nulls, self edges and repeated edges are ignored; without edges there are no rows.
     """
-    now = written(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(),
-                  "edges", narrow=True)
-    state = _state(now)
-    for _ in range(rounds):
-        if not state[0]:
-            break
+    now = written(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
+    n = now.count()
+    while n:
         both = now.unionAll(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")) \
-            .where("a <> b").distinct()
-        low = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(low, "a").select(
+        large = written(_least(both, 2 * n).where("b > a").select(F.col("b").alias("a"), F.least("a", "m").alias("b")).distinct(), "edges")
+        n_large = large.count()
+        small = _least(large, n_large).select(
             F.explode(F.array(F.struct(F.col("a").alias("a"), F.col("m").alias("b")),
                               F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e")).select("e.*") \
             .where("a <> b").distinct()
-        now = written(small, "edges", narrow=True)
-        before, state = state, _state(now)
-        if before == state:
+        before, now = now, written(small, "edges")
+        n_before, n = n, now.count()
+        if n == n_before and now.join(before, ["a", "b"], "left_anti").isEmpty():
             break
     return now.select(F.col("a").alias("node"), F.col("b").alias("root")) \
         .unionAll(now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())

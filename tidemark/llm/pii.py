@@ -6,13 +6,14 @@ protected entity.
 
 The method adds the words that give an entity away.  Over all distinct texts,
 ``n(e)`` counts those with entity e, ``n(t)`` those with term t and ``n(t, e)`` those
-with e and, outside the base values, t, at any distance.  The term discloses
+with e and, outside the base values, t, at any distance.  The term discloses the share
 ``PMI(t; e) / IC(e)`` of the entity, with ``PMI = log(n(t,e) N / (n(t) n(e)))`` and
-``IC = log(N / n(e))``: one means that the term alone identifies it.  At ``generalise``
-or more the term is replaced by its general form wherever it stands in a text with the
-entity; at ``remove`` or more it is removed there, and in every other text as well,
-since it identifies the entity without the base value.  Every entity is scored, also one seen in a single text:
-there the share is ``IC(t) / IC(e)``, one for a term that no other text has.
+``IC = log(N / n(e))``, times a discount for little evidence, ``n(t,e) / (n(t,e) + 1) * m / (m + 1)`` with
+m the lesser of n(t) and n(e).  Without it every rare word of a text would identify the values of that one text.  At
+``generalise`` or more the term is replaced by its general form wherever it stands in a text with the
+entity; at ``remove`` or more it is removed there.  It is removed in every other text as well if it also
+identifies the entity without the base value: if, with 95 % confidence, at least the share ``certain`` of its texts has it.  Every entity is scored, also one seen in a single text:
+there no share passes a quarter.
 
 Statistics are sums over the whole corpus with pre-aggregation; copies of a text
 count once.  Entities that stand in the same set of texts have the same shares and are
@@ -24,7 +25,7 @@ joined.  A term that no text without the entity has is not looked for outside.
 Every pattern is written so that matching takes linear time: a match can only start
 at the start of a run of its first character class or where the last match ended.
 
-Defined cases: null text counts as empty and stays null; texts without base values and
+Defined cases: null text counts as empty and stays null; very long texts are cut into pieces of words for matching, never shortened; texts without base values and
 without terms to remove stay as they are; an entity that is in every text has no information content and
 discloses nothing; repeated rows each get a row; extra columns are ignored here and
 kept by ``sanitise``.
@@ -32,6 +33,8 @@ kept by ``sanitise``.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -136,12 +139,34 @@ def _meets(span: Column, base: str) -> Column:
     return F.exists(base, lambda b: (b["start"] < span["stop"]) & (span["start"] < b["stop"]))
 
 
-def find(docs: DataFrame, generalise: float = 0.75, remove: float = 0.9, broadcast_terms: int = 200_000,
-         id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Documents with base values or terms: (_id, _row, base, terms), one row for each distinct pair of id and text.
+def evidence(n_te: Column, n_t: Column, n_e: Column) -> Column:
+    """Discount for few texts: 1/4 for a single one, 9/16 for three, towards one for many."""
+    low = F.least(n_t, n_e)
+    return n_te / (n_te + 1) * low / (low + 1)
 
-    ``terms`` has (start, stop, action), sorted, with action ``remove`` or ``generalise``.
-    """
+
+def certainty(n_te: Column, n_t: Column) -> Column:
+    """Lower bound of the share of the term's texts that have the entity, at 95 % (Wilson)."""
+    z, p = F.lit(1.96), n_te / n_t
+    return (p + z * z / (2 * n_t) - z * F.sqrt(p * (1 - p) / n_t + z * z / (4 * n_t * n_t))) / (1 + z * z / n_t)
+
+
+@dataclass
+class Scores:
+    """What the corpus says.  ``units`` (_row, n_e, x, y) has the entities of each text, those of the same texts as one; ``shares`` has
+    every pair (n_e, x, y, term, n_te, n_t, share); ``entities`` (kind, value, n_e, x, y) names the units' values."""
+
+    found: DataFrame
+    joint: DataFrame
+    entities: DataFrame
+    shares: DataFrame
+
+
+UNIT = ["n_e", "x", "y"]
+
+
+def score(docs: DataFrame, broadcast_terms: int = 200_000, id_col: str = "doc_id", text_col: str = "text") -> Scores:
+    """Shares of all terms of all entities; nothing is left out for having few texts."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.col(id_col).alias("_id"), F.xxhash64(F.col(text_col)).alias("_row"), text.alias("_text"))
     found = written(rows.withColumn("base", base_spans(F.col("_text"))).where(F.size("base") > 0)
@@ -150,38 +175,46 @@ def find(docs: DataFrame, generalise: float = 0.75, remove: float = 0.9, broadca
         .select("_row", "b.kind", lower_ascii(F.col("b.value")).alias("value")).distinct()
     entities = pairs.groupBy("kind", "value").agg(
         F.count("*").alias("n_e"), F.bit_xor(F.xxhash64("_row")).alias("x"), F.bit_xor(F.xxhash64(F.lit(1), "_row")).alias("y"))
-    unit = ["n_e", "x", "y"]
-    units = pairs.join(entities, ["kind", "value"]).select("_row", *unit).distinct()
-    own = places(found)
-    joint = written(units.join(own.select("_row", "term").distinct(), "_row"), "joint")
-    texts = written(rows.groupBy("_row").agg(F.count("*").alias("copies")), "texts", narrow=True)
+    units = pairs.join(entities, ["kind", "value"]).select("_row", *UNIT).distinct()
+    joint = written(units.join(places(found).select("_row", "term").distinct(), "_row"), "joint")
+    texts = written(rows.groupBy("_row").agg(F.count("*").alias("copies")), "texts")
     total, n_copied = texts.agg(F.count("*"), F.count_if(F.col("copies") > 1)).first()
     terms = joint.select("term").distinct()
-    n_terms = terms.count()
-
-    def hint(df: DataFrame, n: int) -> DataFrame:
-        return F.broadcast(df) if n <= broadcast_terms else df
 
     # the copies of a text share a count of one; the sum of shares is off by far less than a half
-    seen = rows.join(hint(texts.where(F.col("copies") > 1), n_copied), "_row", "left").select(
+    copied = texts.where(F.col("copies") > 1)
+    seen = rows.join(F.broadcast(copied) if n_copied <= broadcast_terms else copied, "_row", "left").select(
         F.explode(F.array_distinct(F.split(lower_ascii(F.col("_text")), NON_WORDS))).alias("term"),
         (F.lit(1.0) / F.coalesce("copies", F.lit(1))).alias("part"))
-    if n_terms <= broadcast_terms:
+    if terms.count() <= broadcast_terms:
         seen = seen.join(F.broadcast(terms), "term", "left_semi")
     df = seen.groupBy("term").agg(F.round(F.sum("part")).cast("long").alias("n_t"))
-    pmi = F.log(F.col("n_te") * F.lit(float(total)) / (F.col("n_t") * F.col("n_e")))
-    disclosed = written(
-        joint.groupBy(*unit, "term").agg(F.count("*").alias("n_te")).join(df, "term")
-        .withColumn("ic", F.log(F.lit(float(total)) / F.col("n_e"))).where(F.col("ic") > 0)
-        .withColumn("share", pmi / F.col("ic")).where(F.col("share") >= generalise)
-        .select(*unit, "term", (F.col("share") >= remove).alias("gone"), (F.col("n_t") > F.col("n_te")).alias("elsewhere")),
-        "disclosed", narrow=True)
-    beside = joint.join(disclosed, [*unit, "term"]).groupBy("_row", "term").agg(F.max("gone").alias("gone"))
+    n_te, n_t, n_e = F.col("n_te"), F.col("n_t"), F.col("n_e")
+    pmi, ic = F.log(n_te * F.lit(float(total)) / (n_t * n_e)), F.log(F.lit(float(total)) / n_e)
+    shares = joint.groupBy(*UNIT, "term").agg(F.count("*").alias("n_te")).join(df, "term") \
+        .where(n_e < F.lit(total)).withColumn("share", pmi / ic * evidence(n_te, n_t, n_e))
+    return Scores(found, joint, entities, shares)
+
+
+def find(docs: DataFrame, generalise: float = 0.5, remove: float = 0.75, certain: float = 0.6, broadcast_terms: int = 200_000,
+         id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Documents with base values or terms: (_id, _row, base, terms), one row for each distinct pair of id and text.
+
+    ``terms`` has (start, stop, action), sorted, with action ``remove`` or ``generalise``.
+    """
+    scores = score(docs, broadcast_terms, id_col, text_col)
+    found = scores.found
+    disclosed = written(scores.shares.where(F.col("share") >= generalise).select(
+        *UNIT, "term", (F.col("share") >= remove).alias("gone"),
+        ((F.col("n_t") > F.col("n_te")) & (certainty(F.col("n_te"), F.col("n_t")) >= certain)).alias("elsewhere")), "disclosed")
+    beside = scores.joint.join(disclosed, [*UNIT, "term"]).groupBy("_row", "term").agg(F.max("gone").alias("gone"))
+    marked = places(found.join(beside.select("_row").distinct(), "_row", "left_semi")).join(beside, ["_row", "term"]).drop("term")
     outside = disclosed.where(F.col("gone") & F.col("elsewhere")).select("term").distinct()
     n_outside = outside.count()
-    marked = own.join(beside, ["_row", "term"]).drop("term")
     if n_outside:
-        every = rows.withColumn("base", F.array().cast(SPAN))
+        text = F.coalesce(F.col(text_col), F.lit(""))
+        every = docs.select(F.col(id_col).alias("_id"), F.xxhash64(F.col(text_col)).alias("_row"), text.alias("_text")) \
+            .withColumn("base", F.array().cast(SPAN))
         every = places(every, F.broadcast(outside)) if n_outside <= broadcast_terms else places(every).join(outside, "term")
         marked = marked.unionByName(every.drop("term").withColumn("gone", F.lit(True)))
     action = F.when(F.col("gone"), "remove").otherwise("generalise").alias("action")

@@ -223,8 +223,8 @@ WITH t AS (SELECT DISTINCT conv_id, turn, coalesce(role, '') AS role, coalesce(t
 c AS (SELECT conv_id, list(struct_pack(role := role, text := text) ORDER BY turn NULLS FIRST, role, text) AS a
       FROM t GROUP BY conv_id),
 f AS (SELECT conv_id, a, coalesce(list_position(list_transform(a, lambda x: x.role), 'assistant'), 0) AS fa FROM c),
-p AS (SELECT x.conv_id, x.a AS a, list_concat(x.a[1 : x.fa - 1], coalesce(y.a[y.fa :], [])) AS b
-      FROM f x LEFT JOIN f y ON y.conv_id = xor(x.conv_id, 1) AND y.fa > 0 WHERE x.fa > 0),
+p AS (SELECT x.conv_id, x.a AS a, CASE WHEN x.fa = 0 THEN x.a ELSE list_concat(x.a[1 : x.fa - 1], coalesce(y.a[y.fa :], [])) END AS b
+      FROM f x LEFT JOIN f y ON y.conv_id = xor(x.conv_id, 1) AND y.fa > 0),
 n AS (SELECT *, least(len(a), len(b)) AS m,
              coalesce(list_position(list_transform(range(1, least(len(a), len(b)) + 1), lambda i: a[i] = b[i]), false), 0) AS d FROM p),
 q AS (SELECT conv_id, CASE WHEN d > 0 THEN d - 1 ELSE m END AS k, a, b FROM n),
