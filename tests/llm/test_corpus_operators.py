@@ -168,13 +168,23 @@ def brute_repeats(rows, window):
 
 @pytest.mark.parametrize("window,limit", [(35, 2_000_000), (35, 0), (12, 2_000_000)])
 def test_repeats_brute_force(docs, window, limit):
-    got = repeats.remove_repeats(docs, window=window, broadcast_docs=limit).collect()
+    got = repeats.remove_repeats(docs, window=window, broadcast_bytes=limit).collect()
     assert sorted(((r["doc_id"], r["n_words"], r["n_removed"], r["kept"]) for r in got), key=str) == \
         sorted(brute_repeats(corpus(), window), key=str)
     for r in got:
         assert sum(s["stop"] - s["start"] for s in r["removed"]) == r["n_removed"]
 
 
+def test_repeats_texts_of_one_id(spark):
+    """Different texts without an id whose 32-bit hashes are equal keep their own windows."""
+    made = spark.range(300_000).select(F.concat_ws(" ", *[F.concat(F.lit(f"w{k}x"), "id") for k in range(6)]).alias("text"))
+    pair = made.groupBy(F.hash("text")).agg(F.collect_list("text").alias("t")).where(F.size("t") > 1).first()["t"][:2]
+    rows = [(None, pair[0]), (None, pair[1] + " tail"), (None, pair[1]), (7, pair[1]), (7, pair[0] + " " + pair[0])]
+    got = repeats.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"), window=3).collect()
+    assert sorted(((r["doc_id"], r["n_words"], r["n_removed"], r["kept"]) for r in got), key=str) == \
+        sorted(brute_repeats(rows, 3), key=str)
+
+
 def test_repeats_empty_table(docs):
     assert repeats.remove_repeats(docs.limit(0)).count() == 0
 

@@ -21,12 +21,15 @@ window that contains the range of a symbol that occurs once cannot occur twice.
 
 Documents whose windows all contain a symbol that occurs once leave the plan after
 step 1; only their number of words and their text are still written.  The ids of the
-others select texts by broadcast if there are at most ``broadcast_docs`` of them,
-counted first, and by a shuffle beyond.
+others select texts by broadcast if they take at most ``broadcast_bytes``, summed
+first, and by a shuffle beyond.  A row's key is its id with the XXH64 of its text, so
+different texts of one id (or of none) stay apart.
 
 Defined cases: null text has no words; a text shorter than a window loses nothing;
-repeated rows are occurrences of each other, and each gets a row; a null id is an id
-like any other; extra columns are ignored.
+a very long text is parsed alone, in memory of some hundred bytes a word; repeated rows
+are occurrences of each other, and each gets a row; a null id is an id like any
+other; among symbols that tie nothing is chosen, as only those that occur once count; extra
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -195,13 +198,8 @@ def _columns(**named) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(list(named.values()), list(named))
 
 
-def _place(row: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """The text's 32-bit hash and a word number in one long."""
-    return (row.astype(np.int64) << 32) | at
-
-
 def symbol_rows(docs: DataFrame, window: int, min_words: int) -> DataFrame:
-    """Symbols of ``docs`` (_id, _row, _text): name, id, place of their range, its width; and one marker for each row.
+    """Symbols of ``docs`` (_id, _row, _text): name, id, text hash, start of their range, its width; and one marker for each row.
 
     A marker has the row's id in ``marker`` and minus the number of words, less one, as width.
     """
@@ -219,25 +217,23 @@ def symbol_rows(docs: DataFrame, window: int, min_words: int) -> DataFrame:
                     at_doc = doc + at + k
                     nulls = pa.nulls(len(doc), ids.type)
                     yield _columns(name=pa.array(p.name[some].view(np.int64)), marker=nulls, id=ids.take(pa.array(at_doc)),
-                                   place=pa.array(_place(row[at_doc], p.low[some] - p.first[doc])),
+                                   row=pa.array(row[at_doc]), at=pa.array((p.low[some] - p.first[doc]).astype(np.int32)),
                                    width=pa.array((p.high - p.low)[some].astype(np.int32)))
                     here = np.arange(at + k, at + k + len(texts))
                     sizes = np.fromiter(map(len, texts), np.int64, len(texts))
                     own = ids.take(pa.array(here))
-                    yield _columns(name=pa.array(row[here].astype(np.int64)), marker=own, id=own,
-                                   place=pa.array(_place(row[here], np.zeros(len(here), np.int64))),
+                    yield _columns(name=pa.array(row[here]), marker=own, id=own, row=pa.array(row[here]),
+                                   at=pa.array(np.zeros(len(here), np.int32)),
                                    width=pa.array((-1 - sizes).astype(np.int32)))
 
     return docs.select("_id", "_row", "_text").mapInArrow(
-        rows, f"name long, marker {kind}, id {kind}, place long, width int")
+        rows, f"name long, marker {kind}, id {kind}, row long, at int, width int")
 
 
 def once(rows: DataFrame, *by: str, keep: str = "false") -> DataFrame:
-    """(id, place, width) of the rows whose key occurs once, and of those for which ``keep`` holds."""
-    return rows.groupBy(*by).agg(F.count("*").alias("n"), F.min("id").alias("id"), F.min("place").alias("place"),
-                                 F.min("width").alias("width")) \
-        .where(f"n = 1 or {keep}").select("id", F.shiftright("place", 32).cast("int").alias("row"),
-                                          F.col("place").bitwiseAND(0xFFFFFFFF).cast("int").alias("at"), "width")
+    """(id, row, at, width) of the rows whose key occurs once, and of those for which ``keep`` holds."""
+    return rows.groupBy(*by).agg(F.count("*").alias("n"), *[F.min(c).alias(c) for c in ("id", "row", "at", "width")]) \
+        .where(f"n = 1 or {keep}").select("id", "row", "at", "width")
 
 
 def possible_windows(docs: DataFrame, window: int, min_words: int) -> DataFrame:
@@ -279,25 +275,27 @@ def window_rows(texts: DataFrame, window: int) -> DataFrame:
                     n = len(part)
                     row = np.full(n, batch.column(1)[k].as_py(), np.int64)
                     yield _columns(h1=pa.array(h[:, 0].copy()), h2=pa.array(h[:, 1].astype(np.int32)),
-                                   id=batch.column(0).take(pa.array(np.full(n, k))), place=pa.array(_place(row, part)),
-                                   width=pa.array(np.zeros(n, np.int32)))
+                                   id=batch.column(0).take(pa.array(np.full(n, k))), row=pa.array(row),
+                                   at=pa.array(part.astype(np.int32)), width=pa.array(np.zeros(n, np.int32)))
 
     return texts.select("_id", "_row", "_text", "ranges").mapInArrow(
-        rows, f"h1 long, h2 int, id {kind}, place long, width int")
+        rows, f"h1 long, h2 int, id {kind}, row long, at int, width int")
 
 
-def remove_repeats(docs: DataFrame, window: int = 35, min_words: int = 3, broadcast_docs: int = 2_000_000,
+def remove_repeats(docs: DataFrame, window: int = 35, min_words: int = 3, broadcast_bytes: int = 64 << 20,
                    id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_words, n_removed, kept, removed) for every row of ``docs``.
 
     ``kept`` holds the words that stay, joined by single spaces; ``removed`` the word
     spans (start, stop) covered by windows whose words also start anywhere else.
     """
-    narrow = small_batches(docs).select(F.col(id_col).alias("_id"), F.hash(F.col(text_col)).alias("_row"),
+    narrow = small_batches(docs).select(F.col(id_col).alias("_id"), F.xxhash64(F.col(text_col)).alias("_row"),
                          F.col(text_col).alias("_text"))
     possible = written(possible_windows(narrow, window, min_words), "possible")
     keys = possible.select(F.col("id").alias("_k_id"), F.col("row").alias("_k_row"))
-    hint = F.broadcast if keys.count() <= broadcast_docs else (lambda x: x)
+    # an id's own bytes, the text's hash and what a row of a hash table costs
+    size = keys.agg(F.sum(F.coalesce(F.octet_length(F.col("_k_id").cast("string")), F.lit(0)) + 48)).first()[0] or 0
+    hint = F.broadcast if size <= broadcast_bytes else (lambda x: x)
     same = F.col("_id").eqNullSafe(F.col("_k_id")) & (F.col("_row") == F.col("_k_row"))
     ranges = possible.select(F.col("id").alias("_r_id"), F.col("row").alias("_r_row"), "ranges")
     texts = written(
