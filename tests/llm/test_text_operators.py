@@ -106,6 +106,47 @@ def test_decontamination_brute_force(spark, odd):
     assert {r["n_hit"] for r in decontaminate.contamination(docs, items.limit(0)).collect()} == {0}
 
 
+def test_decontamination_long_texts_and_ties(spark):
+    """Long texts of few distinct words, whose windows are full of equal hashes, against all windows."""
+    rng = np.random.default_rng(9)
+    texts = [" ".join(rng.choice(list("ab"), 4000)), " ".join(rng.choice(list("abc"), 30_000)), "a " * 5000,
+             " ".join(rng.choice(["x", "y y"], 2000))]
+    items = [" ".join(texts[0].split()[k:k + 13]) for k in (0, 1700, 3987)] + [" ".join(rng.choice(list("abc"), 12)) for _ in range(40)] + ["a " * 11]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    for limit in (200_000, 0):
+        got = {r["doc_id"]: r for r in decontaminate.contamination(docs, bench, broadcast_windows=limit).collect()}
+        for k, t in enumerate(texts):
+            w, hit, ids = t.split(), set(), set()
+            have = {}
+            for i in range(len(w) - 9):
+                have.setdefault(tuple(w[i:i + 10]), []).append(i)
+            for n, item in enumerate(items):
+                v = item.split()
+                for i in range(len(v) - 9):
+                    for at in have.get(tuple(v[i:i + 10]), []):
+                        hit.update(range(at, at + 10))
+                        ids.add(str(n))
+            assert (got[k]["n_words"], got[k]["n_hit"], got[k]["items"]) == (len(w), len(hit), sorted(ids))
+
+
+def test_decontamination_shuffles_no_text(spark):
+    """Beyond the broadcast, the exchange below the join has the words around a fingerprint, not the text's arrays."""
+    docs = spark.createDataFrame([(1, " ".join(f"w{k}" for k in range(3000)))], "_id long, _text string")
+    bench = spark.createDataFrame([(1, " ".join(f"w{k}" for k in range(100, 130))), (2, "w5 w6")], "item_id long, text string")
+    windows = common.written(decontaminate.item_windows(bench, 10, 4, "item_id", "text"), "windows")
+    out = decontaminate.hits(docs, windows, ["_id"], broadcast_windows=0)
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = spark._jvm.PythonSQLUtils.explainString(out.select("*")._jdf.queryExecution(), "formatted")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    exchanges = re.findall(r"\) Exchange\nInput \[\d+\]: \[(.*?)\]\nArguments: hashpartitioning\((_?key)#", plan)
+    assert exchanges and not [x for x, _ in exchanges if re.search(r"\b_(h|g|text)#", x)]
+    assert [r["n"] for r in out.selectExpr("size(wins) as n").collect()] == [22]
+
+
 def base_spans(t):
     out = [("email", *m.span()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", t)]
     out += [("ip", *m.span()) for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", t)

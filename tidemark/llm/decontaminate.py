@@ -1,24 +1,28 @@
 """Benchmark decontamination by winnowing, with DataFrame functions only.
 
 Every ``span`` consecutive words of a benchmark item are a window (an item of
-fewer words is one window).  Each sliding window of words keeps the smallest of
-its k-gram hashes; two equal windows keep the same hash, so joining these
-fingerprints finds every shared span of ``span`` words or more.  A hit is extended
-to the whole window and compared word by word, so hash collisions and windows that
-share one k-gram only drop out.  Windows shorter than ``span`` words have no such
-guarantee; their lengths (fewer than ``span`` values) are looked up by the hash of
-the whole window.
-
-One pass over the documents: words are exploded, fingerprinted and joined in the
-scan's own stage, and only hits and one marker for each document are shuffled.
+fewer words is one window).  Each sliding window keeps the smallest of its k-gram
+hashes, the first of equal ones; the places kept by any window are a text's
+fingerprints, about two in ``span - k + 2`` words.  Two equal windows keep the same
+hash at the same place inside them, so joining a document's fingerprints with the
+benchmark's windows finds every shared span of ``span`` words or more.  A hit is
+extended to both sides to the whole window and compared word by word, so hash
+collisions and windows that share one k-gram only drop out.  Windows shorter than
+``span`` words have no such guarantee; their lengths (fewer than ``span`` values) are
+looked up by the hash of the whole window.
+
+One pass over the documents: words are exploded, fingerprints selected and joined in
+the scan's own stage, and only hits and one marker for each document are shuffled.
 Equal benchmark windows are grouped first, so a window costs the same whether one
 item or a third of all have it.  The windows are broadcast if there are at most
 ``broadcast_windows`` of them, counted first; more are joined by a shuffle on the
-fingerprint.
+fingerprint, for which a document's fingerprint takes along the words around it that
+a window can hold, never its text.
 
 Defined cases: null text has no words and is never hit, a null item neither;
-repeated rows of documents each get a row; repeated items count once by their id;
-extra columns are ignored.
+a very long text is rows of words like any other; equal hashes in a window tie, and
+the first counts; repeated rows of documents each get a row; repeated items count once by
+their id; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -34,9 +38,20 @@ def _hash_at(hashes: str, start: Column, n: int) -> Column:
     return F.xxhash64(*[F.get(hashes, start + F.lit(k)) for k in range(n)])
 
 
-def _fingerprint(hashes: str, start: Column, span: int, k: int) -> Column:
-    """The smallest k-gram hash of the window of ``span`` words at ``start``."""
-    return F.least(*[_hash_at(hashes, start + F.lit(i), k) for i in range(span - k + 1)])
+def _grams(hashes: str, k: int) -> Column:
+    """Hashes of all k-grams of the words, in their order; empty for fewer than ``k`` words."""
+    starts = F.when(F.size(hashes) >= k, F.sequence(F.lit(0), F.size(hashes) - k)).otherwise(F.array().cast("array<int>"))
+    return F.transform(starts, lambda p: F.xxhash64(*[F.get(hashes, p + F.lit(i)) for i in range(k)]))
+
+
+def _smallest(grams: str, start: Column, n: int) -> tuple[Column, Column]:
+    """The smallest of ``n`` hashes from ``start``, and how far from there the first such is."""
+    at = [F.get(grams, start + F.lit(i)) for i in range(n)]
+    low = F.least(*at)
+    offset = F.lit(n - 1)
+    for i in range(n - 2, -1, -1):
+        offset = F.when(at[i] == low, F.lit(i)).otherwise(offset)
+    return low, offset
 
 
 def _word_rows(df: DataFrame, text: str) -> DataFrame:
@@ -46,17 +61,20 @@ def _word_rows(df: DataFrame, text: str) -> DataFrame:
 
 
 def item_windows(benchmark: DataFrame, span: int, k: int, item_col: str, text_col: str) -> DataFrame:
-    """Distinct windows: number, length, fingerprint, words, ids of the items that have them (as text)."""
+    """Distinct windows: number, length, fingerprint, its place in the window, words, ids of the items that have them (as text)."""
     rows = _word_rows(benchmark.select(F.col(item_col).cast("string").alias("_item"), F.col(text_col).alias("_text")),
                       "_text").where(F.size("_w") > 0)
     n = F.least(F.size("_w"), F.lit(span))
     rows = rows.select("_item", "_w", "_h", n.alias("len"),
                        F.explode(F.sequence(F.lit(0), F.size("_w") - n)).alias("_p"))
-    key = F.when(F.col("len") == span, _fingerprint("_h", F.col("_p"), span, k))
+    rows = rows.withColumn("_g", _grams("_h", k))
+    low, offset = _smallest("_g", F.col("_p"), span - k + 1)
+    key = F.when(F.col("len") == span, low)
     for short in range(1, span):
         key = key.when(F.col("len") == short, _hash_at("_h", F.col("_p"), short))
-    return rows.select("len", key.alias("key"), F.slice("_w", F.col("_p") + 1, F.col("len")).alias("window"), "_item") \
-        .groupBy("len", "key", "window").agg(F.collect_set("_item").alias("items")) \
+    return rows.select("len", key.alias("key"), F.when(F.col("len") == span, offset).otherwise(0).alias("offset"),
+                       F.slice("_w", F.col("_p") + 1, F.col("len")).alias("window"), "_item") \
+        .groupBy("len", "key", "offset", "window").agg(F.collect_set("_item").alias("items")) \
         .withColumn("win", F.monotonically_increasing_id())
 
 
@@ -67,25 +85,48 @@ def hits(docs: DataFrame, windows: DataFrame, keep: list[str], span: int = 10, k
     ``docs`` has the columns ``keep`` and ``_text``; ``windows`` is a written table.
     """
     lengths = {r["len"]: r["count"] for r in windows.groupBy("len").count().collect()}   # at most ``span`` rows
-    small = F.broadcast if sum(lengths.values()) <= broadcast_windows else (lambda x: x)
-    rows = _word_rows(docs, "_text").select(*keep, "_w", "_h", F.posexplode_outer("_h").alias("_p", "_one"))
-
-    def found(length: int, key: Column, keep_all: bool) -> DataFrame:
-        right = windows.where(F.col("len") == length).select("key", "window", "win")
-        fits = F.col("_p") <= F.size("_w") - length
-        left = rows if keep_all else rows.where(fits)
-        left = left.withColumn("_key", F.when(fits, key) if keep_all else key)
-        same = (F.col("_key") == F.col("key")) & (F.slice("_w", F.col("_p") + 1, length) == F.col("window"))
-        out = left.join(small(right), same, "left" if keep_all else "inner")
-        if keep_all:                         # the first word stands for the document, hit or not
-            out = out.where(F.coalesce("_p", F.lit(0)).eqNullSafe(0) | F.col("win").isNotNull())
-        first = F.coalesce("_p", F.lit(0)).eqNullSafe(0) if keep_all else F.lit(False)
-        return out.select(*keep, F.size("_w").alias("n_words"), first.alias("marker"), F.col("_p").alias("start"),
+    small = sum(lengths.values()) <= broadcast_windows
+    around = span - k                   # words of a window on either side of its fingerprint's first word, at most
+    rows = _word_rows(docs, "_text").withColumn("_n", F.size("_w"))
+    head = F.coalesce("_p", F.lit(0)).eqNullSafe(0)         # the first word stands for the document, hit or not
+
+    def joined(left: DataFrame, length: int, begin: Column, end: Column, keep_all: bool) -> DataFrame:
+        """Rows (_key, _at, _w, _n) with the windows whose words stand ``offset`` words before ``_at``.
+
+        ``begin`` and ``end`` bound the words that any such window can hold.
+        """
+        right = windows.where(F.col("len") == length).select("key", "offset", "window", "win")
+        low = F.greatest(begin, F.lit(0))
+        if small:                            # the words stay where they are, in the scan's stage
+            right, left = F.broadcast(right), left.withColumn("_from", F.lit(0))
+        else:
+            part = F.when(F.col("_key").isNotNull(), F.slice("_w", low + 1, F.greatest(F.least(end, F.col("_n")) - low, F.lit(0))))
+            left = left.withColumn("_from", low).withColumn("_w", part)
+        left = left.select(*keep, "_key", "_at", "_from", "_w", "_n", "_mark")
+        start = F.col("_at") - F.col("offset")
+        # a slice cannot begin before the array: those windows reach beyond the text
+        inside = F.slice("_w", F.greatest(start - F.col("_from"), F.lit(0)) + 1, length) == F.col("window")
+        same = (F.col("_key") == F.col("key")) & (start >= 0) & inside
+        out = left.join(right, same, "left" if keep_all else "inner")
+        return out.select(*keep, F.col("_n").alias("n_words"), F.col("_mark").alias("marker"), start.alias("start"),
                           F.lit(length).alias("len"), "win")
 
-    out = found(span, _fingerprint("_h", F.col("_p"), span, k), True)
+    # a row for each window: it counts if it is the first to keep its fingerprint
+    full = rows.withColumn("_g", _grams("_h", k)).select(*keep, "_w", "_n", "_g", F.posexplode_outer("_h").alias("_p", "_one"))
+    low, offset = _smallest("_g", F.col("_p"), around + 1)
+    _, offset_before = _smallest("_g", F.col("_p") - 1, around + 1)
+    fits = F.col("_p") <= F.col("_n") - span
+    full = full.select(*keep, "_w", "_n", head.alias("_mark"), F.when(fits, low).alias("_key"),
+                       (F.col("_p") + offset).alias("_at"),
+                       (fits & ((F.col("_p") == 0) | (offset_before != offset + 1))).alias("_new")) \
+        .where(F.col("_mark") | F.col("_new"))
+    out = joined(full, span, F.col("_at") - around, F.col("_at") + span, True)
     for length in sorted(x for x in lengths if x < span):
-        out = out.unionByName(found(length, _hash_at("_h", F.col("_p"), length), False))
+        key = _hash_at("_h", F.col("_p"), length)
+        short = rows.select(*keep, "_w", "_n", "_h", F.posexplode("_h").alias("_p", "_one")) \
+            .where(F.col("_p") <= F.col("_n") - length) \
+            .select(*keep, "_w", "_n", key.alias("_key"), F.col("_p").alias("_at"), F.lit(False).alias("_mark"))
+        out = out.unionByName(joined(short, length, F.col("_at"), F.col("_at") + length, False))
     # one window may be hit by several rows of the join, and equal rows of documents meet here
     out = out.groupBy(*keep, "start", "len", "win").agg(F.max("n_words").alias("n_words"),
                                                       F.count_if("marker").alias("n_rows"))
