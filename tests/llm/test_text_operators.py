@@ -307,6 +307,56 @@ def test_viterbi_is_the_best_sequence():
         assert tuple(chain.viterbi(gain)) == best
 
 
+def mixed_text(rng, good):
+    """Lines with their states: mostly content in a good document, mostly boilerplate in a bad one."""
+    vocabulary = [f"{a}{b}" for a in ("ban", "cor", "del", "mir", "sol", "tev") for b in ("a", "en", "ist", "or", "um")]
+    lines, states = [], []
+    for _ in range(rng.integers(3, 6)):
+        state = int(rng.random() < (0.7 if good else 0.2))
+        for _ in range(rng.integers(2, 5)):
+            w = rng.choice(vocabulary, rng.integers(6, 15)).tolist()
+            lines.append(" ".join(w) + "." if state else "!! ".join(w).upper() + " | ##")
+            states.append(state)
+    share = np.mean(states)
+    return ("\n".join(lines), states) if (share >= 0.6) == good and (share <= 0.4) != good else mixed_text(rng, good)
+
+
+def test_quality_labels_lines_inside_a_document(spark):
+    """Trained from documents' labels only, the chain tells content from boilerplate lines of one document."""
+    rng = np.random.default_rng(4)
+    made = [(k, *mixed_text(rng, k % 2 == 1)) for k in range(160)]
+    docs = spark.createDataFrame([(k, t) for k, t, _ in made], "doc_id long, text string")
+    labels = spark.createDataFrame([(k, k % 2) for k, _, _ in made], "doc_id long, quality int")
+    chain = quality.train(docs, labels, lambda c: c < 100)
+    right = total = mixed = 0
+    for r in quality.judge(docs.where("doc_id >= 100"), chain).collect():
+        want = {k for k, s in enumerate(made[r["doc_id"]][2]) if not s}
+        n = len(made[r["doc_id"]][2])
+        right += n - len(want ^ set(r["boilerplate"]))
+        total += n
+        mixed += 0 < len(r["boilerplate"]) < n
+    assert right >= 0.95 * total and mixed >= 30
+
+
+def test_latent_states_keep_the_document_label():
+    rng = np.random.default_rng(5)
+    for _ in range(200):
+        n, label = int(rng.integers(1, 9)), int(rng.integers(0, 2))
+        gain, size = rng.normal(size=n), rng.integers(1, 20, n)
+        state = quality.latent_states([gain], [size], [label])[0]
+        assert ((size * state).sum() >= 0.5 * size.sum()) == (label == 1)
+        changed = state != (gain >= 0)                   # only lines against the label, nearest to the boundary first
+        assert (state[changed] == label).all()
+        against = (gain >= 0) != label
+        assert not changed.any() or np.abs(gain[changed]).max() <= np.abs(gain[against & ~changed]).min(initial=np.inf)
+
+
+def test_quality_empty_table(spark):
+    docs = spark.createDataFrame([], "doc_id long, text string")
+    chain = quality.train(docs, spark.createDataFrame([], "doc_id long, quality int"), lambda c: F.lit(True))
+    assert quality.judge(docs, chain).count() == 0
+
+
 def test_quality_held_out(spark):
     sf = "/root/testdata/sf0.01"
     labels = common.table(spark, sf, "labels").select("doc_id", "quality")

@@ -6,15 +6,21 @@ chain scores each line's features and each change of state, Viterbi decoding tak
 the best sequence, and a document is kept if the content lines hold at least
 ``min_share`` of its words (and no base rule fails).
 
-The chain is trained by maximum conditional likelihood (forward and backward sums)
-on a bounded sample of labelled documents, ``max_rows`` with the smallest hash of
-their id; a document's label is the label of its lines, so a line's evidence and
-its neighbours' decide together.  Every document is labelled, whole.
+Training takes a bounded sample of labelled documents, ``max_rows`` with the smallest
+hash of their id.  Labels are of documents, so the lines' states are latent: lines
+are first scored alone, each for its document's label, and take the likelier state; a
+document's verdict holds as a constraint, so lines nearest to the boundary change
+state until content lines hold half the words of a good document, and less of a bad
+one.  Scores and states are renewed ``ROUNDS`` times.  Then the chain is trained on
+these states by maximum conditional likelihood (forward and backward sums), so changes of
+state inside a document have scores of their own, and a line's evidence and its
+neighbours' decide together.  Every document is labelled, whole.
 
 Defined cases: null text has no words and fails the base rules; a text without a
-word has no line and no content; repeated rows each get a row; a null label or one
-without a document is not used; without labels of both classes all lines are
-content.  Extra columns are ignored.
+word has no line and no content; a very long text is one sequence, in memory of some
+hundred bytes a line; ties of scores go to content; repeated rows each get a row; a
+null label or one without a document is not used; without labels of both classes all lines
+are content.  Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -33,6 +39,7 @@ SYMBOLS = "#*$%&|<>"
 WINDOW = 5
 SPACE = " \t\n\r\x0b\x0c"
 N_FEATURES = 14
+ROUNDS = 3      # of the latent line states
 
 
 def line_features(line: str, words: list[str], repeated: bool) -> list[float]:
@@ -148,24 +155,87 @@ class Chain:
         return np.array(out[::-1], np.int64)
 
 
-def fit(features: list[list[list[float]]], labels: list[int], steps: int = 200, rate: float = 0.1,
-        ridge: float = 1e-4) -> Chain:
-    """Conditional likelihood of the labelled sequences, by Adam; sequences of one length bucket go together."""
+def latent_states(gains: list[np.ndarray], sizes: list[np.ndarray], labels: list[int],
+                  min_share: float = 0.5) -> list[np.ndarray]:
+    """States of each document's lines: the sign of their gain, held to the document's label.
+
+    Lines change state, nearest to the boundary first, until content lines hold at
+    least ``min_share`` of the words of a document of label 1, and less than that of one of label 0.
+    """
+    out = []
+    for gain, n, label in zip(gains, sizes, labels, strict=True):
+        state = (gain >= 0).astype(np.int64)
+        for k in np.argsort(np.abs(gain), kind="stable").tolist():
+            if ((n * state).sum() >= min_share * n.sum()) == (label == 1):
+                break
+            if state[k] != label:
+                state[k] = label
+        out.append(state)
+    return out
+
+
+def fit(features: list[list[list[float]]], sizes: list[list[int]], labels: list[int], min_share: float = 0.5) -> Chain:
+    """Chain from documents' labels: lines alone, then their latent states, then the chain on these."""
     keep = [k for k, f in enumerate(features) if f]
-    y = np.array([labels[k] for k in keep])
-    if len(set(y.tolist())) < 2:
+    label = [labels[k] for k in keep]
+    if len(set(label)) < 2:
         return Chain(np.r_[1.0, np.zeros(N_FEATURES - 1)], np.zeros(2), np.zeros((2, 2)))
-    size = np.array([len(features[k]) for k in keep])
-    order = np.argsort(-size)
-    y, size = y[order], size[order]
-    x = np.concatenate([np.array(features[keep[k]]) for k in order])
+    lines = [np.array(features[k]) for k in keep]
+    words = [np.array(sizes[k]) for k in keep]
+    states = [np.full(len(x), y) for x, y in zip(lines, label, strict=True)]
+    for _ in range(ROUNDS):
+        weight = fit_alone(lines, states, label)
+        states = latent_states([x @ weight for x in lines], words, label, min_share)
+    return fit_states(lines, states, label)
+
+
+def shares(labels: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Weight of a line in each document: both labels weigh the same, and so do all documents of one."""
+    return np.where(labels == 1, 0.5 / labels.mean(), 0.5 / (1 - labels.mean())) / size / len(labels)
+
+
+class Adam:
+    """Steps down a gradient."""
+
+    def __init__(self, n: int, rate: float):
+        self.theta, self.rate, self.steps = np.zeros(n), rate, 0
+        self.m, self.v = np.zeros(n), np.zeros(n)
+
+    def step(self, g: np.ndarray) -> None:
+        self.steps += 1
+        self.m, self.v = 0.9 * self.m + 0.1 * g, 0.999 * self.v + 0.001 * g * g
+        self.theta = self.theta - self.rate * (self.m / (1 - 0.9 ** self.steps)) / (
+            np.sqrt(self.v / (1 - 0.999 ** self.steps)) + 1e-9)
+
+
+def fit_alone(lines: list[np.ndarray], states: list[np.ndarray], labels: list[int], steps: int = 200, rate: float = 0.1,
+              ridge: float = 1e-4) -> np.ndarray:
+    """Weights of the features when every line stands alone."""
+    size = np.array([len(x) for x in lines])
+    x, state = np.concatenate(lines), np.concatenate(states)
+    each = np.repeat(shares(np.array(labels), size), size)
+    model = Adam(N_FEATURES, rate)
+    for _ in range(steps):
+        p = np.exp(-np.logaddexp(0, -(x @ model.theta)))
+        model.step(x.T @ (each * (p - state)) + ridge * model.theta)
+    return model.theta
+
+
+def fit_states(lines: list[np.ndarray], states: list[np.ndarray], labels: list[int], steps: int = 200, rate: float = 0.1,
+               ridge: float = 1e-4) -> Chain:
+    """Conditional likelihood of the sequences of states."""
+    size = np.array([len(x) for x in lines])
+    order = np.argsort(-size, kind="stable")
+    y, size = np.array(labels)[order], size[order]
+    x = np.concatenate([lines[k] for k in order])
+    state = np.concatenate([states[k] for k in order])
     at = np.r_[0, np.cumsum(size)[:-1]]
     longest = int(size[0])
     live = [int((size > t).sum()) for t in range(longest)]       # sequences are sorted by length, longest first
-    balance = np.where(y == 1, 0.5 / y.mean(), 0.5 / (1 - y.mean())) / size / len(y)
-    theta = np.zeros(N_FEATURES + 6)
-    m, v = np.zeros_like(theta), np.zeros_like(theta)
-    for step in range(1, steps + 1):
+    balance = shares(y, size)
+    model = Adam(N_FEATURES + 6, rate)
+    for _ in range(steps):
+        theta = model.theta
         w, first, change = theta[:N_FEATURES], theta[N_FEATURES:N_FEATURES + 2], theta[N_FEATURES + 2:].reshape(2, 2)
         gain = x @ w
         alpha, beta = [], [None] * longest
@@ -184,17 +254,17 @@ def fit(features: list[list[list[float]]], labels: list[int], steps: int = 200,
         for t in range(longest):
             k = live[t]
             p = np.exp(alpha[t] + beta[t] - total[:k, None])
-            g_line[at[:k] + t] = balance[:k] * (p[:, 1] - (y[:k] == 1))
+            here = state[at[:k] + t]
+            g_line[at[:k] + t] = balance[:k] * (p[:, 1] - here)
             if t == 0:
-                g_first = (balance[:, None] * (p - np.eye(2)[y])).sum(0)
+                g_first = (balance[:, None] * (p - np.eye(2)[here])).sum(0)
             else:
                 own = np.stack([np.zeros(k), gain[at[:k] + t]], 1)
                 both = np.exp(alpha[t - 1][:k, :, None] + change + (own + beta[t])[:, None, :] - total[:k, None, None])
-                seen = np.eye(2)[y[:k]]
-                g_change += (balance[:k, None, None] * (both - seen[:, :, None] * seen[:, None, :])).sum(0)
-        g = np.r_[x.T @ g_line, g_first, g_change.ravel()] + ridge * theta
-        m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
-        theta = theta - rate * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.999 ** step)) + 1e-9)
+                g_change += (balance[:k, None, None] * (
+                    both - np.eye(2)[state[at[:k] + t - 1]][:, :, None] * np.eye(2)[here][:, None, :])).sum(0)
+        model.step(np.r_[x.T @ g_line, g_first, g_change.ravel()] + ridge * theta)
+    theta = model.theta
     return Chain(theta[:N_FEATURES], theta[N_FEATURES:N_FEATURES + 2], theta[N_FEATURES + 2:].reshape(2, 2))
 
 
@@ -205,13 +275,16 @@ def train(docs: DataFrame, labels: DataFrame, learn, max_rows: int = 4000, id_co
         .where(F.col("_y").isin(0, 1) & F.col("_id").isNotNull() & learn(F.col("_id"))) \
         .orderBy(F.xxhash64("_id"), "_id", "_y").limit(max_rows)
 
+    kind = pa.struct([("x", pa.list_(pa.list_(pa.float64()))), ("n", pa.list_(pa.int64()))])
+
     def lines(text: pa.Array) -> pa.Array:
-        return pa.array([described(t or "")[0] for t in text.to_pylist()], pa.list_(pa.list_(pa.float64())))
+        return pa.array([dict(zip("xn", described(t or ""), strict=False)) for t in text.to_pylist()], kind)
 
     rows = small_batches(docs).select(F.col(id_col).alias("_id"), F.col(text_col).alias("_t")).join(F.broadcast(marks), "_id") \
         .orderBy(F.xxhash64("_id"), "_id", "_y").limit(max_rows) \
-        .select("_y", F.arrow_udf(lines, "array<array<double>>")("_t").alias("_x")).toArrow()
-    return fit(rows.column("_x").to_pylist(), rows.column("_y").to_pylist())
+        .select("_y", F.arrow_udf(lines, "struct<x: array<array<double>>, n: array<long>>")("_t").alias("_x")) \
+        .select("_y", "_x.x", "_x.n").toArrow()
+    return fit(rows.column("x").to_pylist(), rows.column("n").to_pylist(), rows.column("_y").to_pylist())
 
 
 def judge(docs: DataFrame, chain: Chain, min_share: float = 0.5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
