@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import uuid
 from dataclasses import replace
+from datetime import datetime
 
 from pyspark.sql import functions as F
 
@@ -20,6 +21,8 @@ from tidemark.plans.catalog import register
 from tidemark.plans.catalog_etl import INGEST_PAGE, NOW_SQL, SPLIT, SPLIT_SQL, _now, _tags_of
 from tidemark.session import checkpoint_dir
 from tidemark.sources.adapter import ORIGIN, ORIGIN_SQL, read_table, warehouse_from_driver, with_adapter
+from tidemark.sources.keyhistory import KeyHistory
+from tidemark.sources.store import Store
 from tidemark.warehouse import Warehouse
 
 
@@ -186,3 +189,27 @@ def q_overview_failed_runs(spark, sf_dir):
     wh = replace(warehouse_from_driver(spark, sf_dir), micros_ids=False)
     failed = wh.dim_etl_run.filter(F.col("status") == "failed").select("etl_run_id")
     return marts.overview_by_run(wh).join(failed, "etl_run_id", "left_semi")
+
+
+# ------------------------------------------- M4, M5, U1 against bucketed keys
+@register("insert_only_bucketed", """
+    SELECT DISTINCT CAST(l_linenumber AS INTEGER) AS app_id, CAST(l_orderkey AS VARCHAR) AS update_id
+    FROM lineitem l
+    WHERE NOT EXISTS (SELECT 1 FROM lineitem e WHERE e.l_orderkey = l.l_orderkey AND e.l_linenumber = l.l_linenumber
+                      AND e.l_returnflag IN ('R', 'A'))
+    """, "U1 M4 M5")
+def q_insert_only_bucketed(spark, sf_dir):
+    """The keys of two earlier runs are kept bucketed; a third batch of all keys is merged with them, without a shuffle of theirs."""
+    lines = read_table(spark, sf_dir, "lineitem").select(
+        F.col("l_linenumber").cast("int").alias("app_id"), F.col("l_orderkey").cast("string").alias("update_id"), "l_returnflag")
+    store = Store(spark, f"{checkpoint_dir(spark).rstrip('/')}/tidemark-keys-{uuid.uuid4().hex}")
+    history = KeyHistory(store, "dim_update_content", buckets=16, broadcast_keys=0)
+    for run, flag in enumerate("RA", start=1):
+        seen = lines.where(F.col("l_returnflag") == flag).select("app_id", "update_id").distinct()
+        history.add(seen.withColumn("etl_run_id", F.lit(run)), [run])
+        store.append_run_state(run, "incremental", "success", _now_value(run), _now_value(run), _now_value(run), None)
+    return history.new_rows(lines.select("app_id", "update_id").distinct())
+
+
+def _now_value(day: int) -> datetime:
+    return datetime(2024, 1, day)

@@ -54,6 +54,12 @@ class Store:
     def _p(self, *parts) -> str:
         return "/".join([self.root, *[str(p) for p in parts]])
 
+    def path(self, *parts) -> str:
+        return self._p(*parts)
+
+    def has(self, *parts) -> bool:
+        return self._exists(self._p(*parts))
+
     def _exists(self, path: str) -> bool:
         """Whether the folder is there; anything wrong inside it is an error of whoever reads it."""
         where = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
