@@ -3,7 +3,7 @@ driver tables (used by tests and the benchmark; nothing is made up).
 
 Snapshot source: JSON lines, one app per line, every value as text plus its
 payload position ``pos``; or one JSON object keyed by app id (the raw API
-shape), read whole and exploded.  News source: JSON lines, one fetched page
+shape), cut at its braces (``sources/rawobject.py``).  News source: JSON lines, one fetched page
 per line with the fetch envelope (app_id, page, enddate, http_status).
 """
 
@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 from tidemark import schemas
 from tidemark.functions.parse import ntz_lit
 from tidemark.operators.ranking import split_row_number
+from tidemark.sources import rawobject
 from tidemark.sources.adapter import NEWS_TYPES, read_table, run_id_of
 
 _SNAPSHOT_VALUE = "struct<" + ",".join(f"`{f}`:string" for f in schemas.SNAPSHOT_FIELDS) + ">"
@@ -27,18 +28,12 @@ def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_snapshot_object(spark: SparkSession, path: str) -> DataFrame:
-    """S1, raw form: one JSON object ``{"<appid>": {...}, ...}`` per file.
+    """S1, raw form: one JSON object ``{"<appid>": {...}, ...}`` per file, each read by several tasks.
 
     A repeated key keeps its first position and its last value (what a JSON
-    object decoder does).  Not splittable: one task per file, so land JSON
-    lines for large payloads.
+    object decoder does).
     """
-    text = spark.read.text(path, wholetext=True)
-    m = text.select(F.from_json("value", f"map<string,{_SNAPSHOT_VALUE}>").alias("m"))
-    ex = m.select(F.posexplode(F.map_entries("m")).alias("pos", "e")).select(
-        "pos", F.col("e.key").alias("key"), F.col("e.value").alias("v"))
-    merged = ex.groupBy("key").agg(F.min("pos").alias("pos"), F.max_by("v", "pos").alias("v"))
-    return merged.select(F.col("pos").cast("long").alias("pos"), "v.*")
+    return rawobject.members(spark, path, _SNAPSHOT_VALUE).select("pos", "v.*")
 
 
 def read_news_pages(spark: SparkSession, path: str) -> DataFrame:
