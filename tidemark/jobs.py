@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.parse import ntz_lit, ts_id
 from tidemark.operators import dims, facts, pages
-from tidemark.plans import rolling
+from tidemark.plans import appstate, rolling
 from tidemark.sources import landing
 from tidemark.sources.store import Store
 
@@ -109,7 +109,7 @@ def load_frames(spark: SparkSession, store_root: str, raw: DataFrame, news_src:
             if not params.apps_limit:
                 bad_pages = bad_pages.unionByName(pages.unknown_app_pages(news_src, new_apps))
             landed = news_src.join(apps, "app_id", "left_semi")
-            cutoffs = (pages.cutoffs_from_watermark(pages.latest_news_ts(wh.fact_news, wh.dim_timestamp, wh.micros_ids))
+            cutoffs = (pages.cutoffs_from_watermark(appstate.watermark(store, wh))
                        if incremental else None)
             kept, meta = pages.landed_news(landed, cutoffs)
             prepared = pages.prepare_items(kept).persist()
@@ -135,7 +135,10 @@ def load_frames(spark: SparkSession, store_root: str, raw: DataFrame, news_src:
                        lambda: store.write_side("quarantine_items", bad_items, run_id),
                        lambda: store.write_side("quarantine_pages", bad_pages, run_id)]
         _run_together(writes)
-        rolling.maintain(store, wh, run_id, started, None if news_rows is None else store.partition("fact_news", run_id))
+        own_news = None if news_rows is None else store.partition("fact_news", run_id)
+        _run_together([lambda: rolling.maintain(store, wh, run_id, started, own_news),
+                       lambda: appstate.maintain(store, wh, run_id, started),
+                       lambda: appstate.maintain_marks(store, wh, run_id, own_news)])
         if news_rows is not None:
             # count what was inserted from the partitions just written
             counters = pages.item_counters(prepared, store.partition("dim_update_content", run_id),
@@ -209,7 +212,10 @@ def load_items(spark: SparkSession, store_root: str, items: DataFrame, bad_pages
             lambda: store.write_append("fact_news", news_rows, run_id),
             lambda: store.write_side("quarantine_items", _bad_items(prepared), run_id),
             lambda: store.write_side("quarantine_pages", bad_pages, run_id)])
-        rolling.maintain(store, wh, run_id, started, store.partition("fact_news", run_id))
+        own_news = store.partition("fact_news", run_id)
+        _run_together([lambda: rolling.maintain(store, wh, run_id, started, own_news),
+                       lambda: appstate.maintain(store, wh, run_id, started),
+                       lambda: appstate.maintain_marks(store, wh, run_id, own_news)])
         counters = pages.item_counters(prepared, store.partition("dim_update_content", run_id), store.partition("fact_news", run_id))
         store.write_side("stream_report", counters, run_id)
         status = "success"

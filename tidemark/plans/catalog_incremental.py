@@ -10,13 +10,14 @@ import uuid
 from dataclasses import replace
 from datetime import datetime
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tidemark import schemas
 from tidemark.functions.parse import ntz_lit
 from tidemark.operators import checks, dims
 from tidemark.plans import mart_sql as S
-from tidemark.plans import marts, rolling
+from tidemark.plans import appstate, marts, rolling
 from tidemark.plans.catalog import register
 from tidemark.plans.catalog_etl import INGEST_PAGE, NOW_SQL, SPLIT, SPLIT_SQL, _now, _tags_of
 from tidemark.session import checkpoint_dir
@@ -45,6 +46,42 @@ def q_rolling_incremental(spark, sf_dir):
     return rolling.counts(parts, wh)
 
 
+# ----------------------------------------- V8, V9, A3 from what each run leaves behind
+def _in_steps(wh: Warehouse):
+    """(deltas, state) after the runs are handed over in three steps, each from the state before it."""
+    rows = appstate.run_rows(wh)
+    runs = wh.dim_etl_run.select("etl_run_id", F.row_number().over(Window.orderBy("started_at", "etl_run_id")).alias("_n"))
+    third = F.ceil(F.col("_n") * 3 / F.lit(max(wh.dim_etl_run.count(), 1)))
+    rows = rows.join(runs.select(F.col("etl_run_id").alias("run_id"), third.alias("_third")), "run_id")
+    deltas, state = appstate.first_step(rows.filter("_third = 1").drop("_third"))
+    for k in (2, 3):
+        more, state = appstate.step(state, rows.filter(F.col("_third") == k).drop("_third"))
+        deltas = deltas.unionByName(more)
+    return deltas, state
+
+
+@register("changes_incremental", with_adapter(S.chain(S.V1, S.V2_ALL, S.V3, S.V8) + " SELECT * FROM q_v8"), "V8 W4 T1")
+def q_changes_incremental(spark, sf_dir):
+    wh = warehouse_from_driver(spark, sf_dir)
+    return appstate.changes_of(_in_steps(wh)[0], marts.news_rolling_asof(wh), wh.dim_app)
+
+
+@register("latest_incremental", with_adapter(S.chain(S.V1, S.V2_ALL, S.V3, S.V9) + " SELECT * FROM q_v9"), "V9 W3")
+def q_latest_incremental(spark, sf_dir):
+    wh = warehouse_from_driver(spark, sf_dir)
+    return appstate.latest_of(_in_steps(wh)[1], marts.news_rolling_asof(wh), wh.dim_app)
+
+
+@register("watermark_incremental", with_adapter("""
+    SELECT n.app_id, max(t.ts) AS latest_ts FROM w_fact_news n JOIN w_dim_timestamp t ON t.timestamp_id = n.timestamp_id
+    GROUP BY n.app_id"""), "A3 J11 F2")
+def q_watermark_incremental(spark, sf_dir):
+    """Marks of each run's news, then their maxima."""
+    wh = warehouse_from_driver(spark, sf_dir)
+    of_run = wh.fact_news.select("app_id", "timestamp_id", "etl_run_id").groupBy("etl_run_id", "app_id").agg(F.max("timestamp_id").alias("at"))
+    return appstate.watermark_of(of_run)
+
+
 # ------------------------------------------------------- landed news as a stream
 @register("news_stream", f"""
     WITH good AS (SELECT c_custkey FROM customer WHERE c_acctbal >= 0 AND c_custkey IN (SELECT user_id FROM events))
