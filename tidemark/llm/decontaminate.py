@@ -45,13 +45,15 @@ def _grams(hashes: str, k: int) -> Column:
 
 
 def _smallest(grams: str, start: Column, n: int) -> tuple[Column, Column]:
-    """The smallest of ``n`` hashes from ``start``, and how far from there the first such is."""
-    at = [F.get(grams, start + F.lit(i)) for i in range(n)]
-    low = F.least(*at)
-    offset = F.lit(n - 1)
-    for i in range(n - 2, -1, -1):
-        offset = F.when(at[i] == low, F.lit(i)).otherwise(offset)
-    return low, offset
+    """The smallest of ``n`` hashes from ``start``, and how far from there the first such is.
+
+    The lowest bits of each hash give way to its place, so one minimum yields both; a deeper
+    expression would outgrow what the JVM compiles.
+    """
+    bits = (n - 1).bit_length()
+    low = F.least(*[F.shiftleft(F.shiftright(F.get(grams, start + F.lit(i)), bits), bits).bitwiseOR(F.lit(i)) for i in range(n)]) \
+        if n > 1 else F.get(grams, start)
+    return F.shiftright(low, bits), low.bitwiseAND(F.lit((1 << bits) - 1)).cast("int")
 
 
 def _word_rows(df: DataFrame, text: str) -> DataFrame:
