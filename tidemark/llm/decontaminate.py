@@ -90,7 +90,7 @@ def hits(docs: DataFrame, windows: DataFrame, keep: list[str], span: int = 10, k
     small = sum(lengths.values()) <= broadcast_windows
     around = span - k                   # words of a window on either side of its fingerprint's first word, at most
     rows = _word_rows(docs, "_text").withColumn("_n", F.size("_w"))
-    head = F.coalesce("_p", F.lit(0)).eqNullSafe(0)         # the first word stands for the document, hit or not
+    starts = F.sequence(F.lit(0), F.greatest(F.col("_n") - span, F.lit(0)))       # at least one, for the document's marker
 
     def joined(left: DataFrame, length: int, begin: Column, end: Column, keep_all: bool) -> DataFrame:
         """Rows (_key, _at, _w, _n) with the windows whose words stand ``offset`` words before ``_at``.
@@ -114,11 +114,11 @@ def hits(docs: DataFrame, windows: DataFrame, keep: list[str], span: int = 10, k
                           F.lit(length).alias("len"), "win")
 
     # a row for each window: it counts if it is the first to keep its fingerprint
-    full = rows.withColumn("_g", _grams("_h", k)).select(*keep, "_w", "_n", "_g", F.posexplode_outer("_h").alias("_p", "_one"))
+    full = rows.withColumn("_g", _grams("_h", k)).select(*keep, "_w", "_n", "_g", F.explode(starts).alias("_p"))
     low, offset = _smallest("_g", F.col("_p"), around + 1)
     _, offset_before = _smallest("_g", F.col("_p") - 1, around + 1)
     fits = F.col("_p") <= F.col("_n") - span
-    full = full.select(*keep, "_w", "_n", head.alias("_mark"), F.when(fits, low).alias("_key"),
+    full = full.select(*keep, "_w", "_n", (F.col("_p") == 0).alias("_mark"), F.when(fits, low).alias("_key"),
                        (F.col("_p") + offset).alias("_at"),
                        (fits & ((F.col("_p") == 0) | (offset_before != offset + 1))).alias("_new")) \
         .where(F.col("_mark") | F.col("_new"))
