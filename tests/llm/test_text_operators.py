@@ -53,6 +53,20 @@ def test_bpe_equals_the_library(odd, model, library):
         assert r["decoded"] == library.decode(want, skip_special_tokens=False)
 
 
+def test_bpe_coded_and_decoded_in_one_worker(spark, odd, model, library):
+    """op3_bpe runs one Python evaluation a task; two at a time took an executor beyond its memory."""
+    both = bpe.decode(bpe.encode(odd, model, together=True), model)
+    got = both.collect()
+    assert both.columns == [*odd.columns, "ids", "decoded"] and len(got) == len(odd_rows())
+    for r in got:
+        want = library.encode(r["text"] or "", add_special_tokens=False).ids
+        assert r["ids"] == want and r["decoded"] == library.decode(want, skip_special_tokens=False)
+    plan = queries.op3_bpe(spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
+    clash = bpe.decode(bpe.encode(spark.createDataFrame([("keep", "ab cd")], "ids string, text string"), model, together=True), model)
+    assert clash.columns == ["ids", "text", "ids_", "decoded"] and clash.first()["decoded"] == "ab cd"
+
+
 def test_bpe_columns_that_clash_and_empty_table(spark, model):
     df = spark.createDataFrame([("keep", "ab cd")], "ids string, text string")
     out = bpe.encode(df, model)

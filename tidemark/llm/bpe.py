@@ -337,42 +337,87 @@ def _groups(texts: list[str | None]) -> list[list[str]]:
     return out
 
 
-def encode(df: DataFrame, model: Model, text_col: str = "text", out_col: str = "ids") -> DataFrame:
-    """``df`` with the token ids of the whole text (array of int)."""
+def _ids(encoder: Encoder, batch: pa.Array) -> pa.ListArray:
+    """The token ids of a batch of texts."""
+    parts = []
+    for k in range(0, len(batch), 512):
+        for group in _groups(batch.slice(k, 512).to_pylist()):
+            parts.extend(encoder.encode(group))
+    sizes = np.cumsum([0, *map(len, parts)])
+    flat = np.concatenate(parts) if parts else np.zeros(0, np.int32)
+    return pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), pa.array(flat, pa.int32()))
+
+
+def _texts(token: list[bytes], batch: pa.ListArray) -> pa.StringArray:
+    """The texts that a batch of token ids stands for."""
+    out = []
+    for k in range(0, len(batch), 256):
+        part = batch.slice(k, 256)
+        ends = np.cumsum(np.r_[0, pc.fill_null(pc.list_value_length(part), 0).to_numpy(zero_copy_only=False)]).tolist()
+        ids = part.flatten().to_numpy(zero_copy_only=False)
+        if len(ids) and (ids.min() < 0 or ids.max() >= len(token)):
+            out.extend(decoded(token, x or []) for x in part.to_pylist())
+            continue
+        parts = list(map(token.__getitem__, ids.tolist()))
+        out.extend(b"".join(parts[i:j]).decode("utf-8", "replace") for i, j in zip(ends, ends[1:], strict=False))
+    return pa.array(out, pa.string())
+
+
+@dataclass
+class Encoding:
+    """An encoding that waits for ``decode``, so that one Python worker of a task does both."""
+
+    df: DataFrame
+    model: Model
+    text_col: str
+    out_col: str
+
+
+def encode(df: DataFrame, model: Model, text_col: str = "text", out_col: str = "ids", together: bool = False) -> DataFrame | Encoding:
+    """``df`` with the token ids of the whole text (array of int); ``together``: left to the ``decode`` that follows."""
+    if together:
+        return Encoding(df, model, text_col, out_col)
     held = small_batches(df).sparkSession.sparkContext.broadcast(model)
 
     @F.arrow_udf("array<int>")
     def ids(it: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encoder = held.value.encoder()
         for batch in it:
-            parts = []
-            for k in range(0, len(batch), 512):
-                for group in _groups(batch.slice(k, 512).to_pylist()):
-                    parts.extend(encoder.encode(group))
-            sizes = np.cumsum([0, *map(len, parts)])
-            flat = np.concatenate(parts) if parts else np.zeros(0, np.int32)
-            yield pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), pa.array(flat, pa.int32()))
+            yield _ids(encoder, batch)
 
     return df.withColumn(fresh(df, out_col)[0], ids(F.col(text_col)))
 
 
-def decode(df: DataFrame, model: Model, ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:
-    """``df`` with the text that the ids stand for, special tokens included."""
+def decode(df: DataFrame | Encoding, model: Model, ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:
+    """``df`` with the text that the ids stand for, special tokens included.
+
+    For an ``Encoding``: with its ids and their text.  A task then runs one Python worker that holds both, not
+    two at a time, of which each may come to hold an encoder with all that it remembers.
+    """
+    if isinstance(df, Encoding):
+        return _round_trip(df, model, out_col)
     held = small_batches(df).sparkSession.sparkContext.broadcast(model.token)
 
     @F.arrow_udf("string")
     def text(it: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in it:
-            token, out = held.value, []
-            for k in range(0, len(batch), 256):
-                part = batch.slice(k, 256)
-                ends = np.cumsum(np.r_[0, pc.fill_null(pc.list_value_length(part), 0).to_numpy(zero_copy_only=False)]).tolist()
-                ids = part.flatten().to_numpy(zero_copy_only=False)
-                if len(ids) and (ids.min() < 0 or ids.max() >= len(token)):
-                    out.extend(decoded(token, x or []) for x in part.to_pylist())
-                    continue
-                parts = list(map(token.__getitem__, ids.tolist()))
-                out.extend(b"".join(parts[i:j]).decode("utf-8", "replace") for i, j in zip(ends, ends[1:], strict=False))
-            yield pa.array(out, pa.string())
+            yield _texts(held.value, batch)
 
     return df.withColumn(fresh(df, out_col)[0], text(F.col(ids_col)))
+
+
+def _round_trip(coding: Encoding, model: Model, out_col: str) -> DataFrame:
+    df = coding.df
+    ids_name, text_name, both = fresh(df, coding.out_col, out_col, "_both")
+    held = small_batches(df).sparkSession.sparkContext.broadcast(coding.model)
+    token = None if model is coding.model else df.sparkSession.sparkContext.broadcast(model.token)
+
+    @F.arrow_udf("struct<ids: array<int>, text: string>")
+    def ids_and_text(it: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        encoder, back = held.value.encoder(), held.value.token if token is None else token.value
+        for batch in it:
+            ids = _ids(encoder, batch)
+            yield pa.StructArray.from_arrays([ids, _texts(back, ids)], ["ids", "text"])
+
+    return df.withColumn(both, ids_and_text(F.col(coding.text_col))) \
+        .select(*[F.col(f"`{c}`") for c in df.columns], F.col(f"{both}.ids").alias(ids_name), F.col(f"{both}.text").alias(text_name))

@@ -24,7 +24,7 @@ def byte_vocabulary() -> str:
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = bpe.Model.load(byte_vocabulary())
-    coded = bpe.decode(bpe.encode(docs, model), model)
+    coded = bpe.decode(bpe.encode(docs, model, together=True), model)
     return coded.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")).cast("binary"), 256).alias("ids_sha256"),
