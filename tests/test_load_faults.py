@@ -82,6 +82,22 @@ def test_a_page_landed_twice_gives_unique_keys(spark, zone):
     assert_clean(constraint_report(wh))
 
 
+def test_held_items_are_counted_without_the_landing(spark, zone):
+    """ingest_initial_report: the counters of items that are held parse the pages once, not once for each counter."""
+    news = landing.read_news_pages(spark, zone("news", [page(1, 1, [item("a"), item("b"), item("")])] * 2 + [page(2, 1, [item("a")])]))
+    kept, meta = pages.landed_news(news)
+    held = pages.prepare_items(kept).persist()
+    held.count()
+    named = held.filter(held.update_id != "")
+    counted = pages.fetch_counters(news, held, named)
+    assert sorted(map(str, counted.collect())) == sorted(map(str, meta.collect()))
+    assert {(r.app_id, r.fetched, r.duplicates) for r in counted.collect()} == {(1, 4, 2), (2, 1, 0)}
+    counts = [held.groupBy("app_id").count(), named.groupBy("app_id").count()]
+    inputs = [len(df._jdf.queryExecution().optimizedPlan().collectLeaves().mkString("|").split("InMemoryRelation")) - 1 for df in counts]
+    assert inputs == [1, 1] and counted._jdf.queryExecution().executedPlan().toString().split("InMemoryRelation")[0].count("FileScan json") == 1
+    held.unpersist()
+
+
 def test_rows_without_position_and_repeated_positions(spark, zone):
     snap = zone("snap", [snapshot_line(1, None), snapshot_line(2, 0), snapshot_line(3, 0), snapshot_line(4, 1)])
     load(spark, zone, snap, None)

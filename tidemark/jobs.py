@@ -111,9 +111,10 @@ def load_frames(spark: SparkSession, store_root: str, raw: DataFrame, news_src:
             landed = news_src.join(apps, "app_id", "left_semi")
             cutoffs = (pages.cutoffs_from_watermark(appstate.watermark(store, wh))
                        if incremental else None)
-            kept, meta = pages.landed_news(landed, cutoffs)
-            prepared = pages.prepare_items(kept).persist()
-            meta = meta.persist()
+            prepared = pages.prepare_items(pages.landed_items(landed, cutoffs)).persist()
+            # counted on the held items: the landing is parsed for them once; a cut-off hides gids that count too
+            named = prepared.filter(F.col("update_id") != "") if cutoffs is None else None
+            meta = pages.fetch_counters(landed, prepared, named).persist()
             cached += [prepared, meta]
             new_ts, new_typ, content_rows, news_rows = _news_rows(prepared, wh, run_id, now)
             ts_rows = ts_rows.unionByName(new_ts).distinct()
@@ -148,6 +149,9 @@ def load_frames(spark: SparkSession, store_root: str, raw: DataFrame, news_src:
             report = (meta.join(counters, "app_id", "left").fillna(0, zero)
                       .withColumn("etl_run_id", F.lit(run_id).cast("long")))
             store.write_side("report", report, run_id)
+            # totals of what was just written, so that neither is worked out again from the landing
+            report = store.side_of("report", report, run_id)
+            bad_pages = store.side_of("quarantine_pages", bad_pages, run_id)
         store.write_side("totals", run_totals(
             parsed, report, bad_pages if news_rows is not None else None, run_id, params.limits()), run_id)
         status = "success"

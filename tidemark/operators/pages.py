@@ -74,6 +74,12 @@ def landed_news(pages: DataFrame, cutoffs: DataFrame | None = None) -> tuple[Dat
     (``failed`` if any response had another status).  They describe the fetch;
     they decide nothing.
     """
+    kept = landed_items(pages, cutoffs)
+    return kept, fetch_counters(pages, kept)
+
+
+def landed_items(pages: DataFrame, cutoffs: DataFrame | None = None) -> DataFrame:
+    """The items of ``landed_news``."""
     items = explode_items(pages)
     has_gid = F.coalesce(F.col("gid"), F.lit("")) != ""
     named = items.filter(has_gid)
@@ -83,7 +89,17 @@ def landed_news(pages: DataFrame, cutoffs: DataFrame | None = None) -> tuple[Dat
         is_int = F.coalesce(variant_kind(F.col("date")).isin(*INT_KINDS), F.lit(False))
         epoch = F.when(is_int, F.expr("try_variant_get(date, '$', 'bigint')"))
         kept = after_cutoff(kept.withColumn("_epoch", epoch), cutoffs, "_epoch").drop("_epoch")
+    return kept
+
 
+def fetch_counters(pages: DataFrame, kept: DataFrame, unique: DataFrame | None = None) -> DataFrame:
+    """The counters of ``landed_news``; ``kept`` and ``unique`` may be held rows, so that the pages are not parsed again.
+
+    ``kept``: a row for each item kept.  ``unique``: one for each (app, gid) that landed, before any cut-off; taken from
+    the pages if not given.
+    """
+    if unique is None:
+        unique = explode_items(pages).filter(F.coalesce(F.col("gid"), F.lit("")) != "").select("app_id", "gid").distinct()
     status, n_items = F.col("http_status"), F.size(F.coalesce(F.col("appnews.newsitems"), F.array()))
     count = F.col("appnews.count").try_cast("int")
     is_data = (status == 200) & (n_items > 0)
@@ -96,10 +112,10 @@ def landed_news(pages: DataFrame, cutoffs: DataFrame | None = None) -> tuple[Dat
         F.count_if(status == 429).alias("rate_limited_hits"),
         F.max_by("enddate", "page").alias("last_enddate"),
         F.coalesce(F.max(~status.isin(200, 403, 429)), F.lit(False)).alias("_failed"))
-    unique = first.groupBy("app_id").agg(F.count(F.lit(1)).alias("_unique"))
+    unique = unique.groupBy("app_id").agg(F.count(F.lit(1)).alias("_unique"))
     fetched = kept.groupBy("app_id").agg(F.count(F.lit(1)).alias("fetched"))
     meta = meta.join(unique, "app_id", "left").join(fetched, "app_id", "left").fillna(0, ["_unique", "fetched"])
-    return kept, meta.select(
+    return meta.select(
         "app_id", "pages", "fetched", F.col("fetched").alias("unique_total"),
         (F.col("_named") - F.col("_unique")).alias("duplicates"), "total_expected", "forbidden", "rate_limited_hits",
         "last_enddate", F.when(F.col("_failed"), "failed").otherwise("ok").alias("walk_status"))

@@ -111,7 +111,7 @@ def news_pages_from_driver(spark: SparkSession, sf_dir: str, page_size: int = 10
         ).alias("item"))
     ranked = split_row_number(items, ["app_id"], [F.col("ts").desc(), F.col("event_id").desc()], out="seq")
     ranked = ranked.withColumn("page", ((F.col("seq") - 1) / page_size).cast("int") + 1)
-    totals = ranked.groupBy("app_id").agg(F.count(F.lit(1)).cast("int").alias("count"))
+    totals = items.groupBy("app_id").agg(F.count(F.lit(1)).cast("int").alias("count"))     # from the events: unranked, one column
     pages = ranked.groupBy("app_id", "page").agg(
         F.sort_array(F.collect_list(F.struct("seq", "item"))).alias("rows"),
         F.min(F.col("item.date")).alias("oldest"))

@@ -167,6 +167,10 @@ class Store:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(self._p(kind))
 
+    def side_of(self, kind: str, df: DataFrame, run_id: int) -> DataFrame:
+        """``df`` as one run wrote it to a side table."""
+        return self.spark.read.schema(df.drop("etl_run_id").schema).parquet(self._p(kind, f"etl_run_id={run_id}"))
+
     def committed_runs(self) -> list[int]:
         """Ids of the runs whose data is visible (one for each load run)."""
         return sorted(r["etl_run_id"] for r in self._finalized().select("etl_run_id").distinct().collect())
