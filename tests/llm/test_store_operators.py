@@ -184,6 +184,16 @@ def test_manifest_brute_force(spark, docs, tmp_path, monkeypatch, bound):
     assert sorted(got, key=key) == sorted(plain_tree(rows), key=key)
 
 
+def test_manifest_leaves_bring_their_run(spark, docs):
+    """The level above the leaves, seven of eight nodes, is joined by no shuffle, however few nodes are broadcast."""
+    tree = merkle.build(docs.where("doc_id IS NOT NULL").select(*merkle.FIELDS)
+                        .unionByName(spark.range(1000, 1120).selectExpr("id doc_id", "'s' source", "'fr' lang", "1 n_chars", "'t' text")),
+                        broadcast_nodes=12)
+    assert tree.lower is None                           # 15 nodes and more stand above the leaves
+    climbed = merkle.climb(tree).collect()
+    assert climbed and all(r["folded"] == tree.root for r in climbed)
+
+
 @pytest.mark.parametrize("n", [0, 1, 2])
 def test_small_manifests(spark, tmp_path, n):
     rows = [(k, "T", f"l{k}", None, None) for k in range(n)]

@@ -7,13 +7,15 @@ bytewise), are the leaves of the top tree, whose last node is the root.
 
 ``build`` stores the tree: a table of leaves and one of inner nodes, whose rows have
 their own name, their parent's, their place among its children, and the hashes of
-their own children.  ``climb`` is a recursive query over these tables: for each leaf it
+their own children; the nodes just above the leaves, seven of eight, stand with their leaves.
+``climb`` is a recursive query over these tables: for each leaf it
 ascends parent by parent, appends a step with its siblings and folds the hash that it
 was given, true or tampered.  Its result is the proof, the steps' siblings in order, and the hash at the root.
 
 Scale: leaves are numbered without a shuffle beyond one range partition of short rows
 (``numbered``); a level is one aggregate with at most ``fan`` rows a group, and an eighth
-of the one before.  The climb meets the lower levels by a shuffled join, where a node
+of the one before.  The aggregate of the first level gives each leaf its run, so that the climb
+begins with a step that joins nothing.  It meets the lower levels by a shuffled join, where a node
 has at most ``fan ** level`` leaves below it, and the upper levels, at most ``broadcast_nodes`` nodes
 of which the number is known before, by a broadcast: the few nodes that all leaves pass
 never become one task's key.  Every level and each part of the climb is a written table.
@@ -59,8 +61,9 @@ def leaf(fields: list[Column]) -> Column:
 class Manifest:
     """A stored tree.
 
-    ``leaves``: id, group, name, parent, slot, low, leaf, folded (the hash to climb with), subroot.
-    ``lower`` and ``upper``: inner nodes (name, parent, slot, low, kids) with their children's hashes;
+    ``leaves``: id, group, name, parent, slot, low, leaf, folded (the hash to climb with), subroot, run: the hashes of the
+    leaves below the leaf's own parent, and that parent's own parent, slot and low; null for the one leaf of a group.
+    ``lower`` and ``upper``: the other inner nodes (name, parent, slot, low, kids) with their children's hashes;
     ``upper`` is short enough to broadcast.  ``low``: whether the parent is in ``lower``.  ``root``: its digest, None for an empty table.
     """
 
@@ -74,6 +77,16 @@ def _name(tree: Column, level: int, at: Column) -> Column:
     return F.concat_ws("/", tree.cast("string"), F.lit(level).cast("string"), at.cast("string"))
 
 
+def _runs(rows: DataFrame, fan: int) -> DataFrame:
+    """The first level as ``_levels`` has it, and ``run``: the leaves below each node."""
+    run = F.array_sort(F.collect_list(F.struct("at", "hash", "id", "group", "folded")))
+    kids = F.aggregate("run", F.lit(b""), lambda acc, k: F.concat(acc, k["hash"]))
+    runs = rows.where(F.col("n") > 1).groupBy("tree", F.floor(F.col("at") / fan).cast("long").alias("above")) \
+        .agg(run.alias("run"), F.max("n").alias("n")).withColumn("kids", kids)
+    return written(runs.select("tree", F.col("above").alias("at"), F.ceil(F.col("n") / fan).cast("long").alias("n"), "kids",
+                               sha_of(F.col("kids")).alias("hash"), F.col("n").alias("leaves"), "run"), "runs")
+
+
 def _levels(nodes: DataFrame, size: int, fan: int, label: str) -> list[DataFrame]:
     """Written levels 1, 2, ... over ``nodes`` (tree, at, hash, n: nodes of its tree); a tree stops when one node is left.
 
@@ -109,15 +122,18 @@ def build(docs: DataFrame, fields: tuple[str, ...] = FIELDS, id_col: str = "doc_
     total, largest = groups.agg(F.count("*"), F.max("n")).first()
     if not total:
         name = F.lit("")
+        none = F.lit(None).cast("struct<kids: binary, parent: string, slot: int, low: boolean>")
         leaves = rows.select("id", "group", name.alias("name"), name.alias("parent"), F.lit(0).alias("slot"), F.lit(False).alias("low"),
-                             F.col("hash").alias("leaf"), "folded", F.col("hash").alias("subroot"))
+                             F.col("hash").alias("leaf"), "folded", F.col("hash").alias("subroot"), none.alias("run"))
         return Manifest(leaves, None, leaves.select("name", "parent", "slot", "low", F.col("leaf").alias("kids")), None)
     trees = written(numbered(groups, None, ["group"], "tree", "trees"), "trees", narrow=True)
     few = total <= broadcast_nodes
     same = F.col("l.group").eqNullSafe(F.col("t.group"))
     rows = written(rows.alias("l").join((F.broadcast(trees) if few else trees).alias("t"), same)
                    .select("l.*", "t.tree", "t.n"), "leaves")
-    inner = _levels(rows.select("tree", "at", "hash", "n"), largest, fan, "level")
+    runs = _runs(rows, fan)
+    first = runs.select("tree", "at", "n", "kids", "hash")
+    inner = [first, *_levels(first, -(-largest // fan), fan, "level")] if largest > 1 else []
     tops = rows.where("n = 1").select("tree", "hash")
     for level in inner:
         tops = tops.unionAll(level.where("n = 1").select("tree", "hash"))
@@ -130,7 +146,7 @@ def build(docs: DataFrame, fields: tuple[str, ...] = FIELDS, id_col: str = "doc_
     below: set[tuple[bool, int]] = set()
     room = broadcast_nodes
     for top, levels in ((True, crown), (False, inner)):
-        for k in range(len(levels), 0, -1):
+        for k in range(len(levels), 0 if top else 1, -1):
             room = room - levels[k - 1].count() if not below else -1
             if room < 0:
                 below.add((top, k))
@@ -149,12 +165,17 @@ def build(docs: DataFrame, fields: tuple[str, ...] = FIELDS, id_col: str = "doc_
 
     links = ["name", "parent", "slot", "low", "kids"]
     named = {(top, k): linked(level, top, k).select(*links)
-             for top, levels in ((True, crown), (False, inner)) for k, level in enumerate(levels, 1)}
+             for top, levels in ((True, crown), (False, inner)) for k, level in enumerate(levels, 1) if top or k > 1}
     lower, upper = ([df for at, df in named.items() if (at in below) == low] for low in (True, False))
     nothing = rows.limit(0).select(F.lit("").alias("name"), F.lit("").alias("parent"), F.lit(0).alias("slot"),
                                    F.lit(False).alias("low"), F.lit(b"").alias("kids"))
-    leaves = linked(rows, False, 0).join((F.broadcast(tops) if few else tops).withColumnRenamed("hash", "subroot"), "tree") \
-        .select("id", "group", *links[:4], F.col("hash").alias("leaf"), "folded", "subroot")
+    above = F.struct("kids", "parent", "slot", "low")
+    many = linked(runs, False, 1).select("tree", F.col("leaves").alias("n"), above.alias("run"), F.explode("run").alias("of")) \
+        .select("tree", "n", "run", "of.*")
+    alone = rows.where("n = 1").withColumn("run", F.lit(None).cast(many.schema["run"].dataType))
+    leaves = linked(many.unionByName(alone), False, 0) \
+        .join((F.broadcast(tops) if few else tops).withColumnRenamed("hash", "subroot"), "tree") \
+        .select("id", "group", *links[:4], F.col("hash").alias("leaf"), "folded", "subroot", "run")
     return Manifest(leaves, written(reduce(DataFrame.unionAll, lower), "lower") if lower else None,
                     written(reduce(DataFrame.unionAll, upper), "upper", narrow=True) if upper else nothing, bytes(root))
 
@@ -196,14 +217,20 @@ def climb(tree: Manifest) -> DataFrame:
     A step of the climb appends a row that points at the siblings: the children of its parent but one.  Spark shuffles
     every round of a recursive query, so the digests themselves join the steps once, after it.
     """
-    state = tree.leaves.select(F.col("name").alias("start"), F.lit(0).alias("step"), "parent", "slot", "low", "folded")
     before, after = F.substring("kids", F.lit(1), 32 * F.col("slot")), F.expr("substring(kids, 32 * slot + 33)")
+    # the first step: a leaf has its parent's children and that parent's place at hand
+    runs = tree.leaves.where("run IS NOT NULL").select(F.col("name").alias("start"), "slot", "folded", "run.kids",
+                                                       F.struct("run.parent", "run.slot", "run.low").alias("above"))
+    state = runs.select("start", F.lit(1).alias("step"), "above.parent", "above.slot", "above.low",
+                        sha_of(F.concat(before, F.col("folded"), after)).alias("folded")) \
+        .unionByName(tree.leaves.where("run IS NULL")
+                     .select(F.col("name").alias("start"), F.lit(0).alias("step"), "parent", "slot", "low", "folded"))
+    passed = [runs.select("start", F.struct(F.lit(0).alias("step"), F.concat(before, after).alias("siblings")).alias("passed"))]
 
     def siblings(rows: DataFrame, nodes: DataFrame) -> DataFrame:
         return rows.join(nodes.select(F.col("name").alias("parent"), "kids"), "parent") \
             .select("start", F.struct("step", F.concat(before, after).alias("siblings")).alias("passed"))
 
-    passed = []
     if tree.lower is not None:
         rows = _ascend(state, tree.lower, "low", False)
         passed.append(siblings(rows.where("low"), tree.lower))
