@@ -103,6 +103,11 @@ def scratch(spark: SparkSession, label: str) -> str:
     return path
 
 
+def narrow_parts(spark: SparkSession) -> int:
+    """Partitions of tables with short rows: an eighth of the shuffle's, so that files stay few."""
+    return max(8, int(spark.conf.get("spark.sql.shuffle.partitions")) // 8)
+
+
 def written(df: DataFrame, label: str, narrow: bool = False) -> DataFrame:
     """``df`` as a Parquet table in the shared checkpoint folder, read again: cuts the lineage.
 
@@ -113,7 +118,7 @@ def written(df: DataFrame, label: str, narrow: bool = False) -> DataFrame:
     """
     spark = df.sparkSession
     if narrow:
-        df = df.coalesce(max(8, int(spark.conf.get("spark.sql.shuffle.partitions")) // 8))
+        df = df.coalesce(narrow_parts(spark))
     path = scratch(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

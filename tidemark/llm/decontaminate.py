@@ -30,7 +30,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import NON_WORDS, lower_ascii, words, written
+from tidemark.llm.common import NON_WORDS, lower_ascii, narrow_parts, words, written
 
 
 def _hash_at(hashes: str, start: Column, n: int) -> Column:
@@ -166,7 +166,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, span: int = 10, k: int
     # few rows: documents with hits; equal windows were grouped, so each brings its items once
     named = hit.select(*keep, "n_words", "n_rows", "spans", F.explode("wins").alias("win")) \
         .join(windows.select("win", "items"), "win") \
-        .groupBy(*keep, "n_words", "n_rows", "spans").agg(items.alias("items"))
+        .groupBy(*keep, "n_words", "n_rows", "spans").agg(items.alias("items")) \
+        .coalesce(narrow_parts(docs.sparkSession))
     none = per_doc.where(F.size("wins") == 0).select(*keep, "n_words", "n_rows", "spans",
                                                      F.array().cast("array<string>").alias("items"))
     return named.unionByName(none) \
