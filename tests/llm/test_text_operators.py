@@ -120,6 +120,20 @@ def test_decontamination_brute_force(spark, odd):
     assert {r["n_hit"] for r in decontaminate.contamination(docs, items.limit(0)).collect()} == {0}
 
 
+def test_decontamination_result_has_few_parts(spark, odd):
+    """Each part is a file, and each file makes an executor fork: the result takes no part for each shuffle partition."""
+    settings = {"spark.sql.shuffle.partitions": "80", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        items = spark.createDataFrame([(1, "ab ha")], "item_id long, text string")
+        assert decontaminate.contamination(odd, items).rdd.getNumPartitions() <= 20
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def test_decontamination_long_texts_and_ties(spark):
     """Long texts of few distinct words, whose windows are full of equal hashes, against all windows."""
     rng = np.random.default_rng(9)
