@@ -124,6 +124,20 @@ def test_components_of_long_paths_and_empty(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_components_of_stars_take_no_round_and_narrow_tables(spark, monkeypatch):
+    from tidemark.llm import components as module
+
+    tables = []
+    write = module.written
+    monkeypatch.setattr(module, "written", lambda df, label, narrow=False: tables.append(narrow) or write(df, label, narrow))
+    stars = [(k, 0) for k in range(1, 150)] + [(7, 0), (300, 301), (5, 5), (None, 3)]
+    got = sorted((r["node"], r["root"]) for r in components(spark.createDataFrame(stars, "a long, b long")).collect())
+    assert got == [(k, 0) for k in range(150)] + [(300, 300), (301, 300)] and tables == [True]
+    twice = [(5, 1), (5, 2), (9, 5), (12, 11)]
+    got = {r["node"]: r["root"] for r in components(spark.createDataFrame(twice, "a long, b long")).collect()}
+    assert got == {1: 1, 2: 1, 5: 1, 9: 1, 11: 11, 12: 11} and all(tables)
+
+
 def test_components_beyond_a_hundred_rounds_of_the_old_limit_and_of_hot_nodes(spark):
     """A long path, random edges, and a star whose centre has most of the edges."""
     rng = random.Random(9)

@@ -136,8 +136,13 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, max_rows: int = 800
     rows = small_batches(docs).select(F.col(id_col).alias("_id"), F.col(text_col).alias("_t")).join(F.broadcast(marks), "_id") \
         .orderBy(F.xxhash64("_id"), "_id", "_y").limit(max_rows) \
         .select("_y", F.arrow_udf(bags, "array<array<int>>")("_t").alias("_bags")).toArrow()
-    bags_of = rows.column("_bags").combine_chunks()
-    return fit(bags_of, rows.column("_y").to_numpy())
+    # the driver holds one copy of the sample, and no longer than the training takes
+    labels_of, bags_of = rows.column("_y").to_numpy(), rows.column("_bags").combine_chunks()
+    del rows
+    model = fit(bags_of, labels_of)
+    del bags_of
+    pa.default_memory_pool().release_unused()
+    return model
 
 
 def learn_on(learn, id_col: str, name: str) -> Column:
