@@ -7,6 +7,7 @@ from pathlib import Path
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -54,6 +55,21 @@ def test_token_store_equals_the_library(spark, docs):
         tokenstore.read(wrong).collect()
 
 
+def test_token_store_encodes_slices_and_asks_the_model_once_a_stem(monkeypatch):
+    library = Tokenizer.from_file(queries.byte_vocabulary())
+    with open(queries.byte_vocabulary(), encoding="utf-8") as f:
+        encoder = tokenstore.Encoder(f.read())
+    asked = []
+    pieces = encoder.pieces
+    monkeypatch.setattr(encoder, "pieces", lambda stems: asked.extend(stems) or pieces(stems))
+    texts = ["first word word, word. WORD", "\0x word\0 \0", "", " ", "a  b word;", "other word!", "é word ßé, ßé"] + [r[1] or "" for r in odd_rows()]
+    want = [np.array(library.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    assert encoder.encode(pa.array(texts).slice(0, 7)) == want[:7]
+    assert sorted(asked) == sorted({"word", "WORD", "b", "ßé"})
+    assert encoder.encode(pa.array(texts).slice(3)) == want[3:] and encoder.encode(texts) == want
+    assert len(asked) == len(set(asked)) and encoder.encode([]) == []
+
+
 def test_token_store_empty_table(spark, docs):
     store = tokenstore.write(docs.limit(0), common.scratch(spark, "tokens"), queries.byte_vocabulary())
     assert tokenstore.read(store).count() == 0

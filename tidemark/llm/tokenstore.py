@@ -35,6 +35,7 @@ import json
 import os
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import pairwise
 from string import punctuation
 
 import numpy as np
@@ -84,75 +85,113 @@ class Encoder:
         self.before: dict[str, bytes | None] = {}
 
     def whole(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.library.encode_batch(texts, add_special_tokens=False)]
+        return [np.array(e.ids, "<u4").tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def learn(self, new: list[str]) -> None:
+    def learn(self, new: list[str]) -> list[bytes | None]:
         """Ids of words, with their space; of keys that begin with a space, the first words of texts, without.
 
         None marks a word that a text cannot be cut before.  Letters and the marks behind them are
         a piece each, which the library's model takes directly.  All other words go through the library as one
         text, whose tokens that begin with the space begin the words.
         """
-        known, rest = self.known, []
-        first = [w for w in new if w.startswith(" ")]
-        known.update(zip(first, self.whole([w[1:] for w in first]), strict=True))
-        for w in new:
-            if not w:
-                known[w] = None
-            elif w[0] != " ":
-                stem = w.rstrip(punctuation)
-                if stem.isalpha() and (stem.isascii() or max(stem) < LATIN):
-                    known[w] = self.piece(" " + stem) + self.mark(w[len(stem):])
-                elif w[0].isspace():
-                    known[w] = None
-                else:
-                    rest.append(w)
+        out: list[bytes | None] = [None] * len(new)
+        first: list[int] = []
+        marked: list[int] = []
+        rest: list[int] = []
+        stem_of: list[str] = []
+        for k, w in enumerate(new):
+            stem = w.rstrip(punctuation)
+            if stem.isalpha() and (stem.isascii() or max(stem) < LATIN):
+                marked.append(k)
+                stem_of.append(stem)
+            elif w.startswith(" "):
+                first.append(k)
+            elif w and not w[0].isspace():
+                rest.append(k)
+        for k, ids in zip(first, self.whole([new[k][1:] for k in first]) if first else [], strict=True):
+            out[k] = ids
+        own = list(dict.fromkeys(stem_of))      # each goes to the model once, however many marks follow it
+        stems = dict(zip(own, self.pieces(own), strict=True))
+        for k, stem in zip(marked, stem_of, strict=True):
+            tail = new[k][len(stem):]
+            out[k] = stems[stem] + self.mark(tail) if tail else stems[stem]
         if rest:
-            ids = np.array(self.library.encode(" " + " ".join(rest), add_special_tokens=False).ids, "<u4")
+            ids = np.array(self.library.encode_batch_fast([" " + " ".join([new[k] for k in rest])], add_special_tokens=False)[0].ids, "<u4")
             at = np.flatnonzero(self.begins[ids])
             if len(at) != len(rest):
                 raise ValueError("the vocabulary does not keep the space with the word that follows")
-            data, ends = ids.tobytes(), np.append(at[1:], len(ids)) * 4
-            known.update(zip(rest, [data[i:j] for i, j in zip((at * 4).tolist(), ends.tolist(), strict=True)], strict=True))
+            data, ends = ids.tobytes(), (np.append(at, len(ids)) * 4).tolist()
+            for k, (i, j) in zip(rest, pairwise(ends), strict=True):
+                out[k] = data[i:j]
+        return out
 
-    def piece(self, piece: str) -> bytes:
-        """The ids of what the split pattern leaves whole."""
-        letters = piece.encode().decode("latin-1").translate(self.letters)
-        return b"".join([t.id.to_bytes(4, "little") for t in self.library.model.tokenize(letters)])
+    def pieces(self, stems: list[str]) -> list[bytes]:
+        """The ids of each word of letters with its space."""
+        if not stems:
+            return []
+        letters = (" " + "\0 ".join(stems)).encode().decode("latin-1").translate(self.letters).split(self.letters[0])
+        ids: list[int] = []
+        ends = [0]
+        for piece in letters:
+            ids += [t.id for t in self.library.model.tokenize(piece)]
+            ends.append(4 * len(ids))
+        data = np.array(ids, "<u4").tobytes()
+        return [data[i:j] for i, j in pairwise(ends)]
 
     def mark(self, tail: str) -> bytes:
         if tail not in self.marks:
             if len(self.marks) > 10_000:
                 self.marks = {"": b""}
-            self.marks[tail] = self.piece(tail)
+            letters = tail.encode().decode("latin-1").translate(self.letters)
+            self.marks[tail] = b"".join([t.id.to_bytes(4, "little") for t in self.library.model.tokenize(letters)])
         return self.marks[tail]
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text as little-endian unsigned integers of 4 bytes."""
+    def ids_of(self, keys: list[str]) -> list[bytes | None]:
+        """What ``learn`` says of each key, remembered while it is met again."""
+        if len(self.known) > CACHE:
+            self.known, self.before = {}, self.known
+        found = list(map(self.known.get, keys))
+        for learned in (lambda words: list(map(self.before.get, words)), self.learn):
+            at = [k for k, ids in enumerate(found) if ids is None]
+            words = [keys[k] for k in at]
+            ids_at = learned(words)
+            self.known.update((w, ids) for w, ids in zip(words, ids_at, strict=True) if ids is not None)
+            for k, ids in zip(at, ids_at, strict=True):
+                found[k] = ids
+        return found
+
+    def encode(self, texts: list[str] | pa.Array) -> list[bytes]:
+        """The ids of each text as little-endian unsigned integers of 4 bytes.
+
+        Arrow cuts the texts, tells equal words and puts their ids together again, so that Python sees
+        each distinct word of the batch once.
+        """
+        texts = (texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())).cast(pa.large_string())
         out: list[bytes | None] = [None] * len(texts)
-        cut: dict[int, list[str]] = {}
-        if self.by_word:
-            for k, text in enumerate(texts):
-                if not any(s in text for s in self.special):
-                    words = text.split(" ")
-                    words[0] = " " + words[0]
-                    cut[k] = words
-            if len(self.known) > CACHE:
-                self.known, self.before = {}, self.known
-            new = []
-            for w in set().union(*cut.values()).difference(self.known):
-                if w in self.before:
-                    self.known[w] = self.before[w]
-                else:
-                    new.append(w)
-            self.learn(new)
-            find = self.known.__getitem__
-            for k, words in cut.items():
-                parts = list(map(find, words))
-                if None not in parts:
-                    out[k] = b"".join(parts)
+        cut = np.full(len(texts), self.by_word)
+        for s in self.special:
+            cut &= ~pc.match_substring(texts, s).to_numpy(zero_copy_only=False)
+        rows = np.flatnonzero(cut)
+        if len(rows):
+            split = pc.split_pattern(texts if len(rows) == len(texts) else texts.take(pa.array(rows)), " ")
+            words, at = split.values, split.offsets.to_numpy().astype(np.int64)
+            begins = [" " + w for w in words.take(pa.array(at[:-1])).to_pylist()]
+            first = np.zeros(len(words), bool)
+            first[at[:-1]] = True
+            named = pc.if_else(pa.array(first), pa.scalar(None, words.type), words).dictionary_encode()
+            keys = named.dictionary.to_pylist()
+            place = {w: k for k, w in enumerate(dict.fromkeys(begins), len(keys))}
+            index = named.indices.fill_null(0).to_numpy().astype(np.int64)
+            index[at[:-1]] = [place[w] for w in begins]
+            joined = pa.array(self.ids_of([*keys, *place]), pa.large_binary()).take(pa.array(index))
+            ends = np.frombuffer(joined.buffers()[1], np.int64)[at].tolist()
+            data = memoryview(joined.buffers()[2] or b"")
+            gaps = np.r_[0, np.cumsum(joined.is_null().to_numpy(zero_copy_only=False))][at] if joined.null_count else np.zeros(len(at), np.int64)
+            for k, i, j, gap in zip(rows.tolist(), ends[:-1], ends[1:], np.diff(gaps).tolist(), strict=True):
+                if not gap:
+                    out[k] = bytes(data[i:j])
         rest = [k for k, x in enumerate(out) if x is None]
-        for k, ids in zip(rest, self.whole([texts[k] for k in rest]) if rest else [], strict=True):
+        for k, ids in zip(rest, self.whole(texts.take(pa.array(rest)).to_pylist()) if rest else [], strict=True):
             out[k] = ids
         return out
 
@@ -254,17 +293,15 @@ def write(docs: DataFrame, path: str, vocabulary: str, end_id: int = 0, samples:
 
         for batch in batches:
             texts = batch.column("text")
-            for k in range(0, len(batch), 64):
-                coded = encoder.encode(texts.slice(k, 64).to_pylist())
-                for j, x in enumerate(coded, k):
-                    ids.append(batch.column("id").slice(j, 1))
-                    frames.append(pack.compress(_serialised(x + end, width)))
-                    sizes.append(len(x) // 4 + 1)
-                    if sum(map(len, frames[-1:])) >= block_bytes or len(frames) >= 4096 or (
-                            len(frames) % 16 == 0 and sum(map(len, frames)) >= block_bytes):
-                        yield full()
-                        block, begin = block + 1, begin + sum(sizes)
-                        ids, frames, sizes = [], [], []
+            for j, x in enumerate(encoder.encode(texts)):
+                ids.append(batch.column("id").slice(j, 1))
+                frames.append(pack.compress(_serialised(x + end, width)))
+                sizes.append(len(x) // 4 + 1)
+                if sum(map(len, frames[-1:])) >= block_bytes or len(frames) >= 4096 or (
+                        len(frames) % 16 == 0 and sum(map(len, frames)) >= block_bytes):
+                    yield full()
+                    block, begin = block + 1, begin + sum(sizes)
+                    ids, frames, sizes = [], [], []
         if frames:
             yield full()
 
