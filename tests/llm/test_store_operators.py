@@ -4,6 +4,7 @@ import hashlib
 import importlib.util
 import zlib
 from pathlib import Path
+from types import SimpleNamespace
 
 import duckdb
 import numpy as np
@@ -70,6 +71,36 @@ def test_token_store_encodes_slices_and_asks_the_model_once_a_stem(monkeypatch):
     assert len(asked) == len(set(asked)) and encoder.encode([]) == []
 
 
+def test_token_store_cuts_words_at_line_feeds_and_marks():
+    library = Tokenizer.from_file(queries.byte_vocabulary())
+    with open(queries.byte_vocabulary(), encoding="utf-8") as f:
+        encoder = tokenstore.Encoder(f.read())
+    asked = []
+    real = encoder.library
+    encoder.library = SimpleNamespace(
+        model=real.model, encode_batch_fast=lambda texts, **how: asked.extend(texts) or real.encode_batch_fast(texts, **how))
+    names = [a + b for a in ("Wer", "las", "Né") for b in ("on", "tis", "ére", "anth")]
+    texts = [f"x {a}.\n{b}, y" for a in names for b in names]
+    assert encoder.encode(texts) == [np.array(library.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    assert sum(map(len, asked)) < 10 * len(names)       # each word once, not each pair of words around a line feed
+
+
+@pytest.mark.parametrize("cache, size", [(300_000, 1 << 26), (20, 1 << 26), (300_000, 100)])
+def test_token_store_cuts_anywhere_as_the_library(monkeypatch, cache, size):
+    monkeypatch.setattr(tokenstore, "CACHE", cache)
+    monkeypatch.setattr(tokenstore, "CACHE_BYTES", size)
+    library = Tokenizer.from_file(queries.byte_vocabulary())
+    with open(queries.byte_vocabulary(), encoding="utf-8") as f:
+        encoder = tokenstore.Encoder(f.read())
+    around = [chr(c) for c in [*range(0x300), 0x1680, 0x180E, *range(0x2000, 0x2060), 0x3000, 0x65E5, 0x1F600]]
+    rng = np.random.default_rng(7)
+    odd = ["", " ", "\n", "\t", "\xa0", "\u2003", "\u201c", "'s", "'", ".", "1", "a", "\u00d7", "\u00e9", "\u0250", " word"]
+    texts = [f"a{c}b {c}c\n{c} x{c}.{c}{c}\n\n{c}1 {c}" for c in around] + ["".join(rng.choice(odd, 12)) for _ in range(1000)]
+    want = [np.array(library.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    got = [x for k in range(0, len(texts), 300) for x in encoder.encode(pa.array(texts).slice(k, 300))]
+    assert got == want and encoder.encode(["", ""]) == [b"", b""]
+
+
 def test_token_store_empty_table(spark, docs):
     store = tokenstore.write(docs.limit(0), common.scratch(spark, "tokens"), queries.byte_vocabulary())
     assert tokenstore.read(store).count() == 0

@@ -36,7 +36,6 @@ import os
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import pairwise
-from string import punctuation
 
 import numpy as np
 import pyarrow as pa
@@ -50,22 +49,78 @@ from pyspark.sql import types as T
 from tidemark.llm.bpe import byte_letters
 from tidemark.llm.common import small_batches
 
-CACHE = 300_000     # words that a worker remembers, twice
-LATIN = "\u0250"     # below, no Unicode version changes what is a letter
+CACHE = 300_000     # words that a worker remembers
+CACHE_BYTES = 64 << 20      # of these words and their ids
+
+OTHER, LETTER, DIGIT, LONGER = range(4)
+KINDS = np.full(256, OTHER, np.uint8)       # what a byte is: in ASCII a letter, a digit, another character; or a part of a longer one
+KINDS[[b for b in range(128) if chr(b).isalpha()]] = LETTER
+KINDS[[b for b in range(128) if chr(b).isdigit()]] = DIGIT
+KINDS[128:] = LONGER
+SPACE, LINE = 0x20, 0x0A
+BLANK = np.isin(np.arange(256), [*range(0x09, 0x0E), *range(0x1C, 0x21)])        # ASCII white space, and what Python takes for it
+WHITE = np.array([int.from_bytes(chr(c).encode().ljust(3, b"\0"), "big") for c in
+                  (0x85, 0xA0, 0x1680, 0x180E, *range(0x2000, 0x200C), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)])
+
+
+def held(values: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of large strings or binaries, and where each begins in them; the last number is the end."""
+    _, ends, data = values.buffers()
+    at = np.frombuffer(ends, np.int64)[values.offset:values.offset + len(values) + 1] if len(values) else np.zeros(1, np.int64)
+    return np.frombuffer(data or b"", np.uint8)[at[0]:at[-1]], at - at[0]
+
+
+def kinds(data: np.ndarray) -> np.ndarray:
+    """The kind of each byte of UTF-8; both bytes of a letter from U+00C0 to U+023F are letters, which no Unicode version changes."""
+    kind = KINDS[data]
+    lead = np.flatnonzero((data >= 0xC3) & (data <= 0xC8))
+    lead = lead[(data[lead] != 0xC3) | ~np.isin(data[lead + 1], (0x97, 0xB7))]       # the signs of multiplication and division
+    kind[lead] = kind[lead + 1] = LETTER
+    return kind
+
+
+def cuts(data: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Where a byte-level vocabulary's split pattern ends a piece, whatever stands around; not all such places.
+
+    ``data`` holds texts one after another in UTF-8, ``ends`` where each ends.  A single space before a character that is
+    not white begins a piece, and so does a line feed, which is then a piece of its own.  A letter before an ASCII
+    character that is none ends one, as does a digit.  What stands between two such places gives the same
+    ids alone as in its text.
+    """
+    here = np.zeros(len(data) + 1, bool)
+    if not len(data):
+        return here
+    gap = np.flatnonzero((data == SPACE) | (data == LINE))
+    padded = np.append(data, np.full(3, SPACE, np.uint8))
+    after = padded[gap + 1]
+    solid = ~BLANK[after]
+    far = np.flatnonzero((after == 0xC2) | ((after >= 0xE1) & (after <= 0xE3)))     # white space beyond ASCII begins so
+    if len(far):
+        one, two, three = (padded[gap[far] + k].astype(np.int64) for k in (1, 2, 3))
+        code = (one << 16) | (two << 8) | np.where(one == 0xC2, 0, three)
+        solid[far[np.isin(code, WHITE)]] = False
+    last = np.zeros(len(data) + 1, bool)
+    last[ends] = True
+    solid &= ~last[gap + 1]
+    gap = gap[solid]
+    here[gap] = True
+    here[gap[data[gap] == LINE] + 1] = True
+
+    kind = kinds(data)
+    here[1:-1] |= ((kind[:-1] == LETTER) | (kind[:-1] == DIGIT)) & (kind[1:] != kind[:-1]) & (data[1:] < 128)
+    return here
 
 
 class Encoder:
     """Whole texts to ids with the tokenizers library; equal words are encoded once.
 
-    A byte-level vocabulary's split pattern never crosses a single space before a
-    character that is not white: the space begins the next piece.  Texts are therefore cut there, and the
-    ids of a word with its space do not depend on its neighbours.  Texts with other white space
-    after a space, at the end, or with a special token go through the library whole, as do all
-    texts if the vocabulary splits in another way.
+    Texts are cut where a byte-level vocabulary's split pattern ends a piece whatever stands around
+    (``cuts``): the ids of what is between do not depend on its neighbours.  Texts with a special token go through
+    the library whole, as do all texts if the vocabulary splits in another way.
     """
 
     def __init__(self, spec: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.library = Tokenizer.from_str(spec)
@@ -80,91 +135,58 @@ class Encoder:
         self.begins = np.zeros(1 + max(vocab.values(), default=0), bool)     # tokens that begin with a space
         self.begins[[i for t, i in vocab.items() if t.startswith("\u0120")]] = True
         self.letters = {b: c for c, b in byte_letters().items()}
-        self.marks: dict[str, bytes] = {"": b""}
-        self.known: dict[str, bytes | None] = {}
-        self.before: dict[str, bytes | None] = {}
+        self.model = Tokenizer(self.library.model)      # for pieces in the model's letters with spaces between
+        self.model.pre_tokenizer = pre_tokenizers.CharDelimiterSplit(" ")
+        self.words, self.ids = pa.array([], pa.large_string()), pa.array([], pa.large_binary())
+        self.used = np.zeros(0, bool)
 
     def whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def learn(self, new: list[str]) -> list[bytes | None]:
-        """Ids of words, with their space; of keys that begin with a space, the first words of texts, without.
-
-        None marks a word that a text cannot be cut before.  Letters and the marks behind them are
-        a piece each, which the library's model takes directly.  All other words go through the library as one
-        text, whose tokens that begin with the space begin the words.
-        """
-        out: list[bytes | None] = [None] * len(new)
-        first: list[int] = []
-        marked: list[int] = []
-        rest: list[int] = []
-        stem_of: list[str] = []
-        for k, w in enumerate(new):
-            stem = w.rstrip(punctuation)
-            if stem.isalpha() and (stem.isascii() or max(stem) < LATIN):
-                marked.append(k)
-                stem_of.append(stem)
-            elif w.startswith(" "):
-                first.append(k)
-            elif w and not w[0].isspace():
-                rest.append(k)
-        for k, ids in zip(first, self.whole([new[k][1:] for k in first]) if first else [], strict=True):
-            out[k] = ids
-        own = list(dict.fromkeys(stem_of))      # each goes to the model once, however many marks follow it
-        stems = dict(zip(own, self.pieces(own), strict=True))
-        for k, stem in zip(marked, stem_of, strict=True):
-            tail = new[k][len(stem):]
-            out[k] = stems[stem] + self.mark(tail) if tail else stems[stem]
-        if rest:
-            ids = np.array(self.library.encode_batch_fast([" " + " ".join([new[k] for k in rest])], add_special_tokens=False)[0].ids, "<u4")
-            at = np.flatnonzero(self.begins[ids])
-            if len(at) != len(rest):
-                raise ValueError("the vocabulary does not keep the space with the word that follows")
-            data, ends = ids.tobytes(), (np.append(at, len(ids)) * 4).tolist()
-            for k, (i, j) in zip(rest, pairwise(ends), strict=True):
-                out[k] = data[i:j]
-        return out
-
-    def pieces(self, stems: list[str]) -> list[bytes]:
-        """The ids of each word of letters with its space."""
-        if not stems:
-            return []
-        letters = (" " + "\0 ".join(stems)).encode().decode("latin-1").translate(self.letters).split(self.letters[0])
-        ids: list[int] = []
-        ends = [0]
-        for piece in letters:
-            ids += [t.id for t in self.library.model.tokenize(piece)]
-            ends.append(4 * len(ids))
-        data = np.array(ids, "<u4").tobytes()
-        return [data[i:j] for i, j in pairwise(ends)]
-
-    def mark(self, tail: str) -> bytes:
-        if tail not in self.marks:
-            if len(self.marks) > 10_000:
-                self.marks = {"": b""}
-            letters = tail.encode().decode("latin-1").translate(self.letters)
-            self.marks[tail] = b"".join([t.id.to_bytes(4, "little") for t in self.library.model.tokenize(letters)])
-        return self.marks[tail]
-
-    def ids_of(self, keys: list[str]) -> list[bytes | None]:
-        """What ``learn`` says of each key, remembered while it is met again."""
-        if len(self.known) > CACHE:
-            self.known, self.before = {}, self.known
-        found = list(map(self.known.get, keys))
-        for learned in (lambda words: list(map(self.before.get, words)), self.learn):
-            at = [k for k, ids in enumerate(found) if ids is None]
-            words = [keys[k] for k in at]
-            ids_at = learned(words)
-            self.known.update((w, ids) for w, ids in zip(words, ids_at, strict=True) if ids is not None)
-            for k, ids in zip(at, ids_at, strict=True):
-                found[k] = ids
-        return found
+    def pieces(self, stems: list[str]) -> pa.Array:
+        """The ids of each word of letters with its space: one piece, which the model takes directly."""
+        text = (" " + " ".join(stems)).encode().decode("latin-1").translate(self.letters)
+        text = text.replace(self.letters[SPACE], " " + self.letters[SPACE])[1:]
+        ids = np.array(self.model.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+        at = np.flatnonzero(self.begins[ids])
+        if len(at) != len(stems):
+            raise ValueError("the vocabulary does not keep the space with the word that follows")
+        return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(at), [None, pa.py_buffer(np.append(at, len(ids)) * 4), pa.py_buffer(ids)])
+
+    def learn(self, new: pa.Array) -> np.ndarray:
+        """Asks the library for the ids of words and remembers them: the place of each."""
+        data, ends = held(new)
+        others = np.r_[0, np.cumsum(kinds(data) != LETTER)]
+        plain = (np.diff(ends) > 1) & (np.diff(others[ends]) == 1) & (data[ends[:-1]] == SPACE)
+        letters, rest = new.filter(pa.array(plain)), new.filter(pa.array(~plain))
+        ids = [self.ids]
+        if len(letters):
+            ids.append(self.pieces(held(letters)[0].tobytes().decode()[1:].split(" ")))
+        if len(rest):
+            ids.append(pa.array(self.whole(rest.to_pylist()), pa.large_binary()))
+        places = np.empty(len(new), np.int64)
+        places[np.r_[np.flatnonzero(plain), np.flatnonzero(~plain)]] = np.arange(len(new)) + len(self.words)
+        self.words, self.ids = pa.concat_arrays([self.words, letters, rest]), pa.concat_arrays(ids)
+        self.used = np.r_[self.used, np.ones(len(new), bool)]
+        return places
+
+    def places(self, keys: pa.Array) -> np.ndarray:
+        """Where each of these distinct words stands among those remembered; new ones are learned."""
+        if len(self.words) > CACHE or self.words.nbytes + self.ids.nbytes > CACHE_BYTES:     # those met since the last time stay
+            kept = pa.array(self.used)
+            self.words, self.ids = self.words.filter(kept), self.ids.filter(kept)
+            self.used = np.zeros(len(self.words), bool)
+        at = pc.index_in(keys, self.words).fill_null(-1).to_numpy().astype(np.int64)
+        self.used[at[at >= 0]] = True
+        if (at < 0).any():
+            at[at < 0] = self.learn(keys.filter(pa.array(at < 0)))
+        return at
 
     def encode(self, texts: list[str] | pa.Array) -> list[bytes]:
         """The ids of each text as little-endian unsigned integers of 4 bytes.
 
-        Arrow cuts the texts, tells equal words and puts their ids together again, so that Python sees
-        each distinct word of the batch once.
+        The texts of a batch are cut together; Arrow tells equal words and puts their ids together again, so that
+        Python sees each distinct word of the batch once.
         """
         texts = (texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())).cast(pa.large_string())
         out: list[bytes | None] = [None] * len(texts)
@@ -173,28 +195,23 @@ class Encoder:
             cut &= ~pc.match_substring(texts, s).to_numpy(zero_copy_only=False)
         rows = np.flatnonzero(cut)
         if len(rows):
-            split = pc.split_pattern(texts if len(rows) == len(texts) else texts.take(pa.array(rows)), " ")
-            words, at = split.values, split.offsets.to_numpy().astype(np.int64)
-            begins = [" " + w for w in words.take(pa.array(at[:-1])).to_pylist()]
-            first = np.zeros(len(words), bool)
-            first[at[:-1]] = True
-            named = pc.if_else(pa.array(first), pa.scalar(None, words.type), words).dictionary_encode()
-            keys = named.dictionary.to_pylist()
-            place = {w: k for k, w in enumerate(dict.fromkeys(begins), len(keys))}
-            index = named.indices.fill_null(0).to_numpy().astype(np.int64)
-            index[at[:-1]] = [place[w] for w in begins]
-            joined = pa.array(self.ids_of([*keys, *place]), pa.large_binary()).take(pa.array(index))
-            ends = np.frombuffer(joined.buffers()[1], np.int64)[at].tolist()
-            data = memoryview(joined.buffers()[2] or b"")
-            gaps = np.r_[0, np.cumsum(joined.is_null().to_numpy(zero_copy_only=False))][at] if joined.null_count else np.zeros(len(at), np.int64)
-            for k, i, j, gap in zip(rows.tolist(), ends[:-1], ends[1:], np.diff(gaps).tolist(), strict=True):
-                if not gap:
-                    out[k] = bytes(data[i:j])
-        rest = [k for k, x in enumerate(out) if x is None]
-        for k, ids in zip(rest, self.whole(texts.take(pa.array(rest)).to_pylist()) if rest else [], strict=True):
+            for k, ids in zip(rows.tolist(), self.by_words(texts if len(rows) == len(texts) else texts.take(pa.array(rows))), strict=True):
+                out[k] = ids
+        rest = np.flatnonzero(~cut)
+        for k, ids in zip(rest.tolist(), self.whole(texts.take(pa.array(rest)).to_pylist()) if len(rest) else [], strict=True):
             out[k] = ids
         return out
 
+    def by_words(self, texts: pa.Array) -> list[bytes]:
+        data, ends = held(texts)
+        here = cuts(data, ends)
+        here[ends] = True
+        at = np.flatnonzero(here)
+        words = pa.LargeStringArray.from_buffers(len(at) - 1, pa.py_buffer(at), pa.py_buffer(data)).dictionary_encode()
+        places = self.places(words.dictionary)
+        ids, begins = held(self.ids.take(pa.array(places[words.indices.to_numpy()])))
+        return [ids[i:j].tobytes() for i, j in pairwise(begins[np.searchsorted(at, ends)].tolist())]
+
 
 @dataclass
 class Vocabulary:
