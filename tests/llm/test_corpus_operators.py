@@ -352,4 +352,4 @@ def test_pipeline_run_and_entry(spark):
     out = entry.queries()["pipeline"](spark, SF)
     assert {"doc_id", "text", "ids", "n_tokens"} <= set(out.columns) and 0 < out.count() < 200
     names = [n for n in entry.queries() if re.match(r"op\d+_", n)]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
